@@ -119,3 +119,145 @@ WHERE r <= 3""", extra=[RUNS_CTE]))
 def q_top_runs(spark, sf_dir):
     t = runs.top_runs(runs.anomaly_runs(fx.scores(spark, sf_dir)))
     return t.select("series_id", "model_id", "run_no", "start_idx", "end_idx", "peak_prob")
+
+
+# --------------------------------------------------------------- features --
+
+CH = fx.CHANNELS
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+@register("flat_features", with_views(["readings"], """
+SELECT series_id, idx, CAST(160 AS BIGINT) AS n_feat, f0, f7, f83, f152, f159 FROM (
+  SELECT series_id, i, n, i - 19 AS idx,
+         LAG(ch1, 19) OVER w AS f0, LAG(ch8, 19) OVER w AS f7, LAG(ch4, 9) OVER w AS f83,
+         ch1 AS f152, ch8 AS f159
+  FROM readings WINDOW w AS (PARTITION BY series_id ORDER BY i)) x
+WHERE i >= 19 AND i < n - 10"""))
+def q_flat_features(spark, sf_dir):
+    w = windows.sliding_windows(fx.readings(spark, sf_dir), CH)
+    flat = w.select("series_id", "idx", windows.flatten_window("win", CH).alias("f"))
+    return flat.select("series_id", F.col("idx").cast("bigint").alias("idx"),
+                       F.size("f").cast("bigint").alias("n_feat"),
+                       *[F.col("f")[k].alias(f"f{k}") for k in (0, 7, 83, 152, 159)])
+
+
+def _unpivot_sql(src: str, cols: list[str], keep: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT {keep}, {k} AS f, '{c}' AS channel, {c} AS x FROM {src}" for k, c in enumerate(cols))
+
+
+# Train windows x their 20 readings, long by channel: the explicit form the
+# closed-form Spark fits are checked against.
+_TRAIN_SLOTS = ("train_slots", f"""
+  SELECT t, f, channel, x FROM (
+    {_unpivot_sql("(SELECT r.*, r.i - (w.i - 19) AS t FROM windows w JOIN readings r ON r.series_id = w.series_id AND r.i BETWEEN w.i - 19 AND w.i WHERE w.split = 'train') s", CH, "t")}) u""")
+_SCALER_TF = ("scaler_tf", """
+  SELECT CAST(t * 8 + f AS BIGINT) AS pos, CAST(t AS BIGINT) AS t, channel, AVG(x) AS mean, STDDEV_POP(x) AS std,
+         CASE WHEN STDDEV_POP(x) = 0 OR STDDEV_POP(x) IS NULL THEN 1.0 ELSE STDDEV_POP(x) END AS scale
+  FROM train_slots GROUP BY t, f, channel""")
+_SCALER_F = ("scaler_f", """
+  SELECT CAST(f AS BIGINT) AS f, channel, AVG(x) AS mean, STDDEV_POP(x) AS std,
+         CASE WHEN STDDEV_POP(x) = 0 OR STDDEV_POP(x) IS NULL THEN 1.0 ELSE STDDEV_POP(x) END AS scale
+  FROM train_slots GROUP BY f, channel""")
+
+
+def _train(spark, sf_dir):
+    return fx.readings(spark, sf_dir).where(F.col("split") == "train")
+
+
+@register("scaler_tf", with_views(["windows"], """
+SELECT pos, t, channel, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std, ROUND(scale, 6) AS scale
+FROM scaler_tf""", extra=[_TRAIN_SLOTS, _SCALER_TF]))
+def q_scaler_tf(spark, sf_dir):
+    from ..operators import scaling
+    s = scaling.fit_position_scaler(_train(spark, sf_dir), CH)
+    return s.select("pos", "t", "channel", _r6(F.col("mean")).alias("mean"),
+                    _r6(F.col("std")).alias("std"), _r6(F.col("scale")).alias("scale"))
+
+
+@register("scaler_f", with_views(["windows"], """
+SELECT f, channel, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std, ROUND(scale, 6) AS scale
+FROM scaler_f""", extra=[_TRAIN_SLOTS, _SCALER_F]))
+def q_scaler_f(spark, sf_dir):
+    from ..operators import scaling
+    s = scaling.fit_channel_scaler(_train(spark, sf_dir), CH)
+    return s.select("f", "channel", _r6(F.col("mean")).alias("mean"),
+                    _r6(F.col("std")).alias("std"), _r6(F.col("scale")).alias("scale"))
+
+
+def _scaled_readings_sql() -> str:
+    cols = ", ".join(
+        f"(r.{c} - (SELECT mean FROM scaler_f WHERE channel = '{c}')) / "
+        f"(SELECT scale FROM scaler_f WHERE channel = '{c}') AS {c}" for c in CH)
+    return f"SELECT r.series_id, r.i, r.n, r.split, {cols} FROM readings r"
+
+
+@register("scaled_windows", with_views(["windows"], f"""
+SELECT series_id, idx,
+       ROUND((f0 - (SELECT mean FROM scaler_tf WHERE pos = 0)) / (SELECT scale FROM scaler_tf WHERE pos = 0), 6) AS tf_first,
+       ROUND((f159 - (SELECT mean FROM scaler_tf WHERE pos = 159)) / (SELECT scale FROM scaler_tf WHERE pos = 159), 6) AS tf_last,
+       ROUND(fs_first, 6) AS fs_first, ROUND(fs_last, 6) AS fs_last
+FROM (SELECT r.series_id, r.i, r.n, r.i - 19 AS idx,
+             LAG(r.ch1, 19) OVER w AS f0, r.ch8 AS f159,
+             LAG(s.ch1, 19) OVER w AS fs_first, s.ch8 AS fs_last
+      FROM readings r JOIN scaled s ON s.series_id = r.series_id AND s.i = r.i
+      WINDOW w AS (PARTITION BY r.series_id ORDER BY r.i)) x
+WHERE i >= 19 AND i < n - 10""", extra=[_TRAIN_SLOTS, _SCALER_TF, _SCALER_F,
+                                        ("scaled", _scaled_readings_sql())]))
+def q_scaled_windows(spark, sf_dir):
+    from ..operators import scaling
+    r = fx.readings(spark, sf_dir)
+    train = r.where(F.col("split") == "train")
+    tf = scaling.fit_position_scaler(train, CH)
+    fs = scaling.fit_channel_scaler(train, CH)
+    w = windows.sliding_windows(r, CH)
+    flat = w.select("series_id", "idx", "win", windows.flatten_window("win", CH).alias("features"))
+    flat = scaling.apply_position_scaler(flat, tf)
+    # per-feature scaling of the same window: scale the struct fields
+    row = scaling.channel_scaler_row(fs, CH)
+    flat = flat.crossJoin(F.broadcast(row))
+    first, last = F.col("win")[0], F.element_at("win", -1)
+    return flat.select(
+        "series_id", F.col("idx").cast("bigint").alias("idx"),
+        _r6(F.col("features_scaled")[0]).alias("tf_first"),
+        _r6(F.col("features_scaled")[159]).alias("tf_last"),
+        _r6((first["ch1"] - F.col("mu_ch1")) / F.col("sd_ch1")).alias("fs_first"),
+        _r6((last["ch8"] - F.col("mu_ch8")) / F.col("sd_ch8")).alias("fs_last"))
+
+
+def _stat_sql() -> str:
+    from ..operators.features import stat_columns
+    exprs = []
+    for c in CH:
+        exprs += [
+            f"AVG({c}) OVER w AS mean_{c}", f"STDDEV_SAMP({c}) OVER w AS std_{c}",
+            f"MAX({c}) OVER w AS max_{c}", f"MIN({c}) OVER w AS min_{c}",
+            f"{c} AS last_{c}", f"FIRST_VALUE({c}) OVER w AS first_{c}",
+            f"{c} - FIRST_VALUE({c}) OVER w AS last_first_{c}",
+            f"({c} - FIRST_VALUE({c}) OVER w) / 19.0 AS diff_mean_{c}",
+            f"STDDEV_SAMP(d_{c}) OVER wd AS diff_std_{c}",
+            f"MAX(ABS({c})) OVER w AS absmax_{c}"]
+    diffs = ", ".join(f"{c} - LAG({c}) OVER (PARTITION BY series_id ORDER BY i) AS d_{c}" for c in CH)
+    outs = ", ".join(f"ROUND({k}, 6) AS {k}" for k in stat_columns(CH))
+    return f"""
+SELECT series_id, idx, {outs} FROM (
+  SELECT series_id, i, n, i - 19 AS idx, {", ".join(exprs)}
+  FROM (SELECT *, {diffs} FROM scaled) d
+  WINDOW w AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW),
+         wd AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 18 PRECEDING AND CURRENT ROW)) x
+WHERE i >= 19 AND i < n - 10"""
+
+
+@register("stat_features", with_views(["windows"], _stat_sql(), extra=[
+    _TRAIN_SLOTS, _SCALER_F, ("scaled", _scaled_readings_sql())]))
+def q_stat_features(spark, sf_dir):
+    from ..operators import features, scaling
+    r = fx.readings(spark, sf_dir)
+    fs = scaling.fit_channel_scaler(r.where(F.col("split") == "train"), CH)
+    st = features.stat_features(scaling.apply_channel_scaler(r, fs, CH), CH)
+    return st.select("series_id", F.col("idx").cast("bigint").alias("idx"),
+                     *[_r6(F.col(k)).alias(k) for k in features.stat_columns(CH)])
