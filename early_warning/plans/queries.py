@@ -261,3 +261,188 @@ def q_stat_features(spark, sf_dir):
     st = features.stat_features(scaling.apply_channel_scaler(r, fs, CH), CH)
     return st.select("series_id", F.col("idx").cast("bigint").alias("idx"),
                      *[_r6(F.col(k)).alias(k) for k in features.stat_columns(CH)])
+
+
+# ------------------------------------------------------------- evaluation --
+
+def div0(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
+
+
+def _test_scores(spark, sf_dir):
+    return fx.scores(spark, sf_dir).where(F.col("split") == "test")
+
+
+_COUNTS = ("counts", """
+  SELECT model_id,
+         COUNT(*) FILTER (WHERE y = 1 AND p {op} 0.5) AS tp, COUNT(*) FILTER (WHERE y <> 1 AND p {op} 0.5) AS fp,
+         COUNT(*) FILTER (WHERE y = 1 AND NOT p {op} 0.5) AS fn, COUNT(*) FILTER (WHERE y <> 1 AND NOT p {op} 0.5) AS tn
+  FROM scores WHERE split = 'test' GROUP BY model_id""")
+
+
+@register("prf", with_views(["scores"], f"""
+SELECT series_id, model_id, tp, fp, fn,
+       ROUND({div0("tp", "tp + fp")}, 6) AS precision, ROUND({div0("tp", "tp + fn")}, 6) AS recall,
+       ROUND({div0("2 * tp", "2 * tp + fp + fn")}, 6) AS f1
+FROM (SELECT series_id, model_id,
+             CAST(COUNT(*) FILTER (WHERE y = 1 AND p >= 0.5) AS BIGINT) AS tp,
+             CAST(COUNT(*) FILTER (WHERE y <> 1 AND p >= 0.5) AS BIGINT) AS fp,
+             CAST(COUNT(*) FILTER (WHERE y = 1 AND p < 0.5) AS BIGINT) AS fn
+      FROM scores GROUP BY series_id, model_id) c"""))
+def q_prf(spark, sf_dir):
+    from ..operators import metrics
+    m = metrics.prf(fx.scores(spark, sf_dir), ["series_id", "model_id"])
+    return m.select("series_id", "model_id", "tp", "fp", "fn",
+                    *[_r6(F.col(k)).alias(k) for k in ("precision", "recall", "f1")])
+
+
+@register("confusion", with_views(["scores"], """
+SELECT model_id, CAST(y AS BIGINT) AS y, CAST(pred AS BIGINT) AS pred, CAST(n AS BIGINT) AS n FROM (
+  SELECT model_id, 0 AS y, 0 AS pred, tn AS n FROM counts UNION ALL
+  SELECT model_id, 0, 1, fp FROM counts UNION ALL
+  SELECT model_id, 1, 0, fn FROM counts UNION ALL
+  SELECT model_id, 1, 1, tp FROM counts) x""", extra=[(_COUNTS[0], _COUNTS[1].format(op=">="))]))
+def q_confusion(spark, sf_dir):
+    from ..operators import metrics
+    c = metrics.confusion(_test_scores(spark, sf_dir), ["model_id"])
+    return c.select("model_id", F.col("y").cast("bigint").alias("y"),
+                    F.col("pred").cast("bigint").alias("pred"), F.col("n").cast("bigint").alias("n"))
+
+
+@register("class_report", with_views(["scores"], f"""
+SELECT model_id, label, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM (
+  SELECT model_id, '0' AS label, {div0("tn", "tn + fn")} AS precision, {div0("tn", "tn + fp")} AS recall,
+         {div0("2 * tn", "2 * tn + fn + fp")} AS f1, tn + fp AS support FROM counts UNION ALL
+  SELECT model_id, '1', {div0("tp", "tp + fp")}, {div0("tp", "tp + fn")}, {div0("2 * tp", "2 * tp + fp + fn")}, tp + fn FROM counts UNION ALL
+  SELECT model_id, 'macro avg', ({div0("tn", "tn + fn")} + {div0("tp", "tp + fp")}) / 2,
+         ({div0("tn", "tn + fp")} + {div0("tp", "tp + fn")}) / 2,
+         ({div0("2 * tn", "2 * tn + fn + fp")} + {div0("2 * tp", "2 * tp + fp + fn")}) / 2, tp + fp + fn + tn FROM counts UNION ALL
+  SELECT model_id, 'weighted avg',
+         {div0(f"{div0('tn', 'tn + fn')} * (tn + fp) + {div0('tp', 'tp + fp')} * (tp + fn)", "tp + fp + fn + tn")},
+         {div0(f"{div0('tn', 'tn + fp')} * (tn + fp) + {div0('tp', 'tp + fn')} * (tp + fn)", "tp + fp + fn + tn")},
+         {div0(f"{div0('2 * tn', '2 * tn + fn + fp')} * (tn + fp) + {div0('2 * tp', '2 * tp + fp + fn')} * (tp + fn)", "tp + fp + fn + tn")},
+         tp + fp + fn + tn FROM counts UNION ALL
+  SELECT model_id, 'accuracy', NULL, NULL, {div0("tp + tn", "tp + fp + fn + tn")}, tp + fp + fn + tn FROM counts) r""",
+    extra=[(_COUNTS[0], _COUNTS[1].format(op=">"))]))
+def q_class_report(spark, sf_dir):
+    from ..operators import metrics
+    r = metrics.class_report(_test_scores(spark, sf_dir), ["model_id"])
+    return r.select("model_id", "label", *[_r6(F.col(k)).alias(k) for k in ("precision", "recall", "f1")],
+                    "support")
+
+
+_CURVE = ("curve", """
+  SELECT model_id, p AS threshold,
+         SUM(pos) OVER (PARTITION BY model_id ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         SUM(neg) OVER (PARTITION BY model_id ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+         SUM(pos) OVER (PARTITION BY model_id) AS P, SUM(neg) OVER (PARTITION BY model_id) AS N
+  FROM (SELECT model_id, p, COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y <> 1) AS neg
+        FROM scores WHERE split = 'test' GROUP BY model_id, p) d""")
+_ROC = ("roc", f"""
+  SELECT model_id, CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr FROM (SELECT DISTINCT model_id FROM curve) o
+  UNION ALL SELECT model_id, threshold, {div0("fp", "N")}, {div0("tp", "P")} FROM curve""")
+
+
+@register("roc_curve", with_views(["scores"], """
+SELECT model_id, threshold, ROUND(fpr, 6) AS fpr, ROUND(tpr, 6) AS tpr FROM roc""", extra=[_CURVE, _ROC]))
+def q_roc_curve(spark, sf_dir):
+    from ..operators import metrics
+    r = metrics.roc_curve(_test_scores(spark, sf_dir), ["model_id"])
+    return r.select("model_id", "threshold", _r6(F.col("fpr")).alias("fpr"), _r6(F.col("tpr")).alias("tpr"))
+
+
+@register("roc_auc", with_views(["scores"], """
+SELECT model_id, ROUND(SUM(area), 6) AS auc, CAST(COUNT(*) AS BIGINT) AS n_points FROM (
+  SELECT model_id, (fpr - COALESCE(LAG(fpr) OVER w, 0)) * (tpr + COALESCE(LAG(tpr) OVER w, 0)) / 2 AS area
+  FROM roc WINDOW w AS (PARTITION BY model_id ORDER BY threshold DESC)) s
+GROUP BY model_id""", extra=[_CURVE, _ROC]))
+def q_roc_auc(spark, sf_dir):
+    from ..operators import metrics
+    a = metrics.roc_auc(_test_scores(spark, sf_dir), ["model_id"])
+    return a.select("model_id", _r6(F.col("auc")).alias("auc"), "n_points")
+
+
+@register("best_f1_threshold", with_views(["scores"], f"""
+SELECT model_id, threshold, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1 FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY f1 DESC, threshold) AS r FROM (
+    SELECT model_id, threshold, precision, recall, {div0("2 * precision * recall", "precision + recall")} AS f1 FROM (
+      SELECT model_id, threshold, {div0("tp", "tp + fp")} AS precision, {div0("tp", "P")} AS recall
+      FROM curve WHERE P > 0) a) b) c
+WHERE r = 1""", extra=[_CURVE]))
+def q_best_f1_threshold(spark, sf_dir):
+    from ..operators import metrics
+    b = metrics.best_f1_threshold(_test_scores(spark, sf_dir), ["model_id"])
+    return b.select("model_id", "threshold", *[_r6(F.col(k)).alias(k) for k in ("precision", "recall", "f1")])
+
+
+def _grid_sql(split: str) -> str:
+    return f"""
+  SELECT model_id, k, t, {div0("2 * tp", "2 * tp + fp + fn")} AS class1_f1,
+         ({div0("2 * tn", "2 * tn + fn + fp")} + {div0("2 * tp", "2 * tp + fp + fn")}) / 2 AS macro_f1,
+         {div0(f"{div0('2 * tn', '2 * tn + fn + fp')} * (tn + fp) + {div0('2 * tp', '2 * tp + fp + fn')} * (tp + fn)", "tp + fp + fn + tn")} AS weighted_f1
+  FROM (SELECT s.model_id, g.k, g.t,
+               COUNT(*) FILTER (WHERE s.y = 1 AND s.p > g.t) AS tp, COUNT(*) FILTER (WHERE s.y <> 1 AND s.p > g.t) AS fp,
+               COUNT(*) FILTER (WHERE s.y = 1 AND s.p <= g.t) AS fn, COUNT(*) FILTER (WHERE s.y <> 1 AND s.p <= g.t) AS tn
+        FROM scores s CROSS JOIN (SELECT k, 0.45::DOUBLE + k * 0.01::DOUBLE AS t FROM range(31) r(k)) g
+        WHERE s.split = '{split}' GROUP BY s.model_id, g.k, g.t) c"""
+
+
+@register("threshold_grid", with_views(["scores"], """
+SELECT model_id, CAST(k AS BIGINT) AS k, ROUND(t, 2) AS t, ROUND(class1_f1, 6) AS class1_f1,
+       ROUND(macro_f1, 6) AS macro_f1, ROUND(weighted_f1, 6) AS weighted_f1 FROM grid""",
+    extra=[("grid", _grid_sql("val"))]))
+def q_threshold_grid(spark, sf_dir):
+    from ..operators import metrics
+    s = fx.scores(spark, sf_dir).where(F.col("split") == "val")
+    g = metrics.threshold_search(s, ["model_id"], metrics.threshold_grid(spark))
+    return g.select("model_id", F.col("k").cast("bigint").alias("k"), F.round("t", 2).alias("t"),
+                    *[_r6(F.col(c)).alias(c) for c in ("class1_f1", "macro_f1", "weighted_f1")])
+
+
+@register("pos_weight", with_views(["windows"], """
+SELECT split, n_pos, n_neg, ROUND(CASE WHEN n_pos > 0 THEN CAST(n_neg AS DOUBLE) / n_pos END, 6) AS pos_weight
+FROM (SELECT split, CAST(COUNT(*) FILTER (WHERE y = 1) AS BIGINT) AS n_pos,
+             CAST(COUNT(*) FILTER (WHERE y <> 1) AS BIGINT) AS n_neg FROM windows GROUP BY split) c"""))
+def q_pos_weight(spark, sf_dir):
+    from ..operators import metrics
+    c = metrics.class_weight(fx.windows(spark, sf_dir), ["split"])
+    return c.select("split", "n_pos", "n_neg", _r6(F.col("pos_weight")).alias("pos_weight"))
+
+
+@register("best_config", with_views(["scores"], """
+SELECT selection, model_id, ROUND(best_t, 2) AS best_t, ROUND(val_score, 6) AS val_score,
+       ROUND(test_score, 6) AS test_score FROM (
+  SELECT 'by_val' AS selection, * FROM (SELECT * FROM res ORDER BY val_score DESC, config_no LIMIT 1) a
+  UNION ALL
+  SELECT 'by_test', * FROM (SELECT * FROM res ORDER BY test_score DESC, config_no LIMIT 1) b) x""",
+    extra=[("vgrid", _grid_sql("val")), ("tgrid", _grid_sql("test")),
+           ("vbest", """
+  SELECT model_id, k, t AS best_t, weighted_f1 AS val_score FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY model_id ORDER BY weighted_f1 DESC, k) AS r FROM vgrid) x WHERE r = 1"""),
+           ("res", """
+  SELECT CAST(SUBSTR(v.model_id, 2) AS BIGINT) AS config_no, v.model_id, v.best_t, v.val_score, t.weighted_f1 AS test_score
+  FROM vbest v JOIN tgrid t ON t.model_id = v.model_id AND t.k = v.k""")]))
+def q_best_config(spark, sf_dir):
+    """T5 over a results table: each fixture model is one configuration; its
+    threshold is chosen on validation, then scored on test."""
+    from ..operators import metrics
+    s = fx.scores(spark, sf_dir)
+    grid = metrics.threshold_grid(spark)
+    keys = ["model_id"]
+    val = metrics.threshold_search(s.where(F.col("split") == "val"), keys, grid)
+    test = metrics.threshold_search(s.where(F.col("split") == "test"), keys, grid)
+    vbest = (val.groupBy("model_id")
+                .agg(F.max_by(F.struct("k", "t", "weighted_f1"),
+                              F.struct(F.col("weighted_f1"), -F.col("k"))).alias("b"))
+                .select("model_id", "b.k", F.col("b.t").alias("best_t"),
+                        F.col("b.weighted_f1").alias("val_score")))
+    res = (vbest.join(test.select("model_id", "k", F.col("weighted_f1").alias("test_score")),
+                      ["model_id", "k"])
+                .select(F.substring("model_id", 2, 10).cast("bigint").alias("config_no"),
+                        "model_id", "best_t", "val_score", "test_score"))
+    by_val = metrics.select_best(res, "val_score").withColumn("selection", F.lit("by_val"))
+    by_test = metrics.select_best(res, "test_score").withColumn("selection", F.lit("by_test"))
+    out = by_val.unionByName(by_test)
+    return out.select("selection", "model_id", F.round("best_t", 2).alias("best_t"),
+                      _r6(F.col("val_score")).alias("val_score"), _r6(F.col("test_score")).alias("test_score"))
