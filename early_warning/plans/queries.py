@@ -446,3 +446,107 @@ def q_best_config(spark, sf_dir):
     out = by_val.unionByName(by_test)
     return out.select("selection", "model_id", F.round("best_t", 2).alias("best_t"),
                       _r6(F.col("val_score")).alias("val_score"), _r6(F.col("test_score")).alias("test_score"))
+
+
+# ----------------------------------------------------------------- alerts --
+
+_BAND_SQL = "CASE WHEN p >= 0.8 THEN 'ALERT' WHEN p >= 0.5 THEN 'WARNING' WHEN p >= 0.3 THEN 'WATCH' ELSE 'NORMAL' END"
+
+# The recursive fold, one tick after another: the oracle for the composed
+# transition maps.
+_STATES_CTES = [("b", """
+  SELECT series_id, model_id, idx, p,
+         MIN(p) OVER w AS mn, MAX(p) OVER w AS mx, COUNT(*) OVER w AS c,
+         CASE WHEN p >= 0.8 THEN 3 WHEN p >= 0.5 THEN 2 WHEN p >= 0.3 THEN 1 ELSE 0 END AS bd
+  FROM scores
+  WINDOW w AS (PARTITION BY series_id, model_id ORDER BY idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""),
+    ("r", """
+  SELECT series_id, model_id, idx, CASE WHEN bd = 3 THEN 3 WHEN bd >= 1 THEN 1 ELSE 0 END AS st FROM b WHERE idx = 0
+  UNION ALL
+  SELECT b.series_id, b.model_id, b.idx,
+         CASE WHEN b.bd = 3 THEN 3
+              WHEN b.bd > r.st THEN CASE WHEN r.st = 0 THEN 1 WHEN r.st = 1 AND b.c = 3 AND b.mn >= 0.5 THEN 2 ELSE r.st END
+              WHEN b.bd < r.st THEN CASE WHEN b.c = 3 AND b.mx < CASE r.st WHEN 3 THEN 0.8 WHEN 2 THEN 0.5 ELSE 0.3 END THEN r.st - 1 ELSE r.st END
+              ELSE r.st END
+  FROM r JOIN b ON b.series_id = r.series_id AND b.model_id = r.model_id AND b.idx = r.idx + 1"""),
+    ("st", """
+  SELECT series_id, model_id, CAST(idx AS BIGINT) AS idx, st,
+         CASE st WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'WATCH' WHEN 2 THEN 'WARNING' ELSE 'ALERT' END AS state FROM r""")]
+
+
+@register("band_for", with_views(["scores"], f"""
+SELECT series_id, model_id, CAST(idx AS BIGINT) AS idx, {_BAND_SQL} AS band FROM scores"""))
+def q_band_for(spark, sf_dir):
+    from ..operators import alerts
+    s = fx.scores(spark, sf_dir)
+    return s.select("series_id", "model_id", F.col("idx").cast("bigint").alias("idx"),
+                    alerts.state_name(alerts.band_for(F.col("p"))).alias("band"))
+
+
+def _states(spark, sf_dir):
+    from ..operators import alerts
+    return alerts.alert_states(fx.scores(spark, sf_dir))
+
+
+@register("alert_states", with_views(["scores"], """
+SELECT series_id, model_id, idx, state FROM st""", extra=_STATES_CTES, recursive=True))
+def q_alert_states(spark, sf_dir):
+    s = _states(spark, sf_dir)
+    return s.select("series_id", "model_id", F.col("idx").cast("bigint").alias("idx"),
+                    F.col("status").alias("state"))
+
+
+@register("alert_transitions", with_views(["scores"], """
+SELECT series_id, model_id, idx, from_status, to_status, event FROM (
+  SELECT series_id, model_id, idx,
+         CASE pst WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'WATCH' WHEN 2 THEN 'WARNING' ELSE 'ALERT' END AS from_status,
+         state AS to_status, st, pst FROM (
+    SELECT *, COALESCE(LAG(st) OVER (PARTITION BY series_id, model_id ORDER BY idx), 0) AS pst FROM st) a) x,
+  (SELECT 'chime' AS event UNION ALL SELECT 'alert_on' UNION ALL SELECT 'alert_off') e
+WHERE (e.event = 'chime' AND st > pst AND st >= 2)
+   OR (e.event = 'alert_on' AND st = 3 AND pst <> 3)
+   OR (e.event = 'alert_off' AND st <> 3 AND pst = 3)""", extra=_STATES_CTES, recursive=True))
+def q_alert_transitions(spark, sf_dir):
+    from ..operators import alerts
+    t = alerts.alert_transitions(_states(spark, sf_dir))
+    return t.select("series_id", "model_id", F.col("idx").cast("bigint").alias("idx"),
+                    "from_status", "to_status", "event")
+
+
+@register("replay_ticks", with_views(["scores"], """
+SELECT st.series_id, st.model_id, st.idx, s.p, st.state,
+       st.state IN ('WARNING', 'ALERT') AS in_anomaly_window,
+       f.ts0 + st.idx * INTERVAL 1 SECOND AS replay_ts,
+       r.ts AS window_end_ts, r.ch1, r.ch2, r.ch3, r.ch4, r.ch5, r.ch6, r.ch7, r.ch8
+FROM st
+JOIN scores s ON s.series_id = st.series_id AND s.model_id = st.model_id AND s.idx = st.idx
+JOIN readings r ON r.series_id = st.series_id AND r.i = st.idx + 19
+JOIN (SELECT series_id, arg_min(ts, event_id) AS ts0 FROM readings GROUP BY series_id) f ON f.series_id = st.series_id""",
+    extra=_STATES_CTES, recursive=True))
+def q_replay_ticks(spark, sf_dir):
+    """Ordered ticks with state, the window's last reading and the replay
+    clock (first timestamp in file order + idx seconds)."""
+    from ..operators import alerts
+    r = fx.readings(spark, sf_dir)
+    st = alerts.alert_states(fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r)))
+    first = r.groupBy("series_id").agg(F.min_by("ts", "event_id").alias("ts0"))
+    ticks = (st.join(r.select("series_id", "i", F.col("ts").alias("window_end_ts"), *CH), ["series_id", "i"])
+               .join(first, "series_id"))
+    return ticks.select(
+        "series_id", "model_id", F.col("idx").cast("bigint").alias("idx"), "p",
+        F.col("status").alias("state"),
+        F.col("status").isin("WARNING", "ALERT").alias("in_anomaly_window"),
+        F.timestamp_add("SECOND", F.col("idx"), F.col("ts0")).alias("replay_ts"),
+        "window_end_ts", *CH)
+
+
+@register("monitor_counters", with_views(["scores"], """
+SELECT series_id, model_id, CAST(idx AS BIGINT) AS idx,
+       CAST(COUNT(*) OVER w AS BIGINT) AS seen,
+       CAST(SUM(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS above,
+       GREATEST(MAX(p) OVER w, 0.0) AS peak
+FROM scores WINDOW w AS (PARTITION BY series_id, model_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def q_monitor_counters(spark, sf_dir):
+    from ..operators import alerts
+    c = alerts.monitor_counters(fx.scores(spark, sf_dir))
+    return c.withColumn("idx", F.col("idx").cast("bigint"))
