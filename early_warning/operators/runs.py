@@ -38,6 +38,19 @@ def anomaly_runs(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
              .drop("_island"))
 
 
+def run_members(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
+                keys: Sequence[str] = KEYS) -> DataFrame:
+    """Flagged windows with the start index of the run they belong to, so
+    later joins to runs are equi-joins on (keys, start_idx)."""
+    keys = list(keys)
+    f = scores.where(flagged("p", threshold))
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy("idx"))
+    isl = Window.partitionBy(*keys, "_island")
+    return (f.withColumn("_island", F.col("idx") - rn)
+             .withColumn("start_idx", F.min("idx").over(isl).cast("bigint"))
+             .drop("_island"))
+
+
 def top_runs(runs: DataFrame, n: int = TOP_RUNS, keys: Sequence[str] = KEYS) -> DataFrame:
     """The ``n`` runs with the highest peak (earlier start wins ties),
     re-ordered by start and numbered from 1."""

@@ -550,3 +550,222 @@ def q_monitor_counters(spark, sf_dir):
     from ..operators import alerts
     c = alerts.monitor_counters(fx.scores(spark, sf_dir))
     return c.withColumn("idx", F.col("idx").cast("bigint"))
+
+
+# ----------------------------------------------------------------- report --
+
+def _unpivot_cols_sql(src: str, keys: str, cols: list[str], value: str = "value") -> str:
+    return "\n  UNION ALL ".join(
+        f"SELECT {keys}, {k} AS ch_pos, '{c}' AS channel, {c} AS {value} FROM {src}"
+        for k, c in enumerate(cols))
+
+
+_STATS_CTE = ("cstats", f"""
+  SELECT series_id, ch_pos, channel, AVG(value) AS mean, STDDEV_POP(value) AS std, MIN(value) AS min, MAX(value) AS max
+  FROM ({_unpivot_cols_sql("readings", "series_id", CH)}) u
+  GROUP BY series_id, ch_pos, channel""")
+
+_SUMMARY_CTE = ("summary", """
+  SELECT s.series_id, s.model_id, total_windows, fault_windows, peak_prob, peak_idx
+  FROM (SELECT series_id, model_id, CAST(COUNT(*) AS BIGINT) AS total_windows,
+               CAST(COUNT(*) FILTER (WHERE p >= 0.5) AS BIGINT) AS fault_windows, MAX(p) AS peak_prob
+        FROM scores GROUP BY series_id, model_id) s
+  JOIN (SELECT series_id, model_id, CAST(MIN(idx) AS BIGINT) AS peak_idx
+        FROM scores x WHERE p = (SELECT MAX(p) FROM scores y WHERE y.series_id = x.series_id AND y.model_id = x.model_id)
+        GROUP BY series_id, model_id) k
+    ON s.series_id = k.series_id AND s.model_id = k.model_id""")
+
+_PEAK_ROW_CTE = ("peaks", """
+  SELECT s.*, LEAST(GREATEST(s.peak_idx + 19, 0), l.n - 1) AS peak_row, l.n
+  FROM summary s JOIN (SELECT series_id, COUNT(*) AS n FROM readings GROUP BY series_id) l ON l.series_id = s.series_id""")
+
+
+def _summary(spark, sf_dir):
+    return runs.score_summary(fx.scores(spark, sf_dir))
+
+
+@register("channel_stats", with_views(["readings"], """
+SELECT series_id, CAST(ch_pos AS BIGINT) AS ch_pos, channel, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std, min, max
+FROM cstats""", extra=[_STATS_CTE]))
+def q_channel_stats(spark, sf_dir):
+    from ..operators import report
+    s = report.channel_stats(fx.readings(spark, sf_dir), CH)
+    return s.select("series_id", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel",
+                    _r6(F.col("mean")).alias("mean"), _r6(F.col("std")).alias("std"), "min", "max")
+
+
+_MEMBERS_CTE = ("members", """
+  SELECT series_id, model_id, idx, MIN(idx) OVER (PARTITION BY series_id, model_id, g) AS start_idx
+  FROM (SELECT *, idx - ROW_NUMBER() OVER (PARTITION BY series_id, model_id ORDER BY idx) AS g
+        FROM scores WHERE p >= 0.5) f""")
+
+
+@register("run_timeline", with_views(["scores"], """
+SELECT ru.series_id, ru.model_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY ru.series_id, ru.model_id ORDER BY ru.start_idx) AS BIGINT) AS run_no,
+       ru.start_idx, ru.end_idx, pr.start_ts, pr.end_ts,
+       CAST(FLOOR((epoch_us(pr.end_ts) - epoch_us(pr.start_ts)) / 1e6) + 1 AS BIGINT) AS duration_s,
+       ru.peak_prob, t.channel AS peak_sensor, ROUND(t.z, 6) AS peak_z
+FROM runs ru
+JOIN per_run pr ON pr.series_id = ru.series_id AND pr.model_id = ru.model_id AND pr.start_idx = ru.start_idx
+JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id, model_id, start_idx ORDER BY ABS(z) DESC, ch_pos) AS rk
+      FROM zs) t ON t.series_id = ru.series_id AND t.model_id = ru.model_id AND t.start_idx = ru.start_idx AND t.rk = 1""",
+    extra=[RUNS_CTE, _MEMBERS_CTE, _STATS_CTE,
+           ("per_run", f"""
+  SELECT m.series_id, m.model_id, m.start_idx, MIN(r.ts) AS start_ts, MAX(r.ts) AS end_ts,
+         {", ".join(f"AVG(r.{c}) AS {c}" for c in CH)}
+  FROM members m JOIN readings r ON r.series_id = m.series_id AND r.i = m.idx + 19
+  GROUP BY m.series_id, m.model_id, m.start_idx"""),
+           ("zs", f"""
+  SELECT u.series_id, u.model_id, u.start_idx, u.ch_pos, u.channel,
+         (u.value - c.mean) / (c.std + 1e-9) AS z
+  FROM ({_unpivot_cols_sql("per_run", "series_id, model_id, start_idx", CH)}) u
+  JOIN cstats c ON c.series_id = u.series_id AND c.channel = u.channel""")]))
+def q_run_timeline(spark, sf_dir):
+    from ..operators import report
+    r = fx.readings(spark, sf_dir)
+    s = fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r))
+    t = report.run_timeline(s, runs.anomaly_runs(s), r, CH)
+    return t.withColumn("peak_z", _r6(F.col("peak_z")))
+
+
+@register("peak_neighbourhood", with_views(["scores"], f"""
+SELECT p.series_id, p.model_id, r.i, r.i - p.peak_row AS offset,
+       r.i BETWEEN p.peak_row - 19 AND p.peak_row AS in_peak_window,
+       u.ch_pos, u.channel, u.value
+FROM peaks p
+JOIN readings r ON r.series_id = p.series_id AND r.i BETWEEN GREATEST(p.peak_row - 30, 0) AND LEAST(p.peak_row + 30, p.n - 1)
+JOIN ({_unpivot_cols_sql("readings", "series_id, i", CH)}) u ON u.series_id = r.series_id AND u.i = r.i""",
+    extra=[_SUMMARY_CTE, _PEAK_ROW_CTE]))
+def q_peak_neighbourhood(spark, sf_dir):
+    from ..operators import report
+    r = fx.readings(spark, sf_dir)
+    summ = runs.score_summary(fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r)))
+    out = report.peak_neighbourhood(summ, r, CH)
+    return out.select("series_id", "model_id", "i", "offset", "in_peak_window",
+                      F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel", "value")
+
+
+_DEEP_CTE = ("deep", f"""
+  SELECT w.series_id, w.model_id, c.ch_pos, c.channel, c.mean AS file_mean, c.min AS file_min, c.max AS file_max,
+         w.value AS peak_window_mean, (w.value - c.mean) / (c.std + 1e-9) AS z
+  FROM ({_unpivot_cols_sql("wmean", "series_id, model_id", CH)}) w
+  JOIN cstats c ON c.series_id = w.series_id AND c.channel = w.channel""")
+_WMEAN_CTE = ("wmean", f"""
+  SELECT p.series_id, p.model_id, {", ".join(f"AVG(r.{c}) AS {c}" for c in CH)}
+  FROM peaks p JOIN readings r ON r.series_id = p.series_id AND r.i BETWEEN GREATEST(p.peak_row - 19, 0) AND p.peak_row
+  GROUP BY p.series_id, p.model_id""")
+
+
+@register("sensor_deepdive", with_views(["scores"], """
+SELECT series_id, model_id, CAST(ch_pos AS BIGINT) AS ch_pos, channel, ROUND(file_mean, 6) AS file_mean,
+       file_min, file_max, ROUND(peak_window_mean, 6) AS peak_window_mean, ROUND(z, 6) AS z
+FROM deep""", extra=[_SUMMARY_CTE, _PEAK_ROW_CTE, _STATS_CTE, _WMEAN_CTE, _DEEP_CTE]))
+def q_sensor_deepdive(spark, sf_dir):
+    from ..operators import report
+    r = fx.readings(spark, sf_dir)
+    summ = runs.score_summary(fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r)))
+    d = report.sensor_deepdive(summ, r, CH)
+    return d.select("series_id", "model_id", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel",
+                    _r6(F.col("file_mean")).alias("file_mean"), "file_min", "file_max",
+                    _r6(F.col("peak_window_mean")).alias("peak_window_mean"), _r6(F.col("z")).alias("z"))
+
+
+@register("peak_sensor", with_views(["scores"], """
+SELECT series_id, model_id, channel AS peak_sensor, ROUND(z, 6) AS peak_z,
+       CASE WHEN z > 0 THEN 'above' ELSE 'below' END AS direction
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id, model_id ORDER BY ABS(z) DESC, ch_pos) AS rk FROM deep) d
+WHERE rk = 1""", extra=[_SUMMARY_CTE, _PEAK_ROW_CTE, _STATS_CTE, _WMEAN_CTE, _DEEP_CTE]))
+def q_peak_sensor(spark, sf_dir):
+    """T3 + F11: the most deviant channel of the peak window and its direction."""
+    from ..operators import report
+    r = fx.readings(spark, sf_dir)
+    summ = runs.score_summary(fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r)))
+    d = report.sensor_deepdive(summ, r, CH)
+    p = report.peak_sensor(d, ["series_id", "model_id"])
+    return p.select("series_id", "model_id", "peak_sensor", _r6(F.col("peak_z")).alias("peak_z"),
+                    F.when(F.col("peak_z") > 0, "above").otherwise("below").alias("direction"))
+
+
+_RISK_SQL = """CASE WHEN fault_windows = 0 OR peak_prob < 0.5 THEN 'LOW'
+            WHEN CAST(fault_windows AS DOUBLE) / GREATEST(total_windows, 1) >= 0.10 OR peak_prob >= 0.8 THEN 'HIGH'
+            ELSE 'MEDIUM' END"""
+
+
+@register("risk_level", with_views(["scores"], f"""
+SELECT series_id, model_id, {_RISK_SQL} AS risk FROM summary""", extra=[_SUMMARY_CTE]))
+def q_risk_level(spark, sf_dir):
+    from ..operators import report
+    s = _summary(spark, sf_dir)
+    return s.select("series_id", "model_id",
+                    report.risk_level(F.col("fault_windows"), F.col("total_windows"), F.col("peak_prob")).alias("risk"))
+
+
+@register("executive_summary", with_views(["scores"], f"""
+SELECT series_id, model_id, verdict, risk,
+       CASE WHEN risk = 'LOW' AND fault_windows = 0 THEN 'No action required' WHEN risk = 'LOW' THEN 'Low concern'
+            WHEN risk = 'MEDIUM' THEN 'Inspection recommended' ELSE 'Inspect immediately' END AS action,
+       rows_analysed, 0.5::DOUBLE AS threshold, total_windows, fault_windows, peak_prob, peak_idx
+FROM (SELECT s.*, {_RISK_SQL} AS risk,
+             CASE WHEN fault_windows = 0 THEN 'Pump operating normally'
+                  ELSE CAST(fault_windows AS VARCHAR) || ' anomaly window(s) detected' END AS verdict,
+             l.n AS rows_analysed
+      FROM summary s JOIN (SELECT series_id, CAST(COUNT(*) AS BIGINT) AS n FROM readings GROUP BY series_id) l
+        ON l.series_id = s.series_id) x""", extra=[_SUMMARY_CTE]))
+def q_executive_summary(spark, sf_dir):
+    from ..operators import report
+    r = fx.readings(spark, sf_dir)
+    summ = runs.score_summary(fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r)))
+    return report.executive_summary(summ, r)
+
+
+_COMPARE_CTE = ("cmp", f"""
+  SELECT sr.series_id, g.model_id, g.name, g.family, g.model_id = 'm1' AS selected,
+         s.total_windows IS NULL AS unavailable, s.fault_windows AS flags, s.peak_prob,
+         ROUND(m.f1, 6) AS f1_here, g.test_f1
+  FROM (SELECT DISTINCT series_id FROM readings) sr CROSS JOIN registry g
+  LEFT JOIN summary s ON s.series_id = sr.series_id AND s.model_id = g.model_id
+  LEFT JOIN (SELECT series_id, model_id,
+                    {div0("2 * COUNT(*) FILTER (WHERE y = 1 AND p >= 0.5)",
+                          "2 * COUNT(*) FILTER (WHERE y = 1 AND p >= 0.5) + COUNT(*) FILTER (WHERE y <> 1 AND p >= 0.5) + COUNT(*) FILTER (WHERE y = 1 AND p < 0.5)")} AS f1
+             FROM scores GROUP BY series_id, model_id) m ON m.series_id = sr.series_id AND m.model_id = g.model_id""")
+
+
+def _compare(spark, sf_dir):
+    from ..operators import metrics, report
+    r = fx.readings(spark, sf_dir)
+    s = fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r))
+    keys = ["series_id", "model_id"]
+    m = metrics.prf(s, keys)
+    c = report.model_compare(runs.score_summary(s), m, fx.registry(spark),
+                             r.select("series_id").distinct(), "m1")
+    return c.withColumn("f1_here", _r6(F.col("f1_here")))
+
+
+@register("model_compare", with_views(["scores", "registry"], """
+SELECT series_id, model_id, name, family, selected, unavailable, flags, peak_prob, f1_here, test_f1 FROM cmp""",
+    extra=[_SUMMARY_CTE, _COMPARE_CTE]))
+def q_model_compare(spark, sf_dir):
+    return _compare(spark, sf_dir)
+
+
+@register("agreement", with_views(["scores", "registry"], """
+SELECT series_id, CAST(COUNT(*) AS BIGINT) AS n_available, CAST(COUNT(*) FILTER (WHERE flags > 0) AS BIGINT) AS n_flagging,
+       COALESCE(STRING_AGG(name, ', ' ORDER BY model_id) FILTER (WHERE flags = 0), '') AS silent_models,
+       CASE WHEN COUNT(*) FILTER (WHERE flags > 0) = 0 THEN 'none'
+            WHEN COUNT(*) FILTER (WHERE flags > 0) = COUNT(*) THEN 'all' ELSE 'partial' END AS agreement
+FROM cmp WHERE NOT unavailable GROUP BY series_id""", extra=[_SUMMARY_CTE, _COMPARE_CTE]))
+def q_agreement(spark, sf_dir):
+    from ..operators import report
+    return report.agreement(_compare(spark, sf_dir))
+
+
+@register("prob_series", with_views(["scores"], """
+SELECT s.series_id, s.model_id, CAST(s.idx AS BIGINT) AS idx, s.p, 0.5::DOUBLE AS threshold, s.p >= 0.5 AS flagged,
+       CAST(m.start_idx AS BIGINT) AS run_start_idx
+FROM scores s LEFT JOIN members m ON m.series_id = s.series_id AND m.model_id = s.model_id AND m.idx = s.idx""",
+    extra=[_MEMBERS_CTE]))
+def q_prob_series(spark, sf_dir):
+    from ..operators import report
+    p = report.prob_series(fx.scores(spark, sf_dir))
+    return p.withColumn("idx", F.col("idx").cast("bigint"))
