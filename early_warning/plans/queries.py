@@ -769,3 +769,97 @@ def q_prob_series(spark, sf_dir):
     from ..operators import report
     p = report.prob_series(fx.scores(spark, sf_dir))
     return p.withColumn("idx", F.col("idx").cast("bigint"))
+
+
+# ------------------------------------------------------------------ audit --
+
+AUDIT_SENSORS = ["ch1", "ch2"]
+
+
+@register("audit_file_info", with_views(["file_rows"], """
+SELECT file_k, MIN(ts) AS start_ts, MAX(ts) AS end_ts, CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST(COUNT(*) FILTER (WHERE anomaly = 1) AS BIGINT) AS anomaly_count
+FROM file_rows GROUP BY file_k"""))
+def q_audit_file_info(spark, sf_dir):
+    from ..operators import audit
+    return audit.file_info(fx.file_rows(spark, sf_dir))
+
+
+@register("overlap_pairs", with_views(["file_rows"], """
+SELECT a.file_k AS file_a, b.file_k AS file_b
+FROM info a JOIN info b ON a.file_k < b.file_k AND NOT (a.end_ts < b.start_ts OR b.end_ts < a.start_ts)""",
+    extra=[("info", "SELECT file_k, MIN(ts) AS start_ts, MAX(ts) AS end_ts FROM file_rows GROUP BY file_k")]))
+def q_overlap_pairs(spark, sf_dir):
+    from ..operators import audit
+    return audit.overlap_pairs(audit.file_info(fx.file_rows(spark, sf_dir)))
+
+
+_COMMON_CTE = ("common", """
+  SELECT a.file_k AS file_a, b.file_k AS file_b, a.ts
+  FROM (SELECT DISTINCT file_k, ts FROM file_rows) a
+  JOIN (SELECT DISTINCT file_k, ts FROM file_rows) b ON a.ts = b.ts AND a.file_k < b.file_k""")
+
+
+@register("ts_intersect", with_views(["file_rows"], "SELECT file_a, file_b, ts FROM common",
+                                     extra=[_COMMON_CTE]))
+def q_ts_intersect(spark, sf_dir):
+    from ..operators import audit
+    return audit.common_timestamps(fx.file_rows(spark, sf_dir))
+
+
+@register("overlap_counts", with_views(["file_rows"], """
+SELECT file_a, file_b, CAST(COUNT(*) AS BIGINT) AS overlap_count,
+       list_sort(list(ts) FILTER (WHERE r <= 5)) AS sample_times
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY file_a, file_b ORDER BY ts) AS r FROM common) c
+GROUP BY file_a, file_b""", extra=[_COMMON_CTE]))
+def q_overlap_counts(spark, sf_dir):
+    from ..operators import audit
+    return audit.overlap_counts(audit.common_timestamps(fx.file_rows(spark, sf_dir)))
+
+
+_VERDICT_CTES = [_COMMON_CTE, ("occ", """
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY file_k, ts ORDER BY ch1, ch2, anomaly, changepoint) AS o FROM file_rows"""),
+    ("sa", """SELECT c.file_a, c.file_b, c.ts, r.o, r.ch1, r.ch2, r.anomaly, r.changepoint
+              FROM common c JOIN occ r ON r.file_k = c.file_a AND r.ts = c.ts"""),
+    ("sb", """SELECT c.file_a, c.file_b, c.ts, r.o, r.ch1, r.ch2, r.anomaly, r.changepoint
+              FROM common c JOIN occ r ON r.file_k = c.file_b AND r.ts = c.ts"""),
+    ("verdicts", """
+  SELECT file_a, file_b, sensor_equal, label_equal, changepoint_equal, full_equal,
+         CASE WHEN sensor_equal AND NOT label_equal THEN 'label_conflict' WHEN full_equal THEN 'full_duplicate'
+              WHEN sensor_equal AND label_equal THEN 'slicing_overlap' ELSE 'differ' END AS verdict
+  FROM (SELECT COALESCE(sa.file_a, sb.file_a) AS file_a, COALESCE(sa.file_b, sb.file_b) AS file_b,
+               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.ch1 IS NOT DISTINCT FROM sb.ch1
+                        AND sa.ch2 IS NOT DISTINCT FROM sb.ch2) AS sensor_equal,
+               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.anomaly IS NOT DISTINCT FROM sb.anomaly) AS label_equal,
+               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.changepoint IS NOT DISTINCT FROM sb.changepoint) AS changepoint_equal,
+               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.ch1 IS NOT DISTINCT FROM sb.ch1
+                        AND sa.ch2 IS NOT DISTINCT FROM sb.ch2 AND sa.anomaly IS NOT DISTINCT FROM sb.anomaly
+                        AND sa.changepoint IS NOT DISTINCT FROM sb.changepoint) AS full_equal
+        FROM sa FULL OUTER JOIN sb ON sa.file_a = sb.file_a AND sa.file_b = sb.file_b AND sa.ts = sb.ts AND sa.o = sb.o
+        GROUP BY 1, 2) x""")]
+
+
+def _verdicts(spark, sf_dir):
+    from ..operators import audit
+    rows = fx.file_rows(spark, sf_dir)
+    return audit.overlap_verdict(rows, audit.common_timestamps(rows), AUDIT_SENSORS)
+
+
+@register("overlap_verdict", with_views(["file_rows"], """
+SELECT file_a, file_b, sensor_equal, label_equal, changepoint_equal, full_equal, verdict FROM verdicts""",
+    extra=_VERDICT_CTES))
+def q_overlap_verdict(spark, sf_dir):
+    return _verdicts(spark, sf_dir)
+
+
+@register("audit_summary", with_views(["file_rows"], """
+SELECT overlap_cases, full_duplicates, label_conflicts, consistent_slicing,
+       CASE WHEN overlap_cases = 0 THEN 'independent' WHEN label_conflicts > 0 THEN 'label_conflicts' ELSE 'clean' END AS conclusion
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS overlap_cases,
+             CAST(COUNT(*) FILTER (WHERE full_equal) AS BIGINT) AS full_duplicates,
+             CAST(COUNT(*) FILTER (WHERE sensor_equal AND NOT label_equal) AS BIGINT) AS label_conflicts,
+             CAST(COUNT(*) FILTER (WHERE sensor_equal AND label_equal AND NOT full_equal) AS BIGINT) AS consistent_slicing
+      FROM verdicts) s""", extra=_VERDICT_CTES))
+def q_audit_summary(spark, sf_dir):
+    from ..operators import audit
+    return audit.audit_summary(_verdicts(spark, sf_dir))
