@@ -141,3 +141,61 @@ def live_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [(0.0, "m1", 0.5), (30.0, "m2", None), (45.0, None, 0.6)],
         "at_s double, model_id string, threshold double")
+
+
+# Upload fixtures: the readings as text files, with a deterministic rule that
+# damages cells so every validation check has findings on every scale.
+DAMAGE = [  # (channel, modulus, remainder, text)
+    ("ch1", 419, 23, "x1"),
+    ("ch2", 401, 17, "abc"),
+    ("ch3", 211, 7, "--"),
+    ("ch5", 223, 11, "N/A"),
+    ("ch6", 227, 13, ""),
+    ("ch8", 409, 19, "#"),
+]
+BAD_TIME = (251, 5, "not a time")
+
+
+def uploads(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
+    """One text 'file' per series: ``file``, ``row`` (order in the file),
+    ``ts_text``, ``ch1..ch8`` and ``anomaly`` as strings."""
+    r = readings(spark, sf_dir) if r is None else r
+    e = F.col("event_id")
+    cols = []
+    for c in CHANNELS:
+        cell = F.col(c).cast("string")
+        for ch, mod, rem, text in DAMAGE:
+            if ch == c:
+                cell = F.when(e % mod == rem, F.lit(text)).otherwise(cell)
+        cols.append(cell.alias(c))
+    mod, rem, text = BAD_TIME
+    ts_text = F.when(e % mod == rem, F.lit(text)).otherwise(F.col("ts").cast("string"))
+    return r.select(F.col("series_id").alias("file"), e.alias("row"), ts_text.alias("ts_text"),
+                    *cols, F.col("anomaly").cast("string").alias("anomaly"))
+
+
+HEADER_RENAMES = {1: ("ch2", "CH_2"), 2: ("ch3", "Ch 3"), 3: ("ch5", "channel5"),
+                  4: ("datetime", "Timestamp")}
+
+
+def upload_headers(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
+    """(file, col_pos, col_name): each file's header; by ``series_id % 6`` one
+    column is renamed (1-4) or the label column is absent (5)."""
+    r = readings(spark, sf_dir) if r is None else r
+    names = ["datetime", *CHANNELS, "anomaly"]
+    files = r.select(F.col("series_id").alias("file")).distinct()
+    h = files.select("file", F.posexplode(F.array(*[F.lit(n) for n in names])).alias("col_pos", "col_name"))
+    kind = F.col("file") % 6
+    col = F.col("col_name")
+    for k, (old, new) in HEADER_RENAMES.items():
+        col = F.when((kind == k) & (F.col("col_name") == old), F.lit(new)).otherwise(col)
+    h = h.withColumn("col_name", col)
+    return h.where(~((kind == 5) & (F.col("col_name") == "anomaly"))) \
+            .withColumn("col_pos", F.col("col_pos").cast("bigint"))
+
+
+def model_requests(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
+    """One model request per series: ``m`` + series_id % 6 (m0 and m5 are unknown)."""
+    r = readings(spark, sf_dir) if r is None else r
+    return (r.select("series_id").distinct()
+             .select("series_id", F.concat(F.lit("m"), (F.col("series_id") % 6).cast("string")).alias("model_id")))

@@ -65,6 +65,33 @@ UNION ALL SELECT 'ch8', CAST(0 AS DOUBLE), CAST(400 AS DOUBLE)"""),
 SELECT CAST(0 AS DOUBLE) AS at_s, 'm1' AS model_id, CAST(0.5 AS DOUBLE) AS threshold
 UNION ALL SELECT CAST(30 AS DOUBLE), 'm2', NULL
 UNION ALL SELECT CAST(45 AS DOUBLE), NULL, CAST(0.6 AS DOUBLE)"""),
+    "uploads": (["readings"], """
+SELECT series_id AS file, event_id AS row,
+       CASE WHEN event_id % 251 = 5 THEN 'not a time' ELSE CAST(ts AS VARCHAR) END AS ts_text,
+       CASE WHEN event_id % 419 = 23 THEN 'x1' ELSE CAST(ch1 AS VARCHAR) END AS ch1,
+       CASE WHEN event_id % 401 = 17 THEN 'abc' ELSE CAST(ch2 AS VARCHAR) END AS ch2,
+       CASE WHEN event_id % 211 = 7 THEN '--' ELSE CAST(ch3 AS VARCHAR) END AS ch3,
+       CAST(ch4 AS VARCHAR) AS ch4,
+       CASE WHEN event_id % 223 = 11 THEN 'N/A' ELSE CAST(ch5 AS VARCHAR) END AS ch5,
+       CASE WHEN event_id % 227 = 13 THEN '' ELSE CAST(ch6 AS VARCHAR) END AS ch6,
+       CAST(ch7 AS VARCHAR) AS ch7,
+       CASE WHEN event_id % 409 = 19 THEN '#' ELSE CAST(ch8 AS VARCHAR) END AS ch8,
+       CAST(anomaly AS VARCHAR) AS anomaly
+FROM readings"""),
+    "upload_headers": (["readings"], """
+SELECT file, col_pos, col_name FROM (
+  SELECT f.file, CAST(h.col_pos AS BIGINT) AS col_pos,
+         CASE WHEN f.file % 6 = 1 AND h.name = 'ch2' THEN 'CH_2'
+              WHEN f.file % 6 = 2 AND h.name = 'ch3' THEN 'Ch 3'
+              WHEN f.file % 6 = 3 AND h.name = 'ch5' THEN 'channel5'
+              WHEN f.file % 6 = 4 AND h.name = 'datetime' THEN 'Timestamp'
+              ELSE h.name END AS col_name
+  FROM (SELECT DISTINCT series_id AS file FROM readings) f
+  CROSS JOIN (SELECT * FROM (VALUES (0, 'datetime'), (1, 'ch1'), (2, 'ch2'), (3, 'ch3'), (4, 'ch4'), (5, 'ch5'),
+                                    (6, 'ch6'), (7, 'ch7'), (8, 'ch8'), (9, 'anomaly')) v(col_pos, name)) h) x
+WHERE NOT (file % 6 = 5 AND col_name = 'anomaly')"""),
+    "model_requests": (["readings"], """
+SELECT DISTINCT series_id, 'm' || CAST(series_id % 6 AS VARCHAR) AS model_id FROM readings"""),
 }
 
 

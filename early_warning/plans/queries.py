@@ -863,3 +863,208 @@ FROM (SELECT CAST(COUNT(*) AS BIGINT) AS overlap_cases,
 def q_audit_summary(spark, sf_dir):
     from ..operators import audit
     return audit.audit_summary(_verdicts(spark, sf_dir))
+
+
+# ------------------------------------------------------ profile, validation --
+
+@register("split_assign", with_views(["readings"], """
+SELECT r.series_id, p.split, CAST(COUNT(*) AS BIGINT) AS rows
+FROM readings r JOIN (SELECT DISTINCT series_id, split FROM readings) p ON p.series_id = r.series_id
+GROUP BY r.series_id, p.split"""))
+def q_split_assign(spark, sf_dir):
+    """The split plan (one row per file) joined to the readings."""
+    from ..operators import profile
+    r = fx.readings(spark, sf_dir)
+    plan = r.select("series_id", "split").distinct()
+    assigned, _missing = profile.assign_split(r.drop("split"), plan, ["series_id"])
+    return assigned.groupBy("series_id", "split").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+@register("split_summary", with_views(["windows"], """
+SELECT CASE g WHEN 0 THEN 'file' WHEN 1 THEN 'split' ELSE 'total' END AS level, split, series_id,
+       samples, positives, samples - positives AS negatives,
+       ROUND(CAST(positives AS DOUBLE) / samples, 6) AS positive_ratio,
+       ROUND(CAST(samples AS DOUBLE) / SUM(samples) OVER (PARTITION BY g), 6) AS share
+FROM (SELECT split, series_id, CAST(COUNT(*) AS BIGINT) AS samples,
+             CAST(COUNT(*) FILTER (WHERE y = 1) AS BIGINT) AS positives, GROUPING(split, series_id) AS g
+      FROM windows GROUP BY ROLLUP (split, series_id)) r"""))
+def q_split_summary(spark, sf_dir):
+    from ..operators import profile
+    s = profile.split_summary(fx.windows(spark, sf_dir))
+    return s.withColumn("positive_ratio", _r6(F.col("positive_ratio"))).withColumn("share", _r6(F.col("share")))
+
+
+@register("file_summary", with_views(["readings"], """
+SELECT series_id, CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST(COUNT(*) FILTER (WHERE anomaly = 1) AS BIGINT) AS anomaly_count,
+       CAST(COUNT(*) FILTER (WHERE anomaly = 0) AS BIGINT) AS normal_count,
+       ROUND(CAST(COUNT(*) FILTER (WHERE anomaly = 1) AS DOUBLE) / COUNT(*), 6) AS anomaly_ratio
+FROM readings GROUP BY series_id"""))
+def q_file_summary(spark, sf_dir):
+    from ..operators import profile
+    s = profile.file_summary(fx.readings(spark, sf_dir))
+    return s.withColumn("anomaly_ratio", _r6(F.col("anomaly_ratio")))
+
+
+@register("label_distribution", with_views(["readings"], """
+SELECT CAST(anomaly AS BIGINT) AS label, CAST(COUNT(*) AS BIGINT) AS rows,
+       ROUND(CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (), 6) AS share
+FROM readings GROUP BY anomaly"""))
+def q_label_distribution(spark, sf_dir):
+    from ..operators import profile
+    d = profile.label_distribution(fx.readings(spark, sf_dir))
+    return d.select(F.col("label").cast("bigint").alias("label"), "rows", _r6(F.col("share")).alias("share"))
+
+
+_MISSING_COLS = ["series_id", "ts", *CH, "anomaly"]
+
+
+@register("missing_counts", with_views(["readings"], "\nUNION ALL ".join(
+    f"""SELECT CAST({k} AS BIGINT) AS col_pos, '{c}' AS col_name,
+       CAST(COUNT(*) FILTER (WHERE {c} IS NULL{" OR series_id % 2 = 1" if c in ("ch8", "anomaly") else ""}) AS BIGINT) AS missing
+FROM readings""" for k, c in enumerate(_MISSING_COLS))))
+def q_missing_counts(spark, sf_dir):
+    """A4 over files of two layouts: odd series lack ``ch8`` and the label."""
+    from ..operators import profile
+    r = fx.readings(spark, sf_dir).select(*_MISSING_COLS)
+    full = r.where(F.col("series_id") % 2 == 0)
+    partial = r.where(F.col("series_id") % 2 == 1).drop("ch8", "anomaly")
+    m = profile.missing_counts([full, partial])
+    return m.select(F.col("col_pos").cast("bigint").alias("col_pos"), "col_name", "missing")
+
+
+def _blank_sql(c: str) -> str:
+    from ..config import NA_TOKENS
+    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+    return (f"({c} IS NULL OR TRIM({c}) IN ({toks}) "
+            f"OR COALESCE(isnan(TRY_CAST(TRIM({c}) AS DOUBLE)), FALSE))")
+
+
+@register("time_column_hints", with_views(["upload_headers"], """
+SELECT file, 'datetime' AS missing_column,
+       MIN(col_name) FILTER (WHERE LOWER(col_name) IN ('timestamp', 'time', 'date', 'datetime')) AS suggestion
+FROM upload_headers GROUP BY file HAVING NOT BOOL_OR(col_name = 'datetime')"""))
+def q_time_column_hints(spark, sf_dir):
+    from ..operators import validate
+    return validate.time_column_hints(fx.upload_headers(spark, sf_dir), "datetime")
+
+
+@register("rename_hints", with_views(["upload_headers"], f"""
+SELECT m.file, CAST(m.ch_pos AS BIGINT) AS ch_pos, m.wanted AS missing_column, MIN(h.col_name) AS suggestion
+FROM (SELECT f.file, w.ch_pos, w.wanted
+      FROM (SELECT DISTINCT file FROM upload_headers) f
+      CROSS JOIN (SELECT * FROM (VALUES {", ".join(f"({k}, '{c}')" for k, c in enumerate(CH))}) v(ch_pos, wanted)) w
+      WHERE NOT EXISTS (SELECT 1 FROM upload_headers h WHERE h.file = f.file AND h.col_name = w.wanted)) m
+LEFT JOIN upload_headers h ON h.file = m.file
+     AND LOWER(REGEXP_REPLACE(TRIM(h.col_name), '[_ ]', '', 'g')) = LOWER(REGEXP_REPLACE(TRIM(m.wanted), '[_ ]', '', 'g'))
+GROUP BY m.file, m.ch_pos, m.wanted"""))
+def q_rename_hints(spark, sf_dir):
+    from ..operators import validate
+    return validate.rename_hints(fx.upload_headers(spark, sf_dir), CH)
+
+
+@register("nonnumeric_cells", with_views(["uploads"], f"""
+SELECT file, CAST(ch_pos AS BIGINT) AS ch_pos, channel, first_value, first_row, n_bad FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY file ORDER BY ch_pos) AS rk FROM (
+    SELECT file, ch_pos, channel, arg_min(cell, row) AS first_value, MIN(row) AS first_row,
+           CAST(COUNT(*) AS BIGINT) AS n_bad
+    FROM ({_unpivot_cols_sql("uploads", "file, row", CH, "cell")}) u
+    WHERE NOT {_blank_sql("cell")} AND TRY_CAST(TRIM(cell) AS DOUBLE) IS NULL
+    GROUP BY file, ch_pos, channel) a) b
+WHERE rk <= 3"""))
+def q_nonnumeric_cells(spark, sf_dir):
+    from ..operators import validate
+    n = validate.nonnumeric_cells(fx.uploads(spark, sf_dir), CH)
+    return n.select("file", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel", "first_value",
+                    "first_row", "n_bad")
+
+
+@register("null_counts", with_views(["uploads"], "\nUNION ALL ".join(
+    f"""SELECT file, CAST({k} AS BIGINT) AS ch_pos, '{c}' AS channel,
+       CAST(COUNT(*) FILTER (WHERE {_blank_sql(c)}) AS BIGINT) AS n_blank FROM uploads GROUP BY file"""
+    for k, c in enumerate(CH))))
+def q_null_counts(spark, sf_dir):
+    from ..operators import validate
+    b = validate.blank_counts(fx.uploads(spark, sf_dir), CH)
+    return b.select("file", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel", "n_blank")
+
+
+_FACTS_SQL = """
+  SELECT u.file, u.rows, h.columns, h.has_label, u.start_ts, u.end_ts, u.bad_timestamps, u.rows < 30 AS too_short
+  FROM (SELECT file, CAST(COUNT(*) AS BIGINT) AS rows,
+               CAST(COUNT(*) FILTER (WHERE TRY_CAST(TRIM(ts_text) AS TIMESTAMP) IS NULL) AS BIGINT) AS bad_timestamps,
+               MIN(TRY_CAST(TRIM(ts_text) AS TIMESTAMP)) AS start_ts, MAX(TRY_CAST(TRIM(ts_text) AS TIMESTAMP)) AS end_ts
+        FROM uploads GROUP BY file) u
+  LEFT JOIN (SELECT file, CAST(COUNT(*) AS BIGINT) AS columns, BOOL_OR(col_name = 'anomaly') AS has_label
+             FROM upload_headers GROUP BY file) h ON h.file = u.file"""
+
+
+def _facts(spark, sf_dir):
+    from ..operators import validate
+    r = fx.readings(spark, sf_dir)
+    return validate.file_facts(fx.uploads(spark, sf_dir, r), "ts_text", fx.upload_headers(spark, sf_dir, r))
+
+
+@register("file_facts", with_views(["uploads", "upload_headers"], "SELECT * FROM facts",
+                                   extra=[("facts", _FACTS_SQL)]))
+def q_file_facts(spark, sf_dir):
+    return _facts(spark, sf_dir).select(
+        "file", "rows", "columns", "has_label",
+        F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
+        F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "bad_timestamps", "too_short")
+
+
+@register("too_short", with_views(["uploads", "upload_headers"], "SELECT file, rows, too_short FROM facts",
+                                  extra=[("facts", _FACTS_SQL)]))
+def q_too_short(spark, sf_dir):
+    return _facts(spark, sf_dir).select("file", "rows", "too_short")
+
+
+_PROFILE_SQL = """
+  SELECT file, CAST(COUNT(*) AS BIGINT) AS n_intervals, MEDIAN(dt) AS median_interval,
+         COALESCE(STDDEV_SAMP(dt), 0.0) AS std_interval,
+         CAST(COUNT(*) FILTER (WHERE dt > 2.0) AS BIGINT) AS gaps,
+         CAST(COUNT(*) FILTER (WHERE dt <= 0) AS BIGINT) AS duplicates
+  FROM (SELECT series_id AS file,
+               (epoch_us(ts) - LAG(epoch_us(ts)) OVER (PARTITION BY series_id ORDER BY ts, event_id)) / 1e6 AS dt
+        FROM readings) d
+  WHERE dt IS NOT NULL GROUP BY file"""
+
+
+def _profile(spark, sf_dir):
+    from ..operators import validate
+    r = fx.readings(spark, sf_dir)
+    return validate.sampling_profile(r.withColumnRenamed("series_id", "file"), "ts", "file", "event_id")
+
+
+@register("sampling_profile", with_views(["readings"], """
+SELECT file, n_intervals, median_interval, ROUND(std_interval, 6) AS std_interval,
+       gaps, duplicates FROM prof""", extra=[("prof", _PROFILE_SQL)]))
+def q_sampling_profile(spark, sf_dir):
+    p = _profile(spark, sf_dir)
+    return p.withColumn("std_interval", _r6(F.col("std_interval")))
+
+
+@register("sampling_warnings", with_views(["readings", "uploads", "upload_headers"], """
+SELECT p.file, w.warning, ROUND(CASE WHEN median_interval > 0 THEN 1 / median_interval END, 6) AS rate_hz,
+       median_interval, ROUND(std_interval, 6) AS std_interval, gaps, duplicates
+FROM prof p LEFT JOIN facts f ON f.file = p.file
+JOIN (SELECT 'sampling_rate' AS warning UNION ALL SELECT 'uneven_intervals' UNION ALL SELECT 'gaps'
+      UNION ALL SELECT 'duplicate_timestamps' UNION ALL SELECT 'no_label') w
+  ON (w.warning = 'sampling_rate' AND ABS(median_interval - 1.0) > 0.3)
+  OR (w.warning = 'uneven_intervals' AND std_interval > 0.5 AND median_interval > 0)
+  OR (w.warning = 'gaps' AND gaps > 0) OR (w.warning = 'duplicate_timestamps' AND duplicates > 0)
+  OR (w.warning = 'no_label' AND NOT COALESCE(f.has_label, FALSE))""",
+    extra=[("prof", _PROFILE_SQL), ("facts", _FACTS_SQL)]))
+def q_sampling_warnings(spark, sf_dir):
+    from ..operators import validate
+    w = validate.sampling_warnings(_profile(spark, sf_dir), _facts(spark, sf_dir))
+    return w.select("file", "warning", _r6(F.col("rate_hz")).alias("rate_hz"),
+                    "median_interval", _r6(F.col("std_interval")).alias("std_interval"), "gaps", "duplicates")
+
+
+@register("unknown_models", with_views(["model_requests", "registry"], """
+SELECT q.series_id, q.model_id FROM model_requests q WHERE q.model_id NOT IN (SELECT model_id FROM registry)"""))
+def q_unknown_models(spark, sf_dir):
+    from ..operators import validate
+    return validate.unknown_models(fx.model_requests(spark, sf_dir), fx.registry(spark))
