@@ -1068,3 +1068,225 @@ SELECT q.series_id, q.model_id FROM model_requests q WHERE q.model_id NOT IN (SE
 def q_unknown_models(spark, sf_dir):
     from ..operators import validate
     return validate.unknown_models(fx.model_requests(spark, sf_dir), fx.registry(spark))
+
+
+# ------------------------------------------------- live path (batch twins) --
+
+def _qevents_ctes() -> list[tuple[str, str]]:
+    return [
+        ("longv", _unpivot_cols_sql("readings", "series_id, i", CH)),
+        ("frz", """
+  SELECT series_id, i, channel, flag, COALESCE(LAG(flag) OVER (PARTITION BY series_id, channel ORDER BY i), FALSE) AS prev
+  FROM (SELECT series_id, i, channel,
+               COUNT(value) OVER w >= 30 AND MIN(value) OVER w = MAX(value) OVER w AS flag
+        FROM longv WHERE value IS NOT NULL
+        WINDOW w AS (PARTITION BY series_id, channel ORDER BY i ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) f"""),
+        ("rng", """
+  SELECT series_id, i, channel, flag, COALESCE(LAG(flag) OVER (PARTITION BY series_id, channel ORDER BY i), FALSE) AS prev
+  FROM (SELECT l.series_id, l.i, l.channel,
+               COALESCE(l.value IS NOT NULL AND (l.value < c.lo OR l.value > c.hi), FALSE) AS flag
+        FROM longv l JOIN channel_ranges c ON c.channel = l.channel) f"""),
+        ("unv", """
+  SELECT series_id, i, flag, COALESCE(LAG(flag) OVER (PARTITION BY series_id ORDER BY i), FALSE) AS prev
+  FROM (SELECT series_id, i,
+               COUNT(dt) OVER w >= 20 AND STDDEV_POP(dt) OVER w > 0.5 AS flag
+        FROM (SELECT series_id, i, arrival_s - LAG(arrival_s) OVER (PARTITION BY series_id ORDER BY i) AS dt
+              FROM readings) d
+        WHERE dt > 0
+        WINDOW w AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) f"""),
+        ("qev", """
+  SELECT series_id, i, CASE WHEN flag THEN 'FROZEN_SENSOR' ELSE 'FROZEN_CLEARED' END AS code, channel,
+         CASE WHEN flag THEN 'warning' ELSE 'info' END AS severity FROM frz WHERE flag <> prev
+  UNION ALL
+  SELECT series_id, i, CASE WHEN flag THEN 'OUT_OF_RANGE' ELSE 'OUT_OF_RANGE_CLEARED' END, channel,
+         CASE WHEN flag THEN 'warning' ELSE 'info' END FROM rng WHERE flag <> prev
+  UNION ALL
+  SELECT series_id, i, CASE WHEN flag THEN 'UNEVEN_SAMPLING' ELSE 'EVEN_SAMPLING_RESTORED' END, NULL,
+         CASE WHEN flag THEN 'warning' ELSE 'info' END FROM unv WHERE flag <> prev"""),
+        ("openw", """
+  SELECT series_id, warning, channel, i AS since_i FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id, warning, COALESCE(channel, '') ORDER BY i DESC) AS rk
+    FROM (SELECT *, CASE code WHEN 'FROZEN_CLEARED' THEN 'FROZEN_SENSOR' WHEN 'OUT_OF_RANGE_CLEARED' THEN 'OUT_OF_RANGE'
+                              WHEN 'EVEN_SAMPLING_RESTORED' THEN 'UNEVEN_SAMPLING' ELSE code END AS warning FROM qev) e) x
+  WHERE rk = 1 AND code = warning"""),
+    ]
+
+
+def _quality(spark, sf_dir):
+    from ..operators import quality
+    r = fx.readings(spark, sf_dir)
+    return r, quality.quality_events(r, fx.channel_ranges(spark), CH)
+
+
+@register("frozen_sensor", with_views(["readings", "channel_ranges"], """
+SELECT series_id, i, channel, CASE WHEN flag THEN 'FROZEN_SENSOR' ELSE 'FROZEN_CLEARED' END AS code
+FROM frz WHERE flag <> prev""", extra=_qevents_ctes()))
+def q_frozen_sensor(spark, sf_dir):
+    from ..operators import quality
+    e = quality.frozen_events(fx.readings(spark, sf_dir), CH)
+    return e.select("series_id", "i", "channel", "code")
+
+
+@register("out_of_range", with_views(["readings", "channel_ranges"], """
+SELECT series_id, i, channel, CASE WHEN flag THEN 'OUT_OF_RANGE' ELSE 'OUT_OF_RANGE_CLEARED' END AS code
+FROM rng WHERE flag <> prev""", extra=_qevents_ctes()))
+def q_out_of_range(spark, sf_dir):
+    from ..operators import quality
+    e = quality.range_events(fx.readings(spark, sf_dir), fx.channel_ranges(spark), CH)
+    return e.select("series_id", "i", "channel", "code")
+
+
+@register("uneven_cadence", with_views(["readings", "channel_ranges"], """
+SELECT series_id, i, CASE WHEN flag THEN 'UNEVEN_SAMPLING' ELSE 'EVEN_SAMPLING_RESTORED' END AS code
+FROM unv WHERE flag <> prev""", extra=_qevents_ctes()))
+def q_uneven_cadence(spark, sf_dir):
+    from ..operators import quality
+    e = quality.cadence_events(fx.readings(spark, sf_dir))
+    return e.select("series_id", "i", "code")
+
+
+@register("quality_events", with_views(["readings", "channel_ranges"], """
+SELECT series_id, i, code, channel, severity FROM qev""", extra=_qevents_ctes()))
+def q_quality_events(spark, sf_dir):
+    return _quality(spark, sf_dir)[1]
+
+
+@register("open_warnings", with_views(["readings", "channel_ranges"], """
+SELECT series_id, warning, channel, since_i FROM openw""", extra=_qevents_ctes()))
+def q_open_warnings(spark, sf_dir):
+    from ..operators import quality
+    return quality.open_warnings(_quality(spark, sf_dir)[1])
+
+
+@register("stale_gaps", with_views(["readings"], """
+SELECT series_id, i, ROUND(gap_s, 6) AS gap_s FROM (
+  SELECT series_id, i, LEAD(epoch_us(ts) / 1e6) OVER (PARTITION BY series_id ORDER BY i) - epoch_us(ts) / 1e6 AS gap_s
+  FROM readings WHERE i >= 19) g
+WHERE gap_s > 5"""))
+def q_stale_gaps(spark, sf_dir):
+    """X9 over the recorded stream: a tick (from the 20th sample on) followed
+    by more than 5 s without a tick, by the readings' own clock."""
+    from ..operators import quality
+    r = fx.readings(spark, sf_dir).where(F.col("i") >= 19)
+    g = quality.stale_gaps(r, F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6))
+    return g.withColumn("gap_s", _r6(F.col("gap_s")))
+
+
+_CFG_CTES = [("cfg0", """
+  SELECT at_s, LEAD(at_s) OVER (ORDER BY at_s) AS next_s,
+         COALESCE(LAST_VALUE(model_id IGNORE NULLS) OVER (ORDER BY at_s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'm1') AS model_id,
+         COALESCE(LAST_VALUE(threshold IGNORE NULLS) OVER (ORDER BY at_s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.5) AS threshold
+  FROM live_config"""),
+    ("cfg", """
+  SELECT at_s, next_s, model_id, threshold,
+         CAST(SUM(ch) OVER (ORDER BY at_s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS segment
+  FROM (SELECT *, CASE WHEN model_id <> COALESCE(LAG(model_id) OVER (ORDER BY at_s), 'm1') THEN 1 ELSE 0 END AS ch FROM cfg0) c"""),
+    ("cfg_at", """
+  SELECT r.series_id, r.i, r.arrival_s, COALESCE(c.model_id, 'm1') AS model_id, COALESCE(c.threshold, 0.5) AS threshold,
+         COALESCE(c.segment, 0) AS segment
+  FROM readings r LEFT JOIN cfg c ON r.arrival_s >= c.at_s AND (c.next_s IS NULL OR r.arrival_s < c.next_s)""")]
+
+
+@register("asof_config", with_views(["readings", "live_config"], """
+SELECT series_id, i, arrival_s, model_id, threshold, segment FROM cfg_at""", extra=_CFG_CTES))
+def q_asof_config(spark, sf_dir):
+    from ..operators import live
+    r = fx.readings(spark, sf_dir)
+    res = live.resolve_config(fx.live_config(spark), "m1")
+    a = live.config_as_of(r, res)
+    return a.select("series_id", "i", "arrival_s",
+                    F.coalesce("model_id", F.lit("m1")).alias("model_id"),
+                    F.coalesce("threshold", F.lit(0.5)).alias("threshold"),
+                    F.coalesce("segment", F.lit(0).cast("bigint")).alias("segment"))
+
+
+def _states_sql(src: str, keys: list[str], order: str) -> list[tuple[str, str]]:
+    """The recursive fold over ``src`` (columns keys, order, p) as CTEs; the
+    result CTE ``st`` has keys, order, st (0..3) and state."""
+    k = ", ".join(keys)
+    on = " AND ".join(f"b.{c} = r.{c}" for c in keys)
+    return [("b", f"""
+  SELECT {k}, {order}, p, MIN(p) OVER w AS mn, MAX(p) OVER w AS mx, COUNT(*) OVER w AS c,
+         CASE WHEN p >= 0.8 THEN 3 WHEN p >= 0.5 THEN 2 WHEN p >= 0.3 THEN 1 ELSE 0 END AS bd
+  FROM {src} WINDOW w AS (PARTITION BY {k} ORDER BY {order} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"""),
+        ("r", f"""
+  SELECT {k}, {order}, CASE WHEN bd = 3 THEN 3 WHEN bd >= 1 THEN 1 ELSE 0 END AS st FROM b WHERE {order} = 0
+  UNION ALL
+  SELECT {", ".join("b." + c for c in keys)}, b.{order},
+         CASE WHEN b.bd = 3 THEN 3
+              WHEN b.bd > r.st THEN CASE WHEN r.st = 0 THEN 1 WHEN r.st = 1 AND b.c = 3 AND b.mn >= 0.5 THEN 2 ELSE r.st END
+              WHEN b.bd < r.st THEN CASE WHEN b.c = 3 AND b.mx < CASE r.st WHEN 3 THEN 0.8 WHEN 2 THEN 0.5 ELSE 0.3 END THEN r.st - 1 ELSE r.st END
+              ELSE r.st END
+  FROM r JOIN b ON {on} AND b.{order} = r.{order} + 1"""),
+        ("st", f"""
+  SELECT {k}, {order}, st,
+         CASE st WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'WATCH' WHEN 2 THEN 'WARNING' ELSE 'ALERT' END AS state FROM r""")]
+
+
+_LIVE_CTES = _CFG_CTES + [
+    ("lt0", """
+  SELECT a.series_id, a.i, a.model_id, a.threshold, a.segment,
+         ROUND(1 / (1 + EXP(-(m.slope * (w.cents / CAST(2000 AS DOUBLE) - 50) + m.bias))), 6) AS p
+  FROM cfg_at a
+  JOIN (SELECT series_id, i, COUNT(*) OVER x AS cnt,
+               CAST(SUM(CAST(ROUND(ch1 * 100) AS BIGINT)) OVER x AS BIGINT) AS cents
+        FROM readings WINDOW x AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) w
+    ON w.series_id = a.series_id AND w.i = a.i AND w.cnt = 20
+  JOIN (SELECT 'm1' AS model_id, CAST(0.06 AS DOUBLE) AS slope, CAST(0 AS DOUBLE) AS bias
+        UNION ALL SELECT 'm2', CAST(0.12 AS DOUBLE), CAST(0 AS DOUBLE)
+        UNION ALL SELECT 'm3', CAST(0.03 AS DOUBLE), CAST(-1.5 AS DOUBLE)) m ON m.model_id = a.model_id"""),
+    ("lt", """
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY i) AS BIGINT) AS tick,
+         CAST(ROW_NUMBER() OVER (PARTITION BY series_id, segment ORDER BY i) - 1 AS BIGINT) AS k
+  FROM lt0""")] + _states_sql("lt", ["series_id", "segment"], "k")
+
+_LIVE_SQL = """
+SELECT lt.series_id, lt.tick, lt.i, lt.segment, lt.model_id, lt.p, st.state AS status, lt.threshold,
+       lt.p >= lt.threshold AS in_anomaly_window
+FROM lt JOIN st ON st.series_id = lt.series_id AND st.segment = lt.segment AND st.k = lt.k"""
+
+
+def _live_ticks(spark, sf_dir, r=None):
+    from ..operators import live
+    r = fx.readings(spark, sf_dir) if r is None else r
+    frame = windows.series_frame(-19, 0)
+    r = r.withColumn("cents", F.sum(F.round(F.col("ch1") * 100).cast("bigint")).over(frame).cast("bigint"))
+    models = spark.createDataFrame(fx.FIXTURE_MODELS, "model_id string, slope double, bias double")
+
+    def score(df):
+        j = df.join(F.broadcast(models), "model_id")
+        return j.withColumn("p", fx.fixture_prob(F.col("cents"), F.col("slope"), F.col("bias")))
+    res = live.resolve_config(fx.live_config(spark), "m1")
+    return live.live_ticks(r, CH, res, score)
+
+
+@register("live_ticks", with_views(["readings", "live_config"], _LIVE_SQL, extra=_LIVE_CTES, recursive=True))
+def q_live_ticks(spark, sf_dir):
+    t = _live_ticks(spark, sf_dir)
+    return t.select("series_id", "tick", "i", "segment", "model_id", "p", "status", "threshold",
+                    "in_anomaly_window")
+
+
+@register("live_status", with_views(["readings", "live_config", "channel_ranges"], """
+SELECT b.series_id, b.buffered, COALESCE(t.ticks_emitted, 0) AS ticks_emitted,
+       COALESCE(t.status, 'NORMAL') AS current_status, t.model_id, t.threshold,
+       COALESCE(q.keys, '') AS active_quality_issues
+FROM (SELECT series_id, CAST(LEAST(COUNT(*), 600) AS BIGINT) AS buffered FROM readings GROUP BY series_id) b
+LEFT JOIN (SELECT series_id, CAST(COUNT(*) AS BIGINT) AS ticks_emitted,
+                  arg_max(status, i) AS status, arg_max(model_id, i) AS model_id, arg_max(threshold, i) AS threshold
+           FROM lticks GROUP BY series_id) t ON t.series_id = b.series_id
+LEFT JOIN (SELECT series_id, STRING_AGG(key, ',' ORDER BY key) AS keys FROM (
+             SELECT series_id, CASE warning WHEN 'FROZEN_SENSOR' THEN 'frozen' WHEN 'OUT_OF_RANGE' THEN 'range' ELSE 'uneven' END
+                    || ':' || COALESCE(channel, 'ingest') AS key FROM openw) k GROUP BY series_id) q ON q.series_id = b.series_id""",
+    extra=_LIVE_CTES + [("lticks", _LIVE_SQL)] + _qevents_ctes(), recursive=True))
+def q_live_status(spark, sf_dir):
+    from ..operators import live, quality
+    r, ev = _quality(spark, sf_dir)
+    return live.live_status(r, _live_ticks(spark, sf_dir, r), quality.open_warnings(ev))
+
+
+@register("history_tail", with_views(["readings"], """
+SELECT series_id, i, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY i DESC) AS rk FROM readings) x
+WHERE rk <= 600"""))
+def q_history_tail(spark, sf_dir):
+    return windows.history_tail(fx.readings(spark, sf_dir)).select("series_id", "i", "ts")
