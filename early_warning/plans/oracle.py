@@ -115,5 +115,7 @@ def with_views(needs: list[str], body: str, extra: list[tuple[str, str]] = (),
     """``WITH <views needed>, <extra CTEs> <body>``."""
     parts = [f"{n} AS ({VIEWS[n][1]}\n)" for n in _closure(needs)]
     parts += [f"{name} AS ({sql}\n)" for name, sql in extra]
+    if not parts:
+        return body
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(parts) + "\n" + body

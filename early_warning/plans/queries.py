@@ -1290,3 +1290,77 @@ SELECT series_id, i, ts FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_i
 WHERE rk <= 600"""))
 def q_history_tail(spark, sf_dir):
     return windows.history_tail(fx.readings(spark, sf_dir)).select("series_id", "i", "ts")
+
+
+# --------------------------------------------------- augmentation, k-NN --
+
+_FX_GAINS = {"ch1": 2.0, "ch2": 2.0, "ch3": 0.8, "ch4": 0.4}
+
+
+def _fx_uniform(series, i, ch_pos):
+    """A modular draw both engines compute identically (the oracle's twin)."""
+    return F.pmod(series * 7919 + i * 104729 + ch_pos * 15485863, F.lit(1000)).cast("double") / 1000.0
+
+
+def _burst_sql() -> str:
+    outs = []
+    for k, c in enumerate(CH):
+        x = f"r.{c} * (1.0 + (CAST((r.series_id * 7919 + r.i * 104729 + {k} * 15485863) % 1000 AS DOUBLE) / 1000.0 * 2 - 1) * 0.015)"
+        if c in _FX_GAINS:
+            x = f"{x} * (1.0 + {_FX_GAINS[c]} * COALESCE(e.envelope, 0.0))"
+        if c == "ch5":
+            x = f"{x} + 4.0 * COALESCE(e.envelope, 0.0)"
+        outs.append(f"ROUND({x}, 9) AS {c}")
+    return f"""
+SELECT r.series_id, r.i, {", ".join(outs)}, ROUND(COALESCE(e.envelope, 0.0), 9) AS envelope
+FROM readings r LEFT JOIN (
+  SELECT b.series_id, p.i,
+         SIN(LEAST(GREATEST(CAST(p.i - b.start_i AS DOUBLE) / GREATEST(b.dur, 1), 0.0), 1.0) * PI()) * b.intensity AS envelope
+  FROM bursts b, LATERAL (SELECT UNNEST(RANGE(b.start_i, b.start_i + b.dur)) AS i) p) e
+  ON e.series_id = r.series_id AND e.i = r.i"""
+
+
+@register("inject_bursts", with_views(["readings", "bursts"], _burst_sql()))
+def q_inject_bursts(spark, sf_dir):
+    from ..operators import augment
+    r = fx.readings(spark, sf_dir)
+    out = augment.inject_bursts(r.select("series_id", "i", *CH), fx.bursts(spark, sf_dir, r), CH,
+                                gains=_FX_GAINS, add_channel="ch5", uniform=_fx_uniform)
+    # 9 decimals: the jittered values have at most 7 exact decimals, so no
+    # rounding tie can occur there
+    return out.select("series_id", "i", *[F.round(c, 9).alias(c) for c in CH],
+                      F.round("envelope", 9).alias("envelope"))
+
+
+@register("cyclic_shift", with_views(["readings"], """
+SELECT series_id, CAST(((i - (series_id * 7) % n) % n + n) % n AS BIGINT) AS i, i AS source_i FROM readings"""))
+def q_cyclic_shift(spark, sf_dir):
+    from ..operators import augment
+    r = fx.readings(spark, sf_dir)
+    s = augment.cyclic_shift(r, (F.col("series_id") * 7) % F.col("n"))
+    return s.select("series_id", F.col("i").cast("bigint").alias("i"), "source_i")
+
+
+@register("knn_score", with_views([], """
+SELECT vec_id, CAST(COUNT(*) FILTER (WHERE t_y = 1) AS BIGINT) AS n_pos,
+       COUNT(*) FILTER (WHERE t_y = 1) / 5.0 AS p
+FROM (SELECT q.vec_id, t.t_y,
+             ROW_NUMBER() OVER (PARTITION BY q.vec_id ORDER BY
+               list_reduce(list_transform(range(1, 65), lambda j: (q.embedding[j]::DOUBLE - t.t_x[j]::DOUBLE)
+                                                      * (q.embedding[j]::DOUBLE - t.t_x[j]::DOUBLE)), lambda a, b: a + b),
+               t.t_id) AS r
+      FROM (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 4 = 0) q,
+           (SELECT vec_id AS t_id, embedding AS t_x, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS t_y
+            FROM embeddings WHERE vec_id % 4 <> 0) t) d
+WHERE r <= 5 GROUP BY vec_id"""))
+def q_knn_score(spark, sf_dir):
+    """M9 on the embeddings table: every fourth vector is a query, the rest
+    is the training set; positive class = label >= 5; k = 5."""
+    from ..operators import knn
+    e = fx.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), knn.as_double_array(F.col("embedding")).alias("x"),
+        F.when(F.col("label") >= 5, 1).otherwise(0).alias("y"))
+    train = e.where(F.col("id") % 4 != 0)
+    queries = e.where(F.col("id") % 4 == 0)
+    s = knn.knn_scores(train, queries, dim=64, bucket_rows=64)
+    return s.select(F.col("id").alias("vec_id"), "n_pos", "p")
