@@ -1364,3 +1364,50 @@ def q_knn_score(spark, sf_dir):
     queries = e.where(F.col("id") % 4 == 0)
     s = knn.knn_scores(train, queries, dim=64, bucket_rows=64)
     return s.select(F.col("id").alias("vec_id"), "n_pos", "p")
+
+
+# ---------------------------------------------------------- file sources --
+
+def _staged_csv(spark, sf_dir) -> str:
+    """The fixture readings written as CSV files, one per series, under the
+    session's checkpoint folder: even series with ``;``, odd with ``,``, in
+    three folders. Written once per scale; later calls reuse the files."""
+    import hashlib
+
+    from ..session import scratch_path
+    from ..sources import files
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    root = scratch_path(spark, f"staged_csv/{tag}")
+    if not files.path_exists(spark, f"{root}/_DONE"):
+        r = fx.readings(spark, sf_dir).withColumn("datetime", F.col("ts")) \
+              .withColumn("anomaly", F.col("anomaly").cast("double"))
+        folder = F.concat(F.lit("valve"), (F.col("series_id") % 3).cast("string"))
+        cols = ["datetime", *CH, "anomaly"]
+        files.write_readings_csv(r.where(F.col("series_id") % 2 == 0), root, cols, ";", folder=folder)
+        files.write_readings_csv(r.where(F.col("series_id") % 2 == 1), root, cols, ",", folder=folder)
+        spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(f"{root}/_DONE")
+    return root
+
+
+@register("csv_readings", with_views(["readings"], f"""
+SELECT series_id, 'valve' || CAST(series_id % 3 AS VARCHAR) AS folder,
+       CASE WHEN series_id % 2 = 0 THEN ';' ELSE ',' END AS sep,
+       ts AS datetime, {", ".join(CH)}, CAST(anomaly AS DOUBLE) AS anomaly
+FROM readings"""))
+def q_csv_readings(spark, sf_dir):
+    """Scan the staged CSV tree, detect each file's separator from its
+    header and read every group with its own separator."""
+    from ..sources import files
+    root = _staged_csv(spark, sf_dir)
+    df = files.read_readings(spark, root, files.readings_schema(CH, extra=()))
+    return df.select(F.regexp_extract("path", r"series_id=(\d+)", 1).cast("bigint").alias("series_id"),
+                     F.regexp_extract("path", r"_folder=([^/]+)", 1).alias("folder"), "sep",
+                     "datetime", *CH, "anomaly")
+
+
+@register("upload_gate")
+def q_upload_gate(spark, sf_dir):
+    """V11 over the staged CSV tree (rows-only check: part-file counts depend
+    on the writer's partitioning)."""
+    from ..sources import files
+    return files.upload_gate(spark, _staged_csv(spark, sf_dir))
