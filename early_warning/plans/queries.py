@@ -1411,3 +1411,41 @@ def q_upload_gate(spark, sf_dir):
     on the writer's partitioning)."""
     from ..sources import files
     return files.upload_gate(spark, _staged_csv(spark, sf_dir))
+
+
+# ------------------------------------------------- trained models (rows-only) --
+
+TRAINED_MODELS = ["lr", "rf", "et", "gb", "xgb", "svm", "mlp"]
+
+
+def _trained_scores(model_id):
+    def q(spark, sf_dir):
+        """Fit on the training windows, score the test windows (M4-M8, M10,
+        M11, M13). Rows-only check: no SQL twin for training."""
+        from ..operators import models
+        frame = models.model_frame(fx.readings(spark, sf_dir), CH)
+        model = models.fit(frame, model_id)
+        return models.score(model, frame.where(F.col("split") == "test"), model_id) \
+                     .select("series_id", F.col("idx").cast("bigint").alias("idx"), "y", "model_id", "p")
+    q.__name__ = f"q_model_{model_id}"
+    return q
+
+
+for _m in TRAINED_MODELS:
+    register(f"model_{_m}")(_trained_scores(_m))
+
+
+@register("model_knn")
+def q_model_knn(spark, sf_dir):
+    """M9 as the reference uses it: k = 5 on the position-scaled windows,
+    training split as neighbours, test split scored."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators import knn, models
+    frame = models.model_frame(fx.readings(spark, sf_dir), CH).select(
+        "series_id", "split", "idx", (F.col("series_id") * 1_000_000 + F.col("idx")).alias("id"),
+        vector_to_array("features_tf").alias("x"), F.col("label").cast("int").alias("y"))
+    s = knn.knn_scores(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test"), dim=160)
+    test = frame.where(F.col("split") == "test").select("id", "series_id", "idx", "y")
+    return s.join(test, "id").select("series_id", F.col("idx").cast("bigint").alias("idx"), "y",
+                                     F.lit("knn").alias("model_id"), "p")
