@@ -60,17 +60,20 @@ def _series_frame(lo: int, hi: int):
     return Window.partitionBy("series_id").orderBy("i").rowsBetween(lo, hi)
 
 
-def windows(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
-    """One row per labelled window, with an integer window sum of ch1 cents."""
+def windows(spark: SparkSession, sf_dir: str, r: DataFrame | None = None,
+            keep: list[str] | None = None) -> DataFrame:
+    """One row per labelled window, with an integer window sum of ch1 cents.
+    ``keep`` carries columns of the window's last reading along."""
     r = readings(spark, sf_dir) if r is None else r
+    keep = list(keep or [])
     w = r.select(
-        "series_id", "split", "i", "n",
+        "series_id", "split", "i", "n", *keep,
         F.coalesce(F.max("anomaly").over(_series_frame(1, 10)), F.lit(0)).alias("y"),
         F.sum(F.round(F.col("ch1") * 100).cast("bigint"))
         .over(_series_frame(-19, 0)).cast("bigint").alias("cents"),
     )
     return (w.where((F.col("i") >= 19) & (F.col("i") < F.col("n") - 10))
-            .select("series_id", "split", "i", (F.col("i") - 19).alias("idx"), "y", "cents"))
+            .select("series_id", "split", "i", (F.col("i") - 19).alias("idx"), "y", "cents", *keep))
 
 
 # Deterministic stand-ins for trained models: (model_id, slope, bias).
@@ -89,9 +92,10 @@ def scores(spark: SparkSession, sf_dir: str, w: DataFrame | None = None) -> Data
     """
     w = windows(spark, sf_dir) if w is None else w
     models = spark.createDataFrame(FIXTURE_MODELS, "model_id string, slope double, bias double")
+    extra = [c for c in w.columns if c not in ("series_id", "split", "i", "idx", "y", "cents")]
     return (w.crossJoin(F.broadcast(models))
             .select("series_id", "split", "i", "idx", "y", "model_id",
-                    fixture_prob(F.col("cents"), F.col("slope"), F.col("bias")).alias("p")))
+                    fixture_prob(F.col("cents"), F.col("slope"), F.col("bias")).alias("p"), *extra))
 
 
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,35 +58,43 @@ def peak_sensor(z: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.struct(F.abs("z"), -F.col("ch_pos"))).alias("b")).select(*keys, "b.*")
 
 
-def run_timeline(scores: DataFrame, runs: DataFrame, readings: DataFrame, channels: Sequence[str],
+def run_timeline(scores: DataFrame, readings: DataFrame, channels: Sequence[str],
                  threshold: float = ALERT_THRESHOLD, window: int = WINDOW,
                  keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per run: number (by start), clock span, duration in
     whole seconds + 1, peak probability, and the channel whose run mean
-    deviates most from the series mean (with its z)."""
+    deviates most from the series mean (with its z).
+
+    One pass: the flagged windows carry their run (one island computation),
+    meet their last reading by an equi-join on (series, i) and are
+    aggregated per run; the run table is that aggregate, not a second plan.
+    When ``scores`` already carries ``ts`` and the channels of the window's
+    last reading (a tick is that reading), no join with the readings is made.
+    """
     keys = list(keys)
     series = keys[0]
-    f = run_members(scores, threshold, keys).select(*keys, "idx", "start_idx")
-    rows = f.withColumn("i", F.col("idx") + (window - 1)).join(
-        readings.select(series, "i", "ts", *channels), [series, "i"])
+    f = run_members(scores, threshold, keys)
+    if all(c in scores.columns for c in ("ts", *channels)):
+        rows = f
+    else:
+        rows = f.select(*keys, "idx", "p", "start_idx").withColumn("i", F.col("idx") + (window - 1)).join(
+            readings.select(series, "i", "ts", *channels), [series, "i"])
     per_run = rows.groupBy(*keys, "start_idx").agg(
+        F.max("idx").cast("bigint").alias("end_idx"), F.max("p").alias("peak_prob"),
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
-        *[F.avg(c).alias(f"rm__{c}") for c in channels])
+        *[F.avg(c).alias(c) for c in channels])
     stats = channel_stats(readings, channels, series)
-    long = _long(per_run.select(*keys, "start_idx", *[F.col(f"rm__{c}").alias(c) for c in channels]),
-                 [*keys, "start_idx"], channels)
-    z = long.join(stats, [series, "channel", "ch_pos"]).withColumn(
-        "z", z_score(F.col("value"), F.col("mean"), F.col("std")))
+    z = (_long(per_run, [*keys, "start_idx"], channels).join(stats, [series, "channel", "ch_pos"])
+         .withColumn("z", z_score(F.col("value"), F.col("mean"), F.col("std"))))
     top = peak_sensor(z, [*keys, "start_idx"])
     by_start = Window.partitionBy(*keys).orderBy("start_idx")
-    return (runs.join(per_run.select(*keys, "start_idx", "start_ts", "end_ts"), [*keys, "start_idx"])
-                .join(top, [*keys, "start_idx"])
-                .select(*keys, F.row_number().over(by_start).cast("bigint").alias("run_no"),
-                        "start_idx", "end_idx", "start_ts", "end_ts",
-                        (F.floor((F.unix_micros(F.col("end_ts").cast("timestamp"))
-                                  - F.unix_micros(F.col("start_ts").cast("timestamp"))) / 1e6) + 1)
-                        .cast("bigint").alias("duration_s"),
-                        "peak_prob", "peak_sensor", "peak_z"))
+    return (per_run.join(top, [*keys, "start_idx"])
+                   .select(*keys, F.row_number().over(by_start).cast("bigint").alias("run_no"),
+                           "start_idx", "end_idx", "start_ts", "end_ts",
+                           (F.floor((F.unix_micros(F.col("end_ts").cast("timestamp"))
+                                     - F.unix_micros(F.col("start_ts").cast("timestamp"))) / 1e6) + 1)
+                           .cast("bigint").alias("duration_s"),
+                           "peak_prob", "peak_sensor", "peak_z"))
 
 
 def peak_rows(summary: DataFrame, readings_n: DataFrame, half: int, window: int = WINDOW,

@@ -624,8 +624,8 @@ JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY series_id, model_id, start_idx O
 def q_run_timeline(spark, sf_dir):
     from ..operators import report
     r = fx.readings(spark, sf_dir)
-    s = fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r))
-    t = report.run_timeline(s, runs.anomaly_runs(s), r, CH)
+    s = fx.scores(spark, sf_dir, fx.windows(spark, sf_dir, r, keep=["ts", *CH]))
+    t = report.run_timeline(s, r, CH)
     return t.withColumn("peak_z", _r6(F.col("peak_z")))
 
 
