@@ -117,3 +117,9 @@ SWEEP_EXTRA_D_MODEL = 64
 SWEEP_EXTRA_HEADS = [4, 8]
 SWEEP_EXTRA_FF = [96, 128, 160]
 SWEEP_EXTRA_DROPOUT = 0.10
+
+# Hot-series handling: positions per window chunk (a series longer than this
+# is split into halo chunks, so no task holds a whole series) and the time
+# bucket for numbering positions.
+SERIES_CHUNK_ROWS = 1_000_000
+INDEX_BUCKET = "hour"

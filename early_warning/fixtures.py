@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators.windows import series_index
+from .config import HORIZON, INDEX_BUCKET, SERIES_CHUNK_ROWS, WINDOW
+from .operators.windows import chunk_with_halo, series_index
 
 CHANNELS = [f"ch{k}" for k in range(1, 9)]
 
@@ -29,7 +30,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("event_type") == "error") & (F.col("value") > 60), 1)
         .otherwise(0).alias("anomaly"),
     )
-    return series_index(e, "series_id", ["ts", "event_id"])
+    return series_index(e, "series_id", ["ts", "event_id"], bucket=F.date_trunc(INDEX_BUCKET, "ts"))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +58,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _series_frame(lo: int, hi: int):
-    return Window.partitionBy("series_id").orderBy("i").rowsBetween(lo, hi)
+    return Window.partitionBy("series_id", "_chunk").orderBy("i").rowsBetween(lo, hi)
 
 
 def windows(spark: SparkSession, sf_dir: str, r: DataFrame | None = None,
@@ -66,13 +67,14 @@ def windows(spark: SparkSession, sf_dir: str, r: DataFrame | None = None,
     ``keep`` carries columns of the window's last reading along."""
     r = readings(spark, sf_dir) if r is None else r
     keep = list(keep or [])
-    w = r.select(
+    r = chunk_with_halo(r, WINDOW - 1, HORIZON, SERIES_CHUNK_ROWS)
+    w = r.select("_home",
         "series_id", "split", "i", "n", *keep,
         F.coalesce(F.max("anomaly").over(_series_frame(1, 10)), F.lit(0)).alias("y"),
         F.sum(F.round(F.col("ch1") * 100).cast("bigint"))
         .over(_series_frame(-19, 0)).cast("bigint").alias("cents"),
     )
-    return (w.where((F.col("i") >= 19) & (F.col("i") < F.col("n") - 10))
+    return (w.where(F.col("_home") & (F.col("i") >= 19) & (F.col("i") < F.col("n") - 10))
             .select("series_id", "split", "i", (F.col("i") - 19).alias("idx"), "y", "cents", *keep))
 
 

@@ -8,6 +8,7 @@ them. Gaps in time do not shorten a window; the sampling profile warns instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,12 +27,56 @@ def series_frame(lo: int, hi: int, series="series_id", order="i"):
 
 
 def series_index(df: DataFrame, series: str = "series_id",
-                 order: Sequence[str] = ("ts", "src_row")) -> DataFrame:
+                 order: Sequence[str] = ("ts", "src_row"), bucket: Column | None = None) -> DataFrame:
     """``i`` = 0-based position in time order (ties broken by the later
-    order columns) and ``n`` = series length."""
-    w = series_order(series, list(order))
-    return (df.withColumn("i", (F.row_number().over(w) - 1).cast("bigint"))
-              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(series)).cast("bigint")))
+    order columns) and ``n`` = series length.
+
+    With ``bucket`` (a coarse key that never decreases along the order, e.g.
+    the hour of ``ts``) no task holds a whole series: rows are numbered inside
+    (series, bucket) and shifted by the row count of the series' earlier
+    buckets, a prefix sum over the small (series, bucket) count table.
+    """
+    if bucket is None:
+        w = series_order(series, list(order))
+        return (df.withColumn("i", (F.row_number().over(w) - 1).cast("bigint"))
+                  .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(series)).cast("bigint")))
+    d = df.withColumn("_bk", bucket)
+    counts = d.groupBy(series, "_bk").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(series).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(series, "_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_c").over(Window.partitionBy(series)).cast("bigint").alias("n"))
+    w = Window.partitionBy(series, "_bk").orderBy(*order)
+    return (d.join(offs, [series, "_bk"])
+             .withColumn("i", (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
+             .drop("_bk", "_off"))
+
+
+def chunk_with_halo(df: DataFrame, back: int, fwd: int, chunk_rows: int, order: str = "i") -> DataFrame:
+    """Split every series into chunks of ``chunk_rows`` positions. A row keeps
+    its home chunk (``_home``) and is copied, as halo, into the next chunk
+    when it is among its chunk's last ``back`` rows and into the previous one
+    when among the first ``fwd``; ROWS frames reaching ``back`` rows back and
+    ``fwd`` rows forward are then complete inside (series, chunk)."""
+    if back > chunk_rows or fwd > chunk_rows:
+        raise ValueError("halo wider than a chunk")
+    home = F.floor(F.col(order) / chunk_rows).cast("bigint")
+    pos = F.pmod(F.col(order), F.lit(chunk_rows))
+    parts = [df.withColumn("_chunk", home).withColumn("_home", F.lit(True))]
+    if back > 0:
+        parts.append(df.where(pos >= chunk_rows - back)
+                       .withColumn("_chunk", home + 1).withColumn("_home", F.lit(False)))
+    if fwd > 0:
+        parts.append(df.where((pos < fwd) & (home > 0))
+                       .withColumn("_chunk", home - 1).withColumn("_home", F.lit(False)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _partition(series: str, chunked: bool) -> list[str]:
+    return [series, "_chunk"] if chunked else [series]
+
+
+def _home_only(df: DataFrame, chunked: bool) -> DataFrame:
+    return df.where(F.col("_home")).drop("_chunk", "_home") if chunked else df
 
 
 def label_flag(label: str = "anomaly") -> Column:
@@ -40,10 +85,13 @@ def label_flag(label: str = "anomaly") -> Column:
 
 
 def horizon_label(readings: DataFrame, horizon: int = HORIZON, label: str = "anomaly",
-                  series: str = "series_id") -> DataFrame:
-    """``y`` = 1 when any of the next ``horizon`` readings is an anomaly."""
-    fut = F.max(label_flag(label)).over(series_frame(1, horizon, series))
-    return readings.withColumn("y", F.coalesce(fut, F.lit(0)).cast("int"))
+                  series: str = "series_id", chunk_rows: int | None = None) -> DataFrame:
+    """``y`` = 1 when any of the next ``horizon`` readings is an anomaly.
+    ``chunk_rows`` splits long series into halo chunks (same result)."""
+    chunked = bool(chunk_rows)
+    df = chunk_with_halo(readings, 0, horizon, chunk_rows) if chunked else readings
+    fut = F.max(label_flag(label)).over(series_frame(1, horizon, _partition(series, chunked)))
+    return _home_only(df.withColumn("y", F.coalesce(fut, F.lit(0)).cast("int")), chunked)
 
 
 def window_bounds(window: int = WINDOW, horizon: int | None = HORIZON) -> Column:
@@ -56,15 +104,19 @@ def window_bounds(window: int = WINDOW, horizon: int | None = HORIZON) -> Column
 
 
 def sliding_windows(readings: DataFrame, channels: Sequence[str], window: int = WINDOW,
-                    horizon: int | None = HORIZON, series: str = "series_id") -> DataFrame:
+                    horizon: int | None = HORIZON, series: str = "series_id",
+                    chunk_rows: int | None = None) -> DataFrame:
     """One row per window end ``i`` with ``idx = i - (window-1)`` and
     ``win`` = the last ``window`` readings as an array of structs (oldest
-    first). ``horizon=None`` keeps the tail (the live path's batch twin)."""
-    frame = series_frame(-(window - 1), 0, series)
+    first). ``horizon=None`` keeps the tail (the live path's batch twin).
+    ``chunk_rows`` splits long series into halo chunks (same result)."""
+    chunked = bool(chunk_rows)
+    df = chunk_with_halo(readings, window - 1, 0, chunk_rows) if chunked else readings
+    frame = series_frame(-(window - 1), 0, _partition(series, chunked))
     item = F.struct(F.col("i").alias("i"), *[F.col(c).alias(c) for c in channels])
-    out = readings.withColumn("win", F.collect_list(item).over(frame))
-    return (out.where(window_bounds(window, horizon))
-               .withColumn("idx", F.col("i") - (window - 1)))
+    out = df.withColumn("win", F.collect_list(item).over(frame))
+    return _home_only(out.where(window_bounds(window, horizon))
+                         .withColumn("idx", F.col("i") - (window - 1)), chunked)
 
 
 def flatten_window(win: str = "win", channels: Sequence[str] = ()) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import runs, windows
+from ..config import SERIES_CHUNK_ROWS
 from .oracle import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +46,7 @@ SELECT series_id, i,
             ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING), 0) AS BIGINT) AS y
 FROM readings"""))
 def q_horizon_label(spark, sf_dir):
-    r = windows.horizon_label(fx.readings(spark, sf_dir))
+    r = windows.horizon_label(fx.readings(spark, sf_dir), chunk_rows=SERIES_CHUNK_ROWS)
     return r.select("series_id", "i", F.col("y").cast("bigint").alias("y"))
 
 
@@ -61,7 +62,7 @@ SELECT series_id, idx, i, win_len, first_i, last_i, ch1_first, ch8_last FROM (
   WINDOW w AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) x
 WHERE i >= 19 AND i < n - 10"""))
 def q_sliding_windows(spark, sf_dir):
-    w = windows.sliding_windows(fx.readings(spark, sf_dir), fx.CHANNELS)
+    w = windows.sliding_windows(fx.readings(spark, sf_dir), fx.CHANNELS, chunk_rows=SERIES_CHUNK_ROWS)
     win = F.col("win")
     return w.select(
         "series_id", F.col("idx").cast("bigint").alias("idx"), "i",
@@ -138,7 +139,7 @@ SELECT series_id, idx, CAST(160 AS BIGINT) AS n_feat, f0, f7, f83, f152, f159 FR
   FROM readings WINDOW w AS (PARTITION BY series_id ORDER BY i)) x
 WHERE i >= 19 AND i < n - 10"""))
 def q_flat_features(spark, sf_dir):
-    w = windows.sliding_windows(fx.readings(spark, sf_dir), CH)
+    w = windows.sliding_windows(fx.readings(spark, sf_dir), CH, chunk_rows=SERIES_CHUNK_ROWS)
     flat = w.select("series_id", "idx", windows.flatten_window("win", CH).alias("f"))
     return flat.select("series_id", F.col("idx").cast("bigint").alias("idx"),
                        F.size("f").cast("bigint").alias("n_feat"),
@@ -258,7 +259,7 @@ def q_stat_features(spark, sf_dir):
     from ..operators import features, scaling
     r = fx.readings(spark, sf_dir)
     fs = scaling.fit_channel_scaler(r.where(F.col("split") == "train"), CH)
-    st = features.stat_features(scaling.apply_channel_scaler(r, fs, CH), CH)
+    st = features.stat_features(scaling.apply_channel_scaler(r, fs, CH), CH, chunk_rows=SERIES_CHUNK_ROWS)
     return st.select("series_id", F.col("idx").cast("bigint").alias("idx"),
                      *[_r6(F.col(k)).alias(k) for k in features.stat_columns(CH)])
 
