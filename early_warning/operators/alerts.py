@@ -4,16 +4,15 @@ The state after each tick is a sequential fold, but every tick acts as a
 function on the four states that depends only on its probability and the two
 before it (W8). Functions compose associatively, so the fold becomes:
 
-1. per tick, the 4-entry transition map (window functions on one spec);
+1. per tick, the 4-entry transition map (built inside its chunk's array);
 2. per chunk of ``chunk`` ticks, the composed map (a higher-order
    ``aggregate`` over the chunk's sorted ticks);
-3. per chunk, the composed map of all earlier chunks by prefix doubling
-   (``ceil(log2(chunks))`` ``lag`` steps over the small chunk table);
+3. per chunk, the composed map of all earlier chunks by two-level prefix
+   doubling (``lag`` steps over the chunk table, then the group table);
 4. per chunk, its entry state pushed through its own ticks.
 
-Everything is built from native expressions: no Python worker, no group
-larger than a chunk, and the only exchange is the one that partitions the
-ticks by series and model.
+Everything is built from native expressions: no Python worker, and no
+group or window partition that grows with one key's length.
 """
 
 from __future__ import annotations
@@ -69,45 +68,91 @@ def _compose(first: Column, then: Column) -> Column:
     return F.transform(first, lambda s: then[s])
 
 
+IDENTITY = [0, 1, 2, 3]
+
+
+def _identity() -> Column:
+    return F.array(*[F.lit(s) for s in IDENTITY])
+
+
+def _inclusive_prefix(df: DataFrame, part: Sequence[str], order: str, col: str, steps: int) -> DataFrame:
+    """Adds ``pre``: the composition of ``col`` over all earlier rows of the
+    partition and this one (prefix doubling, ``steps`` lag passes)."""
+    w = Window.partitionBy(*part).orderBy(order)
+    df = df.withColumn("pre", F.col(col))
+    for j in range(steps):
+        earlier = F.lag("pre", 2 ** j).over(w)
+        df = df.withColumn("pre", F.when(earlier.isNull(), F.col("pre")).otherwise(_compose(earlier, F.col("pre"))))
+    return df
+
+
 def alert_states(scores: DataFrame, keys: Sequence[str] = KEYS, order: str = "idx",
-                 chunk: int = 64, max_ticks: int | None = None) -> DataFrame:
+                 chunk: int = 64, group: int = 1024, max_ticks: int | None = None) -> DataFrame:
     """``state`` (0..3) and ``status`` for every tick, starting NORMAL.
 
-    ``order`` must number the ticks of a key 0, 1, 2, ... without gaps.
-    ``max_ticks`` bounds the ticks per key; when omitted it is read with one
-    small aggregate to size the doubling.
+    ``order`` must number the ticks of a key 0, 1, 2, ... without gaps. No
+    step holds a whole key, so one key with a third of all ticks still
+    spreads over many tasks:
+
+    1. ticks are grouped in chunks of ``chunk`` (plus the two ticks before
+       the chunk as halo, for the 3-tick tails) and each tick's transition
+       map is built from its sorted chunk array;
+    2. the chunk's composed map folds its ticks;
+    3. chunk maps get their prefix inside groups of ``group`` chunks
+       (doubling over (key, group)), group maps get theirs over the key
+       (doubling over ``ticks / (chunk*group)`` rows);
+    4. each chunk pushes its entry state through its own ticks.
     """
+    if chunk < 2:
+        raise ValueError("chunk must hold at least the 2-tick halo")
     keys = list(keys)
-    t = tick_maps(scores, keys, order)
-    t = t.withColumn("_chunk", F.floor(F.col(order) / chunk).cast("bigint"))
-    other = [c for c in t.columns if c not in (*keys, "_chunk", order)]
-    chunks = (t.groupBy(*keys, "_chunk")
-               .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"),
-                                                         *[F.col(c) for c in other]))).alias("_ticks")))
-    chunks = chunks.withColumn("_cmap", F.aggregate(
-        "_ticks", F.array(*[F.lit(s) for s in range(4)]),
-        lambda acc, x: _compose(acc, x["tmap"])))
+    c = F.floor(F.col(order) / chunk).cast("bigint")
+    other = [x for x in scores.columns if x not in (*keys, order)]
+    item = F.struct(F.col(order).alias("_o"), F.col("_halo"), *[F.col(x) for x in other])
+    # one pass: every tick once at home, the last two of a chunk once more
+    # as halo of the next chunk
+    copies = F.when(F.pmod(F.col(order), F.lit(chunk)) >= chunk - 2, F.array(F.lit(False), F.lit(True))) \
+              .otherwise(F.array(F.lit(False)))
+    t = scores.withColumn("_halo", F.explode(copies)) \
+              .withColumn("_c", c + F.when(F.col("_halo"), 1).otherwise(0))
+    g = t.groupBy(*keys, "_c").agg(F.array_sort(F.collect_list(item)).alias("_a"))
+
+    def tmap(x, j):
+        arr = F.col("_a")
+        p1, p2 = F.get(arr, j - 1)["p"], F.get(arr, j - 2)["p"]
+        cnt = F.lit(1) + F.when(p1.isNotNull(), 1).otherwise(0) + F.when(p2.isNotNull(), 1).otherwise(0)
+        return F.struct(x.alias("t"), _tick_map(x["p"], F.least(x["p"], p1, p2),
+                                                F.greatest(x["p"], p1, p2), cnt).alias("m"))
+    g = g.withColumn("_t", F.filter(F.transform("_a", tmap), lambda e: ~e["t"]["_halo"])).drop("_a")
+    g = g.withColumn("_cmap", F.aggregate("_t", _identity(), lambda acc, e: _compose(acc, e["m"])))
+    # Doubling steps are sized from the longest key. Without ``max_ticks``
+    # one aggregate reads it; callers with materialised scores (checkpointed
+    # or written) pay only that scan, others should pass the bound.
     if max_ticks is None:
-        max_ticks = scores.agg(F.max(order)).first()[0] or 0
-        max_ticks += 1
+        max_ticks = (scores.agg(F.max(order)).first()[0] or 0) + 1
     n_chunks = max(1, math.ceil(max_ticks / chunk))
-    steps = max(0, math.ceil(math.log2(n_chunks))) if n_chunks > 1 else 0
-    w = Window.partitionBy(*keys).orderBy("_chunk")
-    prefix = F.col("_cmap")
-    chunks = chunks.withColumn("_pre", prefix)
-    for j in range(steps):
-        earlier = F.lag("_pre", 2 ** j).over(w)
-        chunks = chunks.withColumn(
-            "_pre", F.when(earlier.isNull(), F.col("_pre")).otherwise(_compose(earlier, F.col("_pre"))))
-    chunks = chunks.withColumn("_entry", F.coalesce(F.lag("_pre", 1).over(w)[0], F.lit(0)))
-    walked = chunks.withColumn("_walk", F.aggregate(
-        "_ticks",
-        F.struct(F.col("_entry").alias("s"), F.array().cast("array<int>").alias("out")),
-        lambda acc, x: F.struct(x["tmap"][acc["s"]].alias("s"),
-                                F.concat(acc["out"], F.array(x["tmap"][acc["s"]])).alias("out"))))
-    z = walked.select(*keys, F.explode(F.arrays_zip(F.col("_ticks"), F.col("_walk.out"))).alias("z"))
-    out = z.select(*keys, "z._ticks.*", F.col("z.out").alias("state"))
-    out = out.withColumnRenamed("_o", order).drop("tmap")
+    # level 2: prefix of chunk maps inside each group of chunks
+    g = g.withColumn("_g", F.floor(F.col("_c") / group).cast("bigint"))
+    per_group = min(group, n_chunks)
+    g = _inclusive_prefix(g, [*keys, "_g"], "_c", "_cmap",
+                          math.ceil(math.log2(per_group)) if per_group > 1 else 0)
+    wg = Window.partitionBy(*keys, "_g").orderBy("_c")
+    g = g.withColumn("_excl_c", F.coalesce(F.lag("pre", 1).over(wg), _identity())).withColumnRenamed("pre", "_pre_c")
+    # level 3: prefix of group maps over the key
+    gm = g.groupBy(*keys, "_g").agg(F.max_by("_pre_c", "_c").alias("_gmap"))
+    n_groups = max(1, math.ceil(n_chunks / group))
+    gm = _inclusive_prefix(gm, keys, "_g", "_gmap", max(0, math.ceil(math.log2(n_groups))) if n_groups > 1 else 0)
+    wk = Window.partitionBy(*keys).orderBy("_g")
+    gm = gm.select(*keys, "_g", F.coalesce(F.lag("pre", 1).over(wk), _identity()).alias("_excl_g"))
+    g = g.join(gm, [*keys, "_g"])
+    g = g.withColumn("_entry", F.col("_excl_c")[F.col("_excl_g")[0]])
+    walked = g.withColumn("_walk", F.aggregate(
+        "_t", F.struct(F.col("_entry").alias("s"), F.array().cast("array<int>").alias("out")),
+        lambda acc, e: F.struct(e["m"][acc["s"]].alias("s"),
+                                F.concat(acc["out"], F.array(e["m"][acc["s"]])).alias("out"))))
+    z = walked.select(*keys, F.explode(F.arrays_zip(F.col("_t"), F.col("_walk.out"))).alias("z"))
+    out = z.select(*keys, "z._t.t.*", F.col("z.out").alias("state"))
+    out = out.withColumnRenamed("_o", order).drop("_halo")
     return out.withColumn("status", state_name(F.col("state")))
 
 

@@ -8,7 +8,6 @@ them. Gaps in time do not shorten a window; the sampling profile warns instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,14 +60,16 @@ def chunk_with_halo(df: DataFrame, back: int, fwd: int, chunk_rows: int, order:
         raise ValueError("halo wider than a chunk")
     home = F.floor(F.col(order) / chunk_rows).cast("bigint")
     pos = F.pmod(F.col(order), F.lit(chunk_rows))
-    parts = [df.withColumn("_chunk", home).withColumn("_home", F.lit(True))]
+    # one pass over the input: 0 = home, +1 = halo of the next chunk,
+    # -1 = halo of the previous chunk
+    shifts = F.array(F.lit(0))
     if back > 0:
-        parts.append(df.where(pos >= chunk_rows - back)
-                       .withColumn("_chunk", home + 1).withColumn("_home", F.lit(False)))
+        shifts = F.when(pos >= chunk_rows - back, F.concat(shifts, F.array(F.lit(1)))).otherwise(shifts)
     if fwd > 0:
-        parts.append(df.where((pos < fwd) & (home > 0))
-                       .withColumn("_chunk", home - 1).withColumn("_home", F.lit(False)))
-    return reduce(DataFrame.unionByName, parts)
+        shifts = F.when((pos < fwd) & (home > 0), F.concat(shifts, F.array(F.lit(-1)))).otherwise(shifts)
+    return (df.withColumn("_shift", F.explode(shifts))
+              .withColumn("_chunk", home + F.col("_shift"))
+              .withColumn("_home", F.col("_shift") == 0).drop("_shift"))
 
 
 def _partition(series: str, chunked: bool) -> list[str]:

@@ -35,8 +35,8 @@ def test_band_edges(spark, p, band):
     assert got == band
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 16, 64])
-def test_composed_maps_equal_fold(spark, chunk):
+@pytest.mark.parametrize("chunk,group", [(2, 2), (3, 4), (16, 2), (64, 1024)])
+def test_composed_maps_equal_fold(spark, chunk, group):
     rng = random.Random(chunk)
     rows, want = [], {}
     for s in range(6):
@@ -47,5 +47,5 @@ def test_composed_maps_equal_fold(spark, chunk):
         for k, st in enumerate(alerts.fold_states(ps)):
             want[(s, k)] = st
     df = spark.createDataFrame(rows, "series_id long, model_id string, idx long, p double")
-    got = {(r.series_id, r.idx): r.status for r in alerts.alert_states(df, chunk=chunk).collect()}
+    got = {(r.series_id, r.idx): r.status for r in alerts.alert_states(df, chunk=chunk, group=group).collect()}
     assert got == want
