@@ -17,38 +17,50 @@ def flagged(p: str = "p", threshold: float = ALERT_THRESHOLD):
     return F.col(p) >= F.lit(float(threshold))
 
 
-def anomaly_runs(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
-                 keys: Sequence[str] = KEYS) -> DataFrame:
-    """Maximal runs of consecutive flagged windows.
+RUN_CHUNK = 65_536
+
 
-    Gaps and islands: among flagged rows only, ``idx - row_number`` is
-    constant along a run. The filter runs before the shuffle, and the
-    grouping keys extend the window's partition keys, so the aggregate reuses
-    the window's partitioning (one exchange in total).
+def run_members(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
+                keys: Sequence[str] = KEYS, chunk: int = RUN_CHUNK) -> DataFrame:
+    """Flagged windows with the start index of the run they belong to.
+
+    A run starts at a flagged window whose predecessor is not flagged; a
+    window's run start is the latest start at or before it. Both are computed
+    inside chunks of ``chunk`` windows (the predecessor of a chunk's first
+    window rides along as a one-row halo), and a chunk without a start of its
+    own inherits the latest start of the chunks before it, a running maximum
+    over the small chunk table. No window partition holds a whole key.
     """
     keys = list(keys)
-    f = scores.where(flagged("p", threshold))
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy("idx"))
-    g = f.withColumn("_island", F.col("idx") - rn)
-    return (g.groupBy(*keys, "_island")
-             .agg(F.min("idx").cast("bigint").alias("start_idx"),
-                  F.max("idx").cast("bigint").alias("end_idx"),
-                  F.max("p").alias("peak_prob"),
-                  F.count(F.lit(1)).cast("bigint").alias("n_windows"))
-             .drop("_island"))
+    flag = flagged("p", threshold)
+    home = F.floor(F.col("idx") / chunk).cast("bigint")
+    copies = F.when(F.pmod(F.col("idx"), F.lit(chunk)) == chunk - 1, F.array(F.lit(0), F.lit(1))) \
+              .otherwise(F.array(F.lit(0)))
+    t = (scores.withColumn("_f", flag).withColumn("_s", F.explode(copies))
+               .withColumn("_c", home + F.col("_s")))
+    w = Window.partitionBy(*keys, "_c").orderBy("idx")
+    t = t.withColumn("_start", F.when(F.col("_f") & ~F.coalesce(F.lag("_f").over(w), F.lit(False)),
+                                      F.col("idx")))
+    t = t.where(F.col("_s") == 0)
+    t = t.withColumn("_local", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    last = t.groupBy(*keys, "_c").agg(F.max("_start").alias("_last"))
+    carry = last.select(*keys, "_c", F.max("_last").over(
+        Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    out = t.where(F.col("_f")).join(carry, [*keys, "_c"])
+    return (out.withColumn("start_idx", F.coalesce("_local", "_carry").cast("bigint"))
+               .drop("_f", "_s", "_c", "_start", "_local", "_carry"))
 
 
-def run_members(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
-                keys: Sequence[str] = KEYS) -> DataFrame:
-    """Flagged windows with the start index of the run they belong to, so
-    later joins to runs are equi-joins on (keys, start_idx)."""
+def anomaly_runs(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
+                 keys: Sequence[str] = KEYS) -> DataFrame:
+    """Maximal runs of consecutive flagged windows (start, inclusive
+    end, peak probability, length), from the run membership above."""
     keys = list(keys)
-    f = scores.where(flagged("p", threshold))
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy("idx"))
-    isl = Window.partitionBy(*keys, "_island")
-    return (f.withColumn("_island", F.col("idx") - rn)
-             .withColumn("start_idx", F.min("idx").over(isl).cast("bigint"))
-             .drop("_island"))
+    m = run_members(scores, threshold, keys)
+    return (m.groupBy(*keys, "start_idx")
+             .agg(F.max("idx").cast("bigint").alias("end_idx"),
+                  F.max("p").alias("peak_prob"),
+                  F.count(F.lit(1)).cast("bigint").alias("n_windows")))
 
 
 def top_runs(runs: DataFrame, n: int = TOP_RUNS, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -56,3 +56,16 @@ def test_all_flagged_is_one_run(spark):
 def test_no_positives_gives_zero_metrics(spark):
     m = metrics.prf(_scores(spark, [0.1, 0.2]), ["series_id"]).first()
     assert (m.precision, m.recall, m.f1) == (0.0, 0.0, 0.0)
+
+
+def test_runs_across_chunks_equal_one_chunk(spark):
+    import random
+    rng = random.Random(3)
+    rows = []
+    for s in range(4):
+        for k in range(rng.randint(5, 120)):
+            rows.append((s, "m", k, round(rng.random(), 3), 0))
+    df = spark.createDataFrame(rows, "series_id long, model_id string, idx long, p double, y int")
+    one = {(r.series_id, r.idx, r.start_idx) for r in runs.run_members(df, chunk=10_000).collect()}
+    for chunk in (1, 2, 7):
+        assert {(r.series_id, r.idx, r.start_idx) for r in runs.run_members(df, chunk=chunk).collect()} == one
