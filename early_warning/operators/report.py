@@ -214,3 +214,26 @@ def prob_series(scores: DataFrame, threshold: float = ALERT_THRESHOLD,
     j = scores.join(m, [*keys, "idx"], "left")
     return j.select(*keys, "idx", "p", F.lit(float(threshold)).alias("threshold"),
                     flagged("p", threshold).alias("flagged"), "run_start_idx")
+
+
+def sample_series(readings: DataFrame, channel: str, label: str = "anomaly",
+                  series: str = "series_id") -> DataFrame:
+    """One channel's trace with the anomaly points marked (the EDA plot
+    data; the channel is the first numeric sensor, V13)."""
+    return readings.select(series, "i", "ts", F.col(channel).alias("value"),
+                           (F.col(label) == 1).alias("is_anomaly"))
+
+
+def provenance(readings: DataFrame, registry: DataFrame, model_id: str, threshold: float,
+               window: int = WINDOW, horizon: int = 10, series: str = "series_id",
+               label: str = "anomaly") -> DataFrame:
+    """Per input file, what was read and with which model and settings.
+    The registry (one row per model) is broadcast."""
+    f = readings.groupBy(series).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_ingested"),
+        F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
+        F.bool_or(F.col(label).isNotNull()).alias("has_label"))
+    m = F.broadcast(registry.where(F.col("model_id") == model_id).select("model_id", "family"))
+    return f.crossJoin(m).select(series, "rows_ingested", "start_ts", "end_ts", "has_label", "model_id",
+                                 "family", F.lit(float(threshold)).alias("threshold"),
+                                 F.lit(window).alias("window_size"), F.lit(horizon).alias("horizon"))

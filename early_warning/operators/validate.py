@@ -155,3 +155,30 @@ def unknown_models(requests: DataFrame, registry: DataFrame, key: str = "model_i
 def threshold_in_range(t: Column, live: bool = False) -> Column:
     """[0, 1] for batch requests, (0, 1) for the live configuration."""
     return ((t > 0) & (t < 1)) if live else ((t >= 0) & (t <= 1))
+
+
+# FIXED VALUES: validation failure codes, in the order they are checked.
+CHECK_ORDER = ["missing_time_column", "missing_sensor_columns", "non_numeric_values",
+               "blank_values", "unparseable_timestamps", "too_few_rows"]
+
+
+def upload_report(headers: DataFrame, raw: DataFrame, channels: Sequence[str], time_column: str,
+                  time_text: str, file: str = "file", order: str = "row") -> DataFrame:
+    """validate_schema for every file at once: the first failing check in
+    the fixed order (V1 time column, V2 sensor columns, V3 non-numeric cells,
+    V4 blanks, V5 timestamps, V6 length), or NULL when the file is accepted.
+    Each check is one aggregate keyed by file; the verdict is a coalesce."""
+    files = headers.select(file).distinct()
+    v1 = time_column_hints(headers, time_column, file).select(file, F.lit(True).alias("v1"))
+    v2 = rename_hints(headers, channels, file).select(file).distinct().withColumn("v2", F.lit(True))
+    v3 = nonnumeric_cells(raw, channels, file, order).select(file).distinct().withColumn("v3", F.lit(True))
+    v4 = (blank_counts(raw, channels, file).where(F.col("n_blank") > 0).select(file).distinct()
+          .withColumn("v4", F.lit(True)))
+    facts = file_facts(raw, time_text, headers, file).select(
+        file, (F.col("bad_timestamps") > 0).alias("v5"), F.col("too_short").alias("v6"))
+    j = files
+    for v in (v1, v2, v3, v4, facts):
+        j = j.join(v, file, "left")
+    first = F.coalesce(*[F.when(F.coalesce(F.col(f"v{k + 1}"), F.lit(False)), F.lit(code))
+                         for k, code in enumerate(CHECK_ORDER)])
+    return j.select(file, first.alias("first_error"), first.isNull().alias("accepted"))

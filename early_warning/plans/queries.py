@@ -1450,3 +1450,50 @@ def q_model_knn(spark, sf_dir):
     test = frame.where(F.col("split") == "test").select("id", "series_id", "idx", "y")
     return s.join(test, "id").select("series_id", F.col("idx").cast("bigint").alias("idx"), "y",
                                      F.lit("knn").alias("model_id"), "p")
+
+
+@register("upload_report", with_views(["uploads", "upload_headers"], f"""
+SELECT f.file,
+       CASE WHEN v1.file IS NOT NULL THEN 'missing_time_column'
+            WHEN v2.file IS NOT NULL THEN 'missing_sensor_columns'
+            WHEN v3.file IS NOT NULL THEN 'non_numeric_values'
+            WHEN v4.file IS NOT NULL THEN 'blank_values'
+            WHEN fa.bad_timestamps > 0 THEN 'unparseable_timestamps'
+            WHEN fa.too_short THEN 'too_few_rows' END AS first_error,
+       v1.file IS NULL AND v2.file IS NULL AND v3.file IS NULL AND v4.file IS NULL
+         AND NOT COALESCE(fa.bad_timestamps > 0, FALSE) AND NOT COALESCE(fa.too_short, FALSE) AS accepted
+FROM (SELECT DISTINCT file FROM upload_headers) f
+LEFT JOIN (SELECT file FROM upload_headers GROUP BY file HAVING NOT BOOL_OR(col_name = 'datetime')) v1 ON v1.file = f.file
+LEFT JOIN (SELECT DISTINCT f2.file FROM (SELECT DISTINCT file FROM upload_headers) f2
+           CROSS JOIN (SELECT * FROM (VALUES {", ".join(f"('{c}')" for c in CH)}) v(wanted)) w
+           WHERE NOT EXISTS (SELECT 1 FROM upload_headers h WHERE h.file = f2.file AND h.col_name = w.wanted)) v2
+  ON v2.file = f.file
+LEFT JOIN (SELECT DISTINCT file FROM ({_unpivot_cols_sql("uploads", "file, row", CH, "cell")}) u
+           WHERE NOT {_blank_sql("cell")} AND TRY_CAST(TRIM(cell) AS DOUBLE) IS NULL) v3 ON v3.file = f.file
+LEFT JOIN (SELECT DISTINCT file FROM ({_unpivot_cols_sql("uploads", "file, row", CH, "cell")}) u
+           WHERE {_blank_sql("cell")}) v4 ON v4.file = f.file
+LEFT JOIN facts fa ON fa.file = f.file""", extra=[("facts", _FACTS_SQL)]))
+def q_upload_report(spark, sf_dir):
+    """validate_schema over all uploads: the first failing check per file."""
+    from ..operators import validate
+    r = fx.readings(spark, sf_dir)
+    return validate.upload_report(fx.upload_headers(spark, sf_dir, r), fx.uploads(spark, sf_dir, r), CH,
+                                  "datetime", "ts_text")
+
+
+@register("sample_series", with_views(["readings"], """
+SELECT series_id, i, ts, ch1 AS value, anomaly = 1 AS is_anomaly FROM readings"""))
+def q_sample_series(spark, sf_dir):
+    from ..operators import report
+    return report.sample_series(fx.readings(spark, sf_dir), CH[0])
+
+
+@register("provenance", with_views(["readings", "registry"], """
+SELECT r.series_id, CAST(COUNT(*) AS BIGINT) AS rows_ingested, MIN(r.ts) AS start_ts, MAX(r.ts) AS end_ts,
+       BOOL_OR(r.anomaly IS NOT NULL) AS has_label, g.model_id, g.family, 0.5::DOUBLE AS threshold,
+       20 AS window_size, 10 AS horizon
+FROM readings r CROSS JOIN (SELECT model_id, family FROM registry WHERE model_id = 'm1') g
+GROUP BY r.series_id, g.model_id, g.family"""))
+def q_provenance(spark, sf_dir):
+    from ..operators import report
+    return report.provenance(fx.readings(spark, sf_dir), fx.registry(spark), "m1", 0.5)
