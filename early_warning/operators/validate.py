@@ -91,8 +91,9 @@ def blank_counts(raw: DataFrame, channels: Sequence[str], file: str = "file") ->
 
 
 def parse_time(cell: Column) -> Column:
-    """text to timestamp; unparseable text (or epoch numbers) -> NULL."""
-    return F.try_to_timestamp(F.trim(cell))
+    """text to a zone-free timestamp; unparseable text (or epoch
+    numbers) -> NULL. Independent of the session time zone."""
+    return F.trim(cell).try_cast("timestamp_ntz")
 
 
 def header_facts(headers: DataFrame, label: str = "anomaly", file: str = "file") -> DataFrame:
