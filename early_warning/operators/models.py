@@ -149,3 +149,19 @@ def score(model: PipelineModel, frame: DataFrame, model_id: str) -> DataFrame:
 def fallback_model(requested: str, available: Sequence[str], fallback: str) -> str:
     """The live model, or the fallback when its artifact is missing."""
     return requested if requested in set(available) else fallback
+
+
+def compare(frame: DataFrame, fitted: dict, registry: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Score every available model on the same prepared windows (the
+    frame is reused, not rebuilt) and summarise per model; a registry model
+    without a fitted artifact comes back ``unavailable`` instead of failing."""
+    parts = [score(m, frame, mid) for mid, m in fitted.items()]
+    scores = parts[0]
+    for p in parts[1:]:
+        scores = scores.unionByName(p)
+    summ = scores.groupBy("model_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("total_windows"),
+        F.count_if(F.col("p") >= threshold).cast("bigint").alias("fault_windows"),
+        F.max("p").alias("peak_prob"))
+    return (F.broadcast(registry).join(summ, "model_id", "left")
+             .withColumn("unavailable", F.col("total_windows").isNull()))
