@@ -119,20 +119,20 @@ def roc_curve(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataF
 
 
 def roc_auc(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataFrame:
-    """Exact area under the ROC curve (trapezoids); NULL AUC for a group
-    without both classes."""
+    """Exact area under the ROC curve (trapezoids from the origin);
+    NULL AUC for a group without both classes. One pass over the curve: the
+    origin is the ``lag`` default and the class totals ride on every point."""
     keys = list(keys)
-    pts = roc_curve(scores, keys, label)
+    c = curve_points(scores, keys, label)
+    fpr, tpr = _div0(F.col("fp"), F.col("N")), _div0(F.col("tp"), F.col("P"))
     w = Window.partitionBy(*keys).orderBy(F.col("threshold").desc())
-    seg = pts.select(*keys, "fpr", "tpr",
-                     ((F.col("fpr") - F.lag("fpr", 1, 0.0).over(w))
-                      * (F.col("tpr") + F.lag("tpr", 1, 0.0).over(w)) / 2).alias("area"))
-    c = curve_points(scores, keys, label).groupBy(*keys).agg(F.max("P").alias("P"), F.max("N").alias("N"))
-    a = seg.groupBy(*keys).agg(F.sum("area").alias("auc"),
-                               F.count(F.lit(1)).cast("bigint").alias("n_points"))
-    return (a.join(c, keys)
-             .select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("auc")).alias("auc"),
-                     "n_points"))
+    seg = c.select(*keys, "threshold", "P", "N", fpr.alias("fpr"), tpr.alias("tpr")).select(
+        *keys, "P", "N",
+        ((F.col("fpr") - F.lag("fpr", 1, 0.0).over(w)) * (F.col("tpr") + F.lag("tpr", 1, 0.0).over(w)) / 2)
+        .alias("area"))
+    a = seg.groupBy(*keys).agg(F.sum("area").alias("auc"), (F.count(F.lit(1)) + 1).cast("bigint").alias("n_points"),
+                               F.max("P").alias("P"), F.max("N").alias("N"))
+    return a.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("auc")).alias("auc"), "n_points")
 
 
 def best_f1_threshold(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataFrame:
