@@ -633,7 +633,7 @@ def q_run_timeline(spark, sf_dir):
 @register("peak_neighbourhood", with_views(["scores"], f"""
 SELECT p.series_id, p.model_id, r.i, r.i - p.peak_row AS offset,
        r.i BETWEEN p.peak_row - 19 AND p.peak_row AS in_peak_window,
-       u.ch_pos, u.channel, u.value
+       CAST(u.ch_pos AS BIGINT) AS ch_pos, u.channel, u.value
 FROM peaks p
 JOIN readings r ON r.series_id = p.series_id AND r.i BETWEEN GREATEST(p.peak_row - 30, 0) AND LEAST(p.peak_row + 30, p.n - 1)
 JOIN ({_unpivot_cols_sql("readings", "series_id, i", CH)}) u ON u.series_id = r.series_id AND u.i = r.i""",
