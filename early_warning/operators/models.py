@@ -165,3 +165,38 @@ def compare(frame: DataFrame, fitted: dict, registry: DataFrame, threshold: floa
         F.max("p").alias("peak_prob"))
     return (F.broadcast(registry).join(summ, "model_id", "left")
              .withColumn("unavailable", F.col("total_windows").isNull()))
+
+
+def sweep(frame: DataFrame, configs: DataFrame, grid: DataFrame, metric: str = "weighted_f1",
+          max_iter: int = 200) -> DataFrame:
+    """M12 + T5 inputs: for each configuration row (``config_no``, ``name``,
+    ``d_model``, ``ff``), fit the sequence model with hidden layers
+    (d_model, ff) on the training split, choose the threshold on validation
+    (first strict maximum of ``metric`` over ``grid``, ``p > t``) and score
+    test at that threshold. Returns one results row per configuration; pick
+    winners with ``metrics.select_best`` (by ``val_score`` or, as the
+    reference also records, ``test_score``). Heads and dropout have no
+    counterpart in the perceptron and are carried as labels only.
+
+    The configuration table is a small parameter table (54 rows), iterated
+    on the driver; every fit and every evaluation is a distributed job.
+    """
+    from . import metrics
+    train = frame.where(F.col("split") == "train")
+    n_features = len(train.select(vector_to_array("features_seq").alias("a")).first().a)
+    results = []
+    for cfg in configs.collect():
+        est = MultilayerPerceptronClassifier(featuresCol="features_seq",
+                                             layers=[n_features, int(cfg.d_model), int(cfg.ff), 2],
+                                             maxIter=max_iter, seed=1)
+        model = Pipeline(stages=[est]).fit(train)
+        sc = score(model, frame.where(F.col("split").isin("val", "test")), "mlp")
+        val = metrics.threshold_search(sc.where(F.col("split") == "val"), ["model_id"], grid)
+        best = metrics.best_threshold(val, ["model_id"], metric)
+        t = best.first()
+        test = metrics.class_report(sc.where(F.col("split") == "test"), ["model_id"], t.best_t, strict=True)
+        test_score = test.where(F.col("label") == "weighted avg").first().f1
+        results.append((int(cfg.config_no), cfg.name, float(t.best_t), float(t.best_score), float(test_score)))
+    spark = frame.sparkSession
+    return spark.createDataFrame(results, "config_no long, name string, best_t double, val_score double, "
+                                          "test_score double")

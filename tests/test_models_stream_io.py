@@ -26,3 +26,15 @@ def test_decode_samples_json(spark):
     rows = {r.seq: r for r in jobs.decode_samples(raw, ["ch1", "ch2"]).collect()}
     assert rows[1].ch1 == 1.5 and rows[1].ch2 == 2.0 and rows[1].ts is not None
     assert rows[2].ch2 is None and rows[2].ts is None
+
+
+def test_sweep_two_configs_and_selection(spark, sf_dir):
+    from early_warning.functions import scalars
+    from early_warning.operators import metrics
+    frame = models.model_frame(fx.readings(spark, sf_dir), fx.CHANNELS).persist()
+    cfgs = scalars.sweep_configs(spark).where("config_no IN (0, 53)")
+    res = models.sweep(frame, cfgs, metrics.threshold_grid(spark), max_iter=20)
+    assert res.count() == 2
+    best = metrics.select_best(res, "val_score").first()
+    assert best.config_no in (0, 53) and 0.45 <= best.best_t <= 0.75 + 1e-9
+    frame.unpersist()
