@@ -126,10 +126,14 @@ def alert_states(scores: DataFrame, keys: Sequence[str] = KEYS, order: str = "id
     g = g.withColumn("_t", F.filter(F.transform("_a", tmap), lambda e: ~e["t"]["_halo"])).drop("_a")
     g = g.withColumn("_cmap", F.aggregate("_t", _identity(), lambda acc, e: _compose(acc, e["m"])))
     # Doubling steps are sized from the longest key. Without ``max_ticks``
-    # one aggregate reads it; callers with materialised scores (checkpointed
-    # or written) pay only that scan, others should pass the bound.
+    # the chunk table is checkpointed (written once to the session's shared
+    # checkpoint folder, which also cuts the lineage for recovery) and the
+    # bound is read from it, so the scoring lineage is not run twice.
     if max_ticks is None:
-        max_ticks = (scores.agg(F.max(order)).first()[0] or 0) + 1
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(g.sparkSession)
+        g = g.checkpoint(eager=True)
+        max_ticks = ((g.agg(F.max("_c")).first()[0] or 0) + 1) * chunk
     n_chunks = max(1, math.ceil(max_ticks / chunk))
     # level 2: prefix of chunk maps inside each group of chunks
     g = g.withColumn("_g", F.floor(F.col("_c") / group).cast("bigint"))
