@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, encode, licenses, quality, token_count
+from . import decontaminate, encode, html_text, licenses, line_dedup, quality, simhash, token_count
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +54,19 @@ def op7(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "broken_rules")
+
+
+@register("op5_line_dedup")
+def op5(spark, sf_dir):
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@register("op8_simhash")
+def op8(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op10_html_text")
+def op10(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
