@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, encode, html_text, licenses, line_dedup, quality, simhash, token_count
+from . import decontaminate, encode, html_text, licenses, line_dedup, quality, sharding, simhash, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,13 @@ def op8(spark, sf_dir):
 @register("op10_html_text")
 def op10(spark, sf_dir):
     return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op2_toxicity")
+def op2(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_shards")
+def op9(spark, sf_dir):
+    return sharding.kd_shards(table(spark, sf_dir, "documents"))
