@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, encode, html_text, licenses, line_dedup, quality, sharding, simhash, token_count, toxicity
+from . import decontaminate, encode, html_text, licenses, line_dedup, oracles, quality, sharding, simhash, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,7 @@ def op1(spark, sf_dir):
     return licenses.license_digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
-@register("op3_decontamination")
+@register("op3_decontamination", oracles.DECONTAMINATION)
 def op3(spark, sf_dir):
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.leak_digest(found)
@@ -49,14 +49,14 @@ def op6(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
-@register("op7_quality_rules")
+@register("op7_quality_rules", oracles.QUALITY)
 def op7(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "broken_rules")
+        F.array_join("broken_rules", ",").alias("broken_rules"))
 
 
-@register("op5_line_dedup")
+@register("op5_line_dedup", oracles.LINE_DEDUP)
 def op5(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
