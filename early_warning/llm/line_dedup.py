@@ -70,10 +70,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, runs): the disjoint runs of lines, first and last, to delete, per document that has any."""
     found = stored(windows(docs, min_words), "windows")
     place = F.struct("d", "th", "p")
-    shared = (found.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-              .where(F.col("lo") != F.col("hi")).select("fp"))
+    # Written, so that both sides of the joins are plain exchanges and a hot key's rows can be split among tasks.
+    shared = stored(found.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                    .where(F.col("lo") != F.col("hi")).select("fp"), "shared")
     met = found.join(shared, "fp", "left_semi").select("d", "th", "s", "e", "a", "b")
-    first = met.groupBy("a", "b").agg(F.min(F.struct("d", "th", "s")).alias("first"))
+    first = stored(met.groupBy("a", "b").agg(F.min(F.struct("d", "th", "s")).alias("first"), F.count("*").alias("n"))
+                   .where("n > 1").drop("n"), "first")
     later = met.join(first, ["a", "b"]).where(F.struct("d", "th", "s") > F.col("first")).select("d", "th", "s", "e")
     doc = W.partitionBy("d", "th").orderBy("s", "e")
     reach = F.max("e").over(doc.rowsBetween(W.unboundedPreceding, -1))
