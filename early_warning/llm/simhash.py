@@ -189,7 +189,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     points = stored(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")), "points")
     rooted = points.join(groups(points, radius), "fp")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(ids, "root").select("fp", "component_id")
+    # Written, so that both sides of the join are plain exchanges and the rows of a hot fingerprint can be split.
+    by_fp = stored(rooted.join(ids, "root").select("fp", "component_id"), "components")
     return marked.join(by_fp, "fp").select(id_col, "fp", "component_id")
 
 
