@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import scan_texts
-from .pieces import ChunkTable, chunks, processor, stays_in_chunk, vocabulary
+from .pieces import MARK, ChunkTable, chunks, processor, stays_in_chunk, vocabulary
 
 #: Output columns: token count, ids, decoded text and digests of both.
 OUTPUTS = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string",
@@ -34,10 +34,18 @@ class Encoder:
 
     def __init__(self, model_path: str):
         self.library = processor(model_path)
-        self.by_chunk = stays_in_chunk(p for p, _ in vocabulary(model_path))
+        pieces = [p for p, _ in vocabulary(model_path)]
+        self.by_chunk = stays_in_chunk(pieces) and MARK in pieces
+        # a lone marker, the chunk that a single space at the end makes, is a piece that no text of its own encodes to
+        self.lone = array("I", [self.library.piece_to_id(MARK)]).tobytes()
         self.begin = array("I", [self.library.bos_id()]).tobytes()
         self.end = array("I", [self.library.eos_id()]).tobytes()
-        self.table = ChunkTable(lambda new: [array("I", ids).tobytes() for ids in self.library.encode(new, num_threads=1)])
+        self.table = ChunkTable(self.segment)
+
+    def segment(self, new: list[str]) -> list[bytes]:
+        """The ids of chunks, by the library."""
+        found = self.library.encode(new, num_threads=1)
+        return [array("I", ids).tobytes() if c else self.lone for c, ids in zip(new, found)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids as unsigned 32-bit integers."""
