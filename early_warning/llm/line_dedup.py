@@ -14,7 +14,7 @@ overlap its own earlier place. No pairs are made: a window meets its first place
 costs as many rows as it has windows.
 
 Edge cases: null and empty texts have no lines and stay as they are; lines without words are no part of the
-comparison and go only if they lie inside a deleted run; rows with equal id and text are one document and get
+comparison and go only if they lie inside a repeated window; rows with equal id and text are one document and get
 the same result; a text may become empty; texts of fewer words than the least run stay as they are.
 """
 

@@ -11,7 +11,10 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute(docs, least):
-    """doc -> lines to delete: those in a run of at least so many words that stands at an earlier place."""
+    """doc -> lines to delete: those in a run of at least so many words that stands at an earlier place.
+
+    Lines without words go only with a shortest such run.
+    """
     seen, gone = set(), {}
     for doc, text in docs:
         lines = [(i, x, len(WORD.findall(x))) for i, x in enumerate((text or "").split("\n")) if WORD.search(x)]
@@ -23,7 +26,9 @@ def brute(docs, least):
                 if n >= least:
                     run = tuple(x[1] for x in lines[a:b + 1])
                     if run in seen:
-                        gone[doc].update(range(lines[a][0], lines[b][0] + 1))
+                        gone[doc].update(x[0] for x in lines[a:b + 1])
+                        if n - min(lines[a][2], lines[b][2]) < least or n - max(lines[a][2], lines[b][2]) < least:
+                            gone[doc].update(range(lines[a][0], lines[b][0] + 1))
                     seen.add(run)
     return gone
 
