@@ -31,7 +31,7 @@ from .common import safe_names, stored
 #: The labelled categories in the order of the chain; the last is the verdict.
 CATEGORIES = ("quality", "toxic")
 #: At most so many labelled rows are fitted.
-SAMPLE_ROWS = 16384
+SAMPLE_ROWS = 8192
 FOLDS = 3
 FEATURES = 1 << 16
 #: Hashed words in fewer fitted rows have no weight.
@@ -65,7 +65,7 @@ class Linear:
         self.share = (ones / n) if n else 0.0
         self.model = None
         if 0 < self.share < 1:
-            fit = LogisticRegression(featuresCol="all__", labelCol=label, maxIter=30, regParam=1e-3, elasticNetParam=1.0, standardization=False,
+            fit = LogisticRegression(featuresCol="all__", labelCol=label, maxIter=20, regParam=1e-3, elasticNetParam=1.0, standardization=False,
                                      rawPredictionCol="raw__", probabilityCol="p__", predictionCol="y__")
             self.model = fit.fit(self._assembled(rows))
 
@@ -97,15 +97,15 @@ def fit_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The fitted chain."""
     sample = labelled_sample(docs, labels, id_col, text_col, categories, sample_rows)
     weights = IDF(inputCol="words", outputCol="x", minDocFreq=LEAST_ROWS).fit(sample)
-    # a few partitions: the sample is bounded, and the fit is many short jobs
-    known = weights.transform(sample).drop("words").coalesce(2).cache()
+    # one partition: the sample is bounded, and the fit is many short jobs
+    known = weights.transform(sample).drop("words").coalesce(1).cache()
     models, earlier = [], []
     for i, category in enumerate(categories):
         models.append(Linear(known, category, earlier))
         if i + 1 < len(categories):
             parts = [Linear(known.where(F.col("fold") != f), category, earlier)
                      .predict(known.where(F.col("fold") == f), f"p_{category}") for f in range(FOLDS)]
-            known = reduce(DataFrame.unionByName, parts).coalesce(2).cache()
+            known = reduce(DataFrame.unionByName, parts).coalesce(1).cache()
             earlier.append(f"p_{category}")
     return Chain(weights, tuple(categories), models)
 
