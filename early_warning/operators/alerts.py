@@ -20,10 +20,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ALERT_THRESHOLD, BAND_LOWER, DEMOTION_STREAK, PROMOTION_STREAK_WARNING, STATES
+from ..session import ensure_checkpoint_dir
 
 KEYS = ("series_id", "model_id")
 
@@ -87,7 +89,7 @@ def _inclusive_prefix(df: DataFrame, part: Sequence[str], order: str, col: str,
 
 
 def alert_states(scores: DataFrame, keys: Sequence[str] = KEYS, order: str = "idx",
-                 chunk: int = 64, group: int = 1024, max_ticks: int | None = None) -> DataFrame:
+                 chunk: int = 64, group: int = 1024) -> DataFrame:
     """``state`` (0..3) and ``status`` for every tick, starting NORMAL.
 
     ``order`` must number the ticks of a key 0, 1, 2, ... without gaps. No
@@ -125,16 +127,12 @@ def alert_states(scores: DataFrame, keys: Sequence[str] = KEYS, order: str = "id
                                                 F.greatest(x["p"], p1, p2), cnt).alias("m"))
     g = g.withColumn("_t", F.filter(F.transform("_a", tmap), lambda e: ~e["t"]["_halo"])).drop("_a")
     g = g.withColumn("_cmap", F.aggregate("_t", _identity(), lambda acc, e: _compose(acc, e["m"])))
-    # Doubling steps are sized from the longest key. Without ``max_ticks``
-    # the chunk table is checkpointed (written once to the session's shared
-    # checkpoint folder, which also cuts the lineage for recovery) and the
-    # bound is read from it, so the scoring lineage is not run twice.
-    if max_ticks is None:
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(g.sparkSession)
-        g = g.checkpoint(eager=True)
-        max_ticks = ((g.agg(F.max("_c")).first()[0] or 0) + 1) * chunk
-    n_chunks = max(1, math.ceil(max_ticks / chunk))
+    # Doubling steps are sized from the longest key: the chunk table is
+    # checkpointed (written once to the session's shared checkpoint folder,
+    # which also cuts the lineage for recovery) and the bound is read from it.
+    ensure_checkpoint_dir(g.sparkSession)
+    g = g.checkpoint(eager=True)
+    n_chunks = (g.agg(F.max("_c")).first()[0] or 0) + 1
     # level 2: prefix of chunk maps inside each group of chunks
     g = g.withColumn("_g", F.floor(F.col("_c") / group).cast("bigint"))
     per_group = min(group, n_chunks)
@@ -160,38 +158,20 @@ def alert_states(scores: DataFrame, keys: Sequence[str] = KEYS, order: str = "id
     return out.withColumn("status", state_name(F.col("state")))
 
 
-def fold_states(probs: Sequence[float], prev: str = "NORMAL") -> list[str]:
-    """Direct sequential fold, for tests (the semantics the plan must equal)."""
-    out, ring = [], []
-    state = prev if prev in STATES else "NORMAL"
-    for p in probs:
-        ring.append(p)
-        state = next_state(state, ring)
-        out.append(state)
-    return out
-
-
-def next_state(prev: str, recent: Sequence[float]) -> str:
-    """One transition, written as the rules read (test oracle only)."""
-    if prev not in STATES:
-        prev = "NORMAL"
-    if not recent:
-        return prev
-    s = STATES.index(prev)
-    p = recent[-1]
-    b = 3 if p >= BAND_LOWER[3] else 2 if p >= BAND_LOWER[2] else 1 if p >= BAND_LOWER[1] else 0
-    if b == 3:
-        return "ALERT"
-    if b > s:
-        need = PROMOTION_STREAK_WARNING if s + 1 == 2 else 1
-        tail = list(recent[-need:])
-        ok = len(tail) >= need and all(x >= BAND_LOWER[s + 1] for x in tail)
-        return STATES[s + 1] if ok else prev
-    if b < s:
-        tail = list(recent[-DEMOTION_STREAK:])
-        ok = len(tail) >= DEMOTION_STREAK and all(x < BAND_LOWER[s] for x in tail)
-        return STATES[s - 1] if ok else prev
-    return prev
+def tick_map(tail: Sequence[float]) -> np.ndarray:
+    """The transition map of one tick outside a plan, from the key's last probabilities (newest last).
+
+    The numpy counterpart of ``_tick_map``, for streams that carry a key's state themselves.
+    """
+    bounds, held = np.asarray(BAND_LOWER), np.arange(len(STATES))
+    band = int(np.searchsorted(bounds[1:], tail[-1], side="right"))
+    if band == held[-1]:
+        return np.full_like(held, band)
+    climbs = np.zeros_like(held)
+    climbs[0] = 1
+    climbs[1] = len(tail) >= PROMOTION_STREAK_WARNING and min(tail[-PROMOTION_STREAK_WARNING:]) >= bounds[2]
+    falls = (max(tail[-DEMOTION_STREAK:]) < bounds) & (len(tail) >= DEMOTION_STREAK) & (held > 0)
+    return held + climbs * (band > held) - falls * (band < held)
 
 
 def alert_transitions(states: DataFrame, keys: Sequence[str] = KEYS, order: str = "idx") -> DataFrame:

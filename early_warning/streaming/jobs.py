@@ -56,7 +56,7 @@ def with_config(samples: DataFrame, resolved: DataFrame, arrival: str = "arrival
     """J10 on a stream: stream-static left join with the resolved config
     intervals (one row per operator action, broadcast)."""
     a = F.col(arrival)
-    cfg = resolved.select("at_s", "next_s", "model_id", "threshold")
+    cfg = resolved.select("at_s", "next_s", "model_id", "threshold", "segment")
     cond = (a >= F.col("at_s")) & (F.col("next_s").isNull() | (a < F.col("next_s")))
     return samples.join(F.broadcast(cfg), cond, "left").drop("at_s", "next_s")
 
@@ -74,8 +74,9 @@ def live_monitor(samples: DataFrame, resolved: DataFrame | None, channels: Seque
     ``availableNow`` (catch-up) runs and set it for continuous triggers.
     """
     s = with_config(samples, resolved) if resolved is not None else \
-        samples.withColumn("model_id", F.lit(None).cast("string")).withColumn("threshold", F.lit(None).cast("double"))
-    s = s.select("series_id", "seq", "arrival_s", *channels, "model_id", "threshold")
+        samples.withColumn("model_id", F.lit(None).cast("string")).withColumn("threshold", F.lit(None).cast("double")) \
+               .withColumn("segment", F.lit(0).cast("bigint"))
+    s = s.select("series_id", "seq", "arrival_s", *channels, "model_id", "threshold", "segment")
     fn = make_processor(channels, scorer, ranges, window, default_model, default_threshold, stale_ms)
     timeout = "ProcessingTimeTimeout" if stale_ms else "NoTimeout"
     return s.groupBy("series_id").applyInPandasWithState(

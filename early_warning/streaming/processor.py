@@ -6,49 +6,73 @@ ring and alert status, the tick counter, the active quality keys and the
 model in force. Everything in the state is bounded by the fixed ring sizes,
 so a key's state never grows with its stream.
 
-Per sample, in arrival order (``seq``): interval and channel rings are
-updated, the sample is buffered, a tick is produced when the last ``window``
-samples carry every channel, then the quality rules are judged and only
-changes are emitted (tick first, then quality frames).
+A key's micro-batch is handled as arrays: the carried rings are put before the
+new samples, windows and quality flags of all samples are computed at once, the
+scorer is called once per model, and only the alert state is stepped through.
+Ticks come before the quality frames of the same sample; only changes of
+quality flags are emitted.
 """
 
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 
-from ..config import (ALERT_THRESHOLD, FROZEN_LOOKBACK, HISTORY_CAP, INTERVAL_LOOKBACK, LIVE_PROB_RING,
+from ..config import (ALERT_THRESHOLD, FROZEN_LOOKBACK, INTERVAL_LOOKBACK, LIVE_PROB_RING, STATES,
                       UNEVEN_STD_THRESHOLD, WINDOW)
-from ..operators.alerts import next_state
+from ..operators.alerts import tick_map
 
-Scorer = Callable[[str, np.ndarray], float]
+# (model id, windows of shape (n, window, channels)) -> n probabilities
+Scorer = Callable[[str, np.ndarray], np.ndarray]
 
 OUTPUT_SCHEMA = (
     "series_id long, seq long, kind string, tick long, p double, status string, "
     "in_anomaly_window boolean, threshold double, model_id string, code string, channel string, "
     "severity string")
 STATE_SCHEMA = "blob string"
-
-_RAISED = {"frozen": "FROZEN_SENSOR", "range": "OUT_OF_RANGE", "uneven": "UNEVEN_SAMPLING"}
-_CLEARED = {"frozen": "FROZEN_CLEARED", "range": "OUT_OF_RANGE_CLEARED", "uneven": "EVEN_SAMPLING_RESTORED"}
-
-
-def _fresh(channels: Sequence[str], model: str, threshold: float) -> dict:
-    return {"win": [], "vals": {c: [] for c in channels}, "intervals": [], "last_arrival": None,
-            "buffered": 0, "probs": [], "status": "NORMAL", "tick": 0, "active": [],
-            "model": model, "threshold": threshold}
-
-
-def _row(series, seq, kind, **kw):
-    out = {"series_id": series, "seq": seq, "kind": kind, "tick": None, "p": None, "status": None,
-           "in_anomaly_window": None, "threshold": None, "model_id": None, "code": None,
-           "channel": None, "severity": None}
-    out.update(kw)
-    return out
+COLUMNS = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
+
+# FIXED VALUES: codes of a raised and of a cleared flag, by kind.
+QUALITY_CODES = {
+    "frozen": ("FROZEN_SENSOR", "FROZEN_CLEARED"),
+    "range": ("OUT_OF_RANGE", "OUT_OF_RANGE_CLEARED"),
+    "uneven": ("UNEVEN_SAMPLING", "EVEN_SAMPLING_RESTORED"),
+}
+
+
+def _frozen(ring: list[float], values: np.ndarray) -> tuple[np.ndarray, list[float]]:
+    """Per sample: were the channel's last ``FROZEN_LOOKBACK`` present values all equal? And the new ring."""
+    present = ~np.isnan(values)
+    seen = np.concatenate([np.asarray(ring, dtype=float), values[present]])
+    place = np.arange(len(seen))
+    starts = np.ones(len(seen), dtype=bool)
+    starts[1:] = seen[1:] != seen[:-1]
+    same = place - np.maximum.accumulate(np.where(starts, place, 0)) + 1
+    last = np.cumsum(present) + len(ring) - 1
+    flags = np.zeros(len(values), dtype=bool)
+    if len(seen):
+        flags = (last >= 0) & (same[np.maximum(last, 0)] >= FROZEN_LOOKBACK)
+    return flags, seen[-FROZEN_LOOKBACK:].tolist()
+
+
+def _uneven(ring: list[float], last: float | None, arrivals: np.ndarray) -> tuple[np.ndarray, list[float], float | None]:
+    """Per sample: is the spread of the last ``INTERVAL_LOOKBACK`` positive intervals too wide? Ring, last arrival."""
+    known = ~np.isnan(arrivals)
+    times = arrivals[known] if last is None else np.concatenate([[last], arrivals[known]])
+    steps = np.diff(times)
+    used = np.concatenate([np.asarray(ring, dtype=float), steps[steps > 0]])
+    counted = np.zeros(len(arrivals), dtype=int)
+    counted[np.flatnonzero(known)[0 if last is not None else 1:]] = steps > 0
+    n = np.cumsum(counted) + len(ring)
+    flags = np.zeros(len(arrivals), dtype=bool)
+    if len(used) >= INTERVAL_LOOKBACK:
+        wide = sliding_window_view(used, INTERVAL_LOOKBACK).std(axis=1) > UNEVEN_STD_THRESHOLD
+        flags = (n >= INTERVAL_LOOKBACK) & wide[np.maximum(n - INTERVAL_LOOKBACK, 0)]
+    return flags, used[-INTERVAL_LOOKBACK:].tolist(), float(times[-1]) if len(times) else last
 
 
 def make_processor(channels: Sequence[str], scorer: Scorer, ranges: Mapping[str, tuple[float, float]],
@@ -56,93 +80,96 @@ def make_processor(channels: Sequence[str], scorer: Scorer, ranges: Mapping[str,
                    default_threshold: float = ALERT_THRESHOLD, stale_ms: int | None = None):
     """The function handed to ``applyInPandasWithState``.
 
-    Input rows: ``series_id, seq, arrival_s, <channels>, model_id, threshold``
-    (model/threshold already as of arrival; NULL = defaults).
+    Input rows: ``series_id, seq, arrival_s, <channels>, model_id, threshold, segment``
+    (configuration already as of arrival; NULL = defaults, segment 0).
     """
     channels = list(channels)
+    bounded = [c for c in channels if c in ranges]
+    flag_names = [("frozen", c) for c in channels] + [("range", c) for c in bounded] + [("uneven", None)]
+
+    def ticks_of(st: dict, batch: pd.DataFrame, values: np.ndarray) -> pd.DataFrame:
+        """One row per tick; moves the window, the alert state and the counter on."""
+        carried = np.asarray(st["win"], dtype=float).reshape(-1, len(channels))
+        rows = np.concatenate([carried, values])
+        st["win"] = rows[max(0, len(rows) - window + 1):].tolist()
+        if len(rows) < window:
+            return pd.DataFrame(columns=["at"])
+        full = sliding_window_view(~np.isnan(rows).any(axis=1), window).all(axis=1)
+        ends = np.flatnonzero(full)
+        frames = sliding_window_view(rows, window, axis=0)[ends].swapaxes(1, 2)
+        at = ends + window - 1 - len(carried)
+        frames, at = frames[at >= 0], at[at >= 0]
+        models = batch["model_id"].fillna(default_model).to_numpy()[at]
+        segments = batch["segment"].fillna(0).to_numpy(dtype=int)[at]
+        thresholds = batch["threshold"].astype(float).fillna(default_threshold).to_numpy()[at]
+        p = np.empty(len(at))
+        for model in pd.unique(models):
+            p[models == model] = scorer(model, frames[models == model])
+        status = []
+        for x, segment in zip(p.tolist(), segments.tolist()):
+            if segment != st["segment"]:  # X7: a model switch starts anew, also one that was switched back
+                st["segment"], st["probs"], st["status"] = segment, [], 0
+            st["probs"] = [*st["probs"], x][-LIVE_PROB_RING:]
+            st["status"] = int(tick_map(st["probs"])[st["status"]])
+            status.append(STATES[st["status"]])
+        first, st["tick"] = st["tick"] + 1, st["tick"] + len(at)
+        return pd.DataFrame({
+            "at": at, "kind": "tick", "tick": np.arange(first, first + len(at)), "p": p, "status": status,
+            "in_anomaly_window": p >= thresholds, "threshold": thresholds, "model_id": models})
+
+    def quality_of(st: dict, batch: pd.DataFrame, values: np.ndarray) -> pd.DataFrame:
+        """One row per flag that changed at a sample."""
+        flags = np.zeros((len(values) + 1, len(flag_names)), dtype=bool)
+        flags[0] = st["flags"]
+        for k, c in enumerate(channels):
+            flags[1:, k], st["vals"][c] = _frozen(st["vals"][c], values[:, k])
+        for k, c in enumerate(bounded):
+            lo, hi = ranges[c]
+            x = values[:, channels.index(c)]
+            flags[1:, len(channels) + k] = (x < lo) | (x > hi)
+        flags[1:, -1], st["intervals"], st["last_arrival"] = _uneven(
+            st["intervals"], st["last_arrival"], batch["arrival_s"].to_numpy(dtype=float))
+        st["flags"] = flags[-1].tolist()
+        at, which = np.nonzero(flags[1:] != flags[:-1])
+        raised = flags[at + 1, which]
+        return pd.DataFrame({
+            "at": at, "kind": "quality",
+            "code": [QUALITY_CODES[flag_names[w][0]][0 if up else 1] for w, up in zip(which, raised)],
+            "channel": [flag_names[w][1] for w in which],
+            "severity": np.where(raised, "warning", "info")})
 
     def process(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         series = int(key[0])
         if state.hasTimedOut:
             # No sample for longer than the stale limit.
-            st = json.loads(state.get[0])
-            state.update((json.dumps(st),))
-            yield pd.DataFrame([_row(series, None, "quality", code="STALE_DATA", severity="warning")])
+            state.update(state.get)
+            stale = {"series_id": series, "kind": "quality", "code": "STALE_DATA", "severity": "warning"}
+            yield pd.DataFrame([stale]).reindex(columns=COLUMNS)
             return
-        st = json.loads(state.get[0]) if state.exists else _fresh(channels, default_model, default_threshold)
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
-        out: list[dict] = []
-        for rec in batch.itertuples(index=False):
-            r = rec._asdict()
-            seq = int(r["seq"])
-            model = r.get("model_id") or default_model
-            thr = r.get("threshold")
-            thr = default_threshold if thr is None or (isinstance(thr, float) and math.isnan(thr)) else float(thr)
-            if model != st["model"]:          # X7: a switch clears the ring, status back to NORMAL
-                st["model"], st["probs"], st["status"] = model, [], "NORMAL"
-            st["threshold"] = thr
-            # quality bookkeeping
-            arr = r.get("arrival_s")
-            if arr is not None and not (isinstance(arr, float) and math.isnan(arr)):
-                if st["last_arrival"] is not None:
-                    dt = float(arr) - st["last_arrival"]
-                    if dt > 0:
-                        st["intervals"] = (st["intervals"] + [dt])[-INTERVAL_LOOKBACK:]
-                st["last_arrival"] = float(arr)
-            vals = []
-            for c in channels:
-                v = r.get(c)
-                present = v is not None and not (isinstance(v, float) and math.isnan(v))
-                vals.append(float(v) if present else None)
-                if present:
-                    st["vals"][c] = (st["vals"][c] + [float(v)])[-FROZEN_LOOKBACK:]
-            st["win"] = (st["win"] + [vals])[-window:]
-            st["buffered"] = min(st["buffered"] + 1, HISTORY_CAP)
-            # Tick on a full window with every channel present
-            if len(st["win"]) >= window and all(x is not None for w in st["win"] for x in w):
-                p = float(scorer(st["model"], np.asarray(st["win"], dtype=np.float64)))
-                st["probs"] = (st["probs"] + [p])[-LIVE_PROB_RING:]
-                st["status"] = next_state(st["status"], st["probs"])
-                st["tick"] += 1
-                out.append(_row(series, seq, "tick", tick=st["tick"], p=p, status=st["status"],
-                                in_anomaly_window=p >= thr, threshold=thr, model_id=st["model"]))
-            # Judge, emit changes only
-            active = []
-            for c in channels:
-                v = st["vals"][c]
-                if len(v) >= FROZEN_LOOKBACK and len(set(v)) == 1:
-                    active.append(f"frozen:{c}")
-            for c, (lo, hi) in ranges.items():
-                k = channels.index(c) if c in channels else None
-                v = vals[k] if k is not None else None
-                if v is not None and (v < lo or v > hi):
-                    active.append(f"range:{c}")
-            if len(st["intervals"]) >= INTERVAL_LOOKBACK and float(np.std(st["intervals"])) > UNEVEN_STD_THRESHOLD:
-                active.append("uneven:ingest")
-            prev = set(st["active"])
-            for k in active:
-                if k not in prev:
-                    kind, _, target = k.partition(":")
-                    out.append(_row(series, seq, "quality", code=_RAISED[kind],
-                                    channel=None if kind == "uneven" else target, severity="warning"))
-            for k in sorted(prev - set(active)):
-                kind, _, target = k.partition(":")
-                out.append(_row(series, seq, "quality", code=_CLEARED[kind],
-                                channel=None if kind == "uneven" else target, severity="info"))
-            st["active"] = sorted(active)
+        st = json.loads(state.get[0]) if state.exists else {
+            "win": [], "vals": {c: [] for c in channels}, "intervals": [], "last_arrival": None, "probs": [],
+            "status": 0, "tick": 0, "segment": 0, "flags": [False] * len(flag_names)}
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable", ignore_index=True)
+        values = batch[channels].to_numpy(dtype=float)
+        made = [x for x in (ticks_of(st, batch, values), quality_of(st, batch, values)) if len(x)]
         state.update((json.dumps(st),))
         if stale_ms:
             state.setTimeoutDuration(stale_ms)
-        cols = [f.split()[0] for f in OUTPUT_SCHEMA.split(", ")]
-        yield pd.DataFrame(out, columns=cols) if out else pd.DataFrame(columns=cols)
+        if not made:
+            yield pd.DataFrame(columns=COLUMNS)
+            return
+        out = pd.concat(made, ignore_index=True).sort_values("at", kind="stable", ignore_index=True)
+        out["series_id"], out["seq"] = series, batch["seq"].to_numpy()[out["at"].to_numpy(dtype=int)]
+        out = out.reindex(columns=COLUMNS)
+        yield out.astype(object).where(out.notna(), None).astype({"tick": "Int64", "p": float, "threshold": float})
 
     return process
 
 
 def fixture_scorer(models: Mapping[str, tuple[float, float]], channel_pos: int = 0) -> Scorer:
     """The fixture stand-in model: sigmoid of the window's ch1 sum in cents."""
-    def score(model: str, win: np.ndarray) -> float:
+    def score(model: str, windows: np.ndarray) -> np.ndarray:
         slope, bias = models[model]
-        cents = float(np.sum(np.round(win[:, channel_pos] * 100)))
-        return round(1.0 / (1.0 + math.exp(-(slope * (cents / 2000.0 - 50) + bias))), 6)
+        cents = np.round(windows[:, :, channel_pos] * 100).sum(axis=1)
+        return np.round(1.0 / (1.0 + np.exp(-(slope * (cents / 2000.0 - 50) + bias))), 6)
     return score
