@@ -53,6 +53,16 @@ def safe_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*names.values()), names
 
 
+def where_last(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by computed columns without computing them twice.
+
+    A plain filter is pushed below the projections it reads from, and their expressions are put into it inside out; the
+    row number, which the optimizer holds for not deterministic, keeps the filter above them.
+    """
+    return (df.withColumn("row__", F.monotonically_increasing_id())
+            .where(condition & (F.col("row__") >= 0)).drop("row__"))
+
+
 def sorted_list(column: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(column)), ",")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, encode, line_dedup, quality, simhash
-from .common import safe_names, table
+from .common import safe_names, table, where_last
 from .queries import PIECE_MODEL
 
 
@@ -14,7 +14,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that break a quality rule go."""
     plain, names = safe_names(docs)
     judged = quality.quality_rules(plain, names["text"], list(names.values()))
-    return judged.where("kept").select(*names.values()).toDF(*docs.columns)
+    return where_last(judged, F.col("kept")).select(*names.values()).toDF(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         left["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col(names["n_chars"])).cast(
             docs.schema["n_chars"].dataType)
     gone = (F.col("n_removed") > 0) & ~F.col("text").rlike(line_dedup.WORD)
-    return done.where(~gone).select(*(left[c].alias(c) for c in docs.columns))
+    return where_last(done, ~gone).select(*(left[c].alias(c) for c in docs.columns))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
