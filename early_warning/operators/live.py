@@ -23,9 +23,6 @@ from ..config import ALERT_THRESHOLD, HISTORY_CAP, WINDOW
 from . import alerts
 
 SERIES = "series_id"
-# Config tables are one row per operator action; above this many rows the
-# as-of join switches from a broadcast range join to a bucketed equi-join.
-BROADCAST_CONFIG_ROWS = 100_000
 
 
 def resolve_config(config: DataFrame, default_model: str, default_threshold: float = ALERT_THRESHOLD,
@@ -51,16 +48,13 @@ def config_as_of(samples: DataFrame, resolved: DataFrame, arrival: str = "arriva
     arrival time (``at_s <= arrival < next_s``). Samples before the first
     change get no row here (callers coalesce to the defaults).
 
-    The resolved table is small (operator actions), so it is broadcast and
-    range-joined when its row count is within ``BROADCAST_CONFIG_ROWS``;
-    otherwise each interval is expanded to the time buckets it covers and
-    joined on the bucket (equi-join), then filtered exactly.
+    Each interval is expanded to the time buckets it covers and joined on the
+    bucket (equi-join), then filtered exactly; the open last interval is one
+    row and is broadcast. One plan, whatever the size of the configuration.
     """
     a = F.col(arrival)
     cond = (a >= F.col("at_s")) & (F.col("next_s").isNull() | (a < F.col("next_s")))
     cfg = resolved.select("at_s", "next_s", "model_id", "threshold", "segment")
-    if resolved.count() <= BROADCAST_CONFIG_ROWS:
-        return samples.join(F.broadcast(cfg), cond, "left")
     hi = F.coalesce(F.col("next_s"), F.col("at_s"))
     b = cfg.withColumn("_b", F.explode(F.sequence(F.floor(F.col("at_s") / bucket_s).cast("bigint"),
                                                   F.floor(hi / bucket_s).cast("bigint"))))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..config import (GAP_SECONDS, HORIZON, INTERVAL_STD_WARN, MEDIAN_INTERVAL_TOLERANCE, NA_TOKENS,
                       TIME_NAME_HINTS, WINDOW)
 
-MAX_REPORTED_CHANNELS = 3
+# FIXED VALUE: so many offending channels of a file are quoted as examples; all are reported.
+EXAMPLE_CHANNELS = 3
 
 
 def normalise_name(c: Column) -> Column:
@@ -26,26 +27,27 @@ def normalise_name(c: Column) -> Column:
 
 def time_column_hints(headers: DataFrame, time_column: str, file: str = "file") -> DataFrame:
     """V1: files without the time column, with a rename suggestion when a
-    column is called timestamp/time/date/datetime (any case)."""
+    column is called timestamp/time/date/datetime (any case): the first such
+    column in file order."""
     has = headers.groupBy(file).agg(F.bool_or(F.col("col_name") == time_column).alias("has_time"))
     hint = (headers.where(F.lower("col_name").isin(TIME_NAME_HINTS))
-                   .groupBy(file).agg(F.min("col_name").alias("suggestion")))
+                   .groupBy(file).agg(F.min_by("col_name", "col_pos").alias("suggestion")))
     return (has.where(~F.col("has_time")).join(hint, file, "left")
                .select(file, F.lit(time_column).alias("missing_column"), "suggestion"))
 
 
 def rename_hints(headers: DataFrame, wanted: Sequence[str], file: str = "file") -> DataFrame:
     """V2: wanted channels a file lacks, each with the file's column whose
-    normalised name equals the wanted one (if any)."""
+    normalised name equals the wanted one (if any; the last in file order)."""
     spark = headers.sparkSession
     want = spark.createDataFrame([(k, c) for k, c in enumerate(wanted)], "ch_pos int, wanted string")
     files = headers.select(file).distinct()
     need = files.crossJoin(F.broadcast(want))
-    missing = need.join(headers.withColumnRenamed("col_name", "wanted"), [file, "wanted"], "left_anti")
-    cand = headers.select(file, F.col("col_name").alias("suggestion"),
+    missing = need.join(headers.select(file, F.col("col_name").alias("wanted")), [file, "wanted"], "left_anti")
+    cand = headers.select(file, "col_pos", F.col("col_name").alias("suggestion"),
                           normalise_name(F.col("col_name")).alias("_norm"))
     j = missing.withColumn("_norm", normalise_name(F.col("wanted"))).join(cand, [file, "_norm"], "left")
-    return (j.groupBy(file, "ch_pos", "wanted").agg(F.min("suggestion").alias("suggestion"))
+    return (j.groupBy(file, "ch_pos", "wanted").agg(F.max_by("suggestion", "col_pos").alias("suggestion"))
              .select(file, F.col("ch_pos").cast("bigint").alias("ch_pos"),
                      F.col("wanted").alias("missing_column"), "suggestion"))
 
@@ -70,15 +72,15 @@ def is_non_numeric(cell: Column) -> Column:
 
 def nonnumeric_cells(raw: DataFrame, channels: Sequence[str], file: str = "file",
                      order: str = "row") -> DataFrame:
-    """V3: per file, the first channels (at most 3, in channel order) holding a
-    non-numeric cell, with the first offending value of each."""
+    """V3: per file, every channel holding a non-numeric cell, with the first
+    offending value; ``is_example`` marks the first three in channel order."""
     long = _long_cells(raw, channels, file, order).where(is_non_numeric(F.col("cell")))
     per = long.groupBy(file, "ch_pos", "channel").agg(
         F.min_by("cell", F.col(order)).alias("first_value"),
         F.min(order).alias("first_row"),
         F.count(F.lit(1)).cast("bigint").alias("n_bad"))
     rk = F.row_number().over(Window.partitionBy(file).orderBy("ch_pos"))
-    return per.withColumn("_rk", rk).where(F.col("_rk") <= MAX_REPORTED_CHANNELS).drop("_rk")
+    return per.withColumn("is_example", rk <= EXAMPLE_CHANNELS)
 
 
 def blank_counts(raw: DataFrame, channels: Sequence[str], file: str = "file") -> DataFrame:
@@ -105,11 +107,11 @@ def header_facts(headers: DataFrame, label: str = "anomaly", file: str = "file")
 def file_facts(raw: DataFrame, time_text: str, headers: DataFrame, file: str = "file",
                window: int = WINDOW, horizon: int = HORIZON) -> DataFrame:
     """V5-V7: rows, columns, label presence, time range, unparseable
-    timestamps, and whether the file is too short for one window."""
+    timestamps (an empty cell is a missing time, not an unparseable one), and whether the file is too short for one window."""
     t = parse_time(F.col(time_text))
     f = raw.groupBy(file).agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
-        F.count_if(t.isNull()).cast("bigint").alias("bad_timestamps"),
+        F.count_if(t.isNull() & ~is_blank(F.col(time_text))).cast("bigint").alias("bad_timestamps"),
         F.min(t).alias("start_ts"), F.max(t).alias("end_ts"))
     f = f.join(header_facts(headers, file=file), file, "left")
     return f.select(file, "rows", "columns", "has_label", "start_ts", "end_ts", "bad_timestamps",

@@ -45,9 +45,12 @@ def series_index(df: DataFrame, series: str = "series_id",
     offs = counts.select(series, "_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
                          F.sum("_c").over(Window.partitionBy(series)).cast("bigint").alias("n"))
     w = Window.partitionBy(series, "_bk").orderBy(*order)
-    return (d.join(offs, [series, "_bk"])
+    # A row without a time has a NULL bucket, which comes first in the order
+    # as its rows do; the join must keep it.
+    o = offs.select(F.col(series).alias("_s"), F.col("_bk").alias("_b"), "_off", "n")
+    return (d.join(o, F.col(series).eqNullSafe(F.col("_s")) & F.col("_bk").eqNullSafe(F.col("_b")))
              .withColumn("i", (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
-             .drop("_bk", "_off"))
+             .drop("_bk", "_off", "_s", "_b"))
 
 
 def chunk_with_halo(df: DataFrame, back: int, fwd: int, chunk_rows: int, order: str = "i") -> DataFrame:

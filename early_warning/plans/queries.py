@@ -943,7 +943,7 @@ def _blank_sql(c: str) -> str:
 
 @register("time_column_hints", with_views(["upload_headers"], """
 SELECT file, 'datetime' AS missing_column,
-       MIN(col_name) FILTER (WHERE LOWER(col_name) IN ('timestamp', 'time', 'date', 'datetime')) AS suggestion
+       arg_min(col_name, col_pos) FILTER (WHERE LOWER(col_name) IN ('timestamp', 'time', 'date', 'datetime')) AS suggestion
 FROM upload_headers GROUP BY file HAVING NOT BOOL_OR(col_name = 'datetime')"""))
 def q_time_column_hints(spark, sf_dir):
     from ..operators import validate
@@ -951,7 +951,7 @@ def q_time_column_hints(spark, sf_dir):
 
 
 @register("rename_hints", with_views(["upload_headers"], f"""
-SELECT m.file, CAST(m.ch_pos AS BIGINT) AS ch_pos, m.wanted AS missing_column, MIN(h.col_name) AS suggestion
+SELECT m.file, CAST(m.ch_pos AS BIGINT) AS ch_pos, m.wanted AS missing_column, arg_max(h.col_name, h.col_pos) AS suggestion
 FROM (SELECT f.file, w.ch_pos, w.wanted
       FROM (SELECT DISTINCT file FROM upload_headers) f
       CROSS JOIN (SELECT * FROM (VALUES {", ".join(f"({k}, '{c}')" for k, c in enumerate(CH))}) v(ch_pos, wanted)) w
@@ -965,19 +965,18 @@ def q_rename_hints(spark, sf_dir):
 
 
 @register("nonnumeric_cells", with_views(["uploads"], f"""
-SELECT file, CAST(ch_pos AS BIGINT) AS ch_pos, channel, first_value, first_row, n_bad FROM (
+SELECT file, CAST(ch_pos AS BIGINT) AS ch_pos, channel, first_value, first_row, n_bad, rk <= 3 AS is_example FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY file ORDER BY ch_pos) AS rk FROM (
     SELECT file, ch_pos, channel, arg_min(cell, row) AS first_value, MIN(row) AS first_row,
            CAST(COUNT(*) AS BIGINT) AS n_bad
     FROM ({_unpivot_cols_sql("uploads", "file, row", CH, "cell")}) u
     WHERE NOT {_blank_sql("cell")} AND TRY_CAST(TRIM(cell) AS DOUBLE) IS NULL
-    GROUP BY file, ch_pos, channel) a) b
-WHERE rk <= 3"""))
+    GROUP BY file, ch_pos, channel) a) b"""))
 def q_nonnumeric_cells(spark, sf_dir):
     from ..operators import validate
     n = validate.nonnumeric_cells(fx.uploads(spark, sf_dir), CH)
     return n.select("file", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel", "first_value",
-                    "first_row", "n_bad")
+                    "first_row", "n_bad", "is_example")
 
 
 @register("null_counts", with_views(["uploads"], "\nUNION ALL ".join(
@@ -990,10 +989,10 @@ def q_null_counts(spark, sf_dir):
     return b.select("file", F.col("ch_pos").cast("bigint").alias("ch_pos"), "channel", "n_blank")
 
 
-_FACTS_SQL = """
+_FACTS_SQL = f"""
   SELECT u.file, u.rows, h.columns, h.has_label, u.start_ts, u.end_ts, u.bad_timestamps, u.rows < 30 AS too_short
   FROM (SELECT file, CAST(COUNT(*) AS BIGINT) AS rows,
-               CAST(COUNT(*) FILTER (WHERE TRY_CAST(TRIM(ts_text) AS TIMESTAMP) IS NULL) AS BIGINT) AS bad_timestamps,
+               CAST(COUNT(*) FILTER (WHERE TRY_CAST(TRIM(ts_text) AS TIMESTAMP) IS NULL AND NOT {_blank_sql("ts_text")}) AS BIGINT) AS bad_timestamps,
                MIN(TRY_CAST(TRIM(ts_text) AS TIMESTAMP)) AS start_ts, MAX(TRY_CAST(TRIM(ts_text) AS TIMESTAMP)) AS end_ts
         FROM uploads GROUP BY file) u
   LEFT JOIN (SELECT file, CAST(COUNT(*) AS BIGINT) AS columns, BOOL_OR(col_name = 'anomaly') AS has_label
@@ -1444,7 +1443,7 @@ def q_model_knn(spark, sf_dir):
 
     from ..operators import knn, models
     frame = models.model_frame(fx.readings(spark, sf_dir), CH).select(
-        "series_id", "split", "idx", (F.col("series_id") * 1_000_000 + F.col("idx")).alias("id"),
+        "series_id", "split", "idx", F.concat_ws(":", "series_id", "idx").alias("id"),
         vector_to_array("features_tf").alias("x"), F.col("label").cast("int").alias("y"))
     s = knn.knn_scores(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test"), dim=160)
     test = frame.where(F.col("split") == "test").select("id", "series_id", "idx", "y")
