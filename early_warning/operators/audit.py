@@ -59,11 +59,11 @@ def common_timestamps(rows: DataFrame, file: str = FILE) -> DataFrame:
 
 
 def overlap_counts(common: DataFrame, k: int = SAMPLE_TIMES) -> DataFrame:
-    """J2 + T4: number of common timestamps per pair and the first ``k``."""
+    """J2 + T4: number of common timestamps per pair, and the first ``k`` of
+    them, one row (``k`` = 1, 2, ...) per sample time."""
     w = Window.partitionBy("file_a", "file_b").orderBy("ts")
-    first = (common.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-                   .groupBy("file_a", "file_b")
-                   .agg(F.array_sort(F.collect_list("ts")).alias("sample_times")))
+    first = (common.withColumn("k", F.row_number().over(w).cast("bigint")).where(F.col("k") <= k)
+                   .withColumnRenamed("ts", "sample_time"))
     n = common.groupBy("file_a", "file_b").agg(F.count(F.lit(1)).cast("bigint").alias("overlap_count"))
     return n.join(first, ["file_a", "file_b"])
 
@@ -74,6 +74,8 @@ def overlap_verdict(rows: DataFrame, common: DataFrame, sensors: Sequence[str],
     """Restrict both files of a pair to their common timestamps
     (semi-join), align rows by (timestamp, occurrence) and compare with
     null-safe equality. A row without a partner makes every comparison false.
+    A label that one of the files does not have at all (all NULL) is not
+    compared: it counts as equal.
     """
     cols = [*sensors, label, changepoint]
     # Rows repeating a timestamp inside one file are paired in value order,
@@ -96,9 +98,17 @@ def overlap_verdict(rows: DataFrame, common: DataFrame, sensors: Sequence[str],
         return cond
     agg = j.groupBy("file_a", "file_b").agg(
         F.bool_and(same(sensors)).alias("sensor_equal"),
-        F.bool_and(same([label])).alias("label_equal"),
-        F.bool_and(same([changepoint])).alias("changepoint_equal"),
-        F.bool_and(same(cols)).alias("full_equal"))
+        F.bool_and(same([label])).alias("_label"),
+        F.bool_and(same([changepoint])).alias("_change"))
+    has = rows.groupBy(file).agg(F.bool_or(F.col(label).isNotNull()).alias("_l"),
+                                 F.bool_or(F.col(changepoint).isNotNull()).alias("_c"))
+    for side in ("a", "b"):
+        agg = agg.join(has.select(F.col(file).alias(f"file_{side}"), F.col("_l").alias(f"_l{side}"),
+                                  F.col("_c").alias(f"_c{side}")), f"file_{side}")
+    agg = agg.select("file_a", "file_b", "sensor_equal",
+                     (F.col("_label") | ~F.col("_la") | ~F.col("_lb")).alias("label_equal"),
+                     (F.col("_change") | ~F.col("_ca") | ~F.col("_cb")).alias("changepoint_equal")) \
+             .withColumn("full_equal", F.col("sensor_equal") & F.col("label_equal") & F.col("changepoint_equal"))
     return agg.withColumn("verdict", verdict(F.col("sensor_equal"), F.col("label_equal"),
                                              F.col("full_equal")))
 

@@ -809,10 +809,10 @@ def q_ts_intersect(spark, sf_dir):
 
 
 @register("overlap_counts", with_views(["file_rows"], """
-SELECT file_a, file_b, CAST(COUNT(*) AS BIGINT) AS overlap_count,
-       list_sort(list(ts) FILTER (WHERE r <= 5)) AS sample_times
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY file_a, file_b ORDER BY ts) AS r FROM common) c
-GROUP BY file_a, file_b""", extra=[_COMMON_CTE]))
+SELECT file_a, file_b, overlap_count, CAST(r AS BIGINT) AS k, ts AS sample_time
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY file_a, file_b ORDER BY ts) AS r,
+             CAST(COUNT(*) OVER (PARTITION BY file_a, file_b) AS BIGINT) AS overlap_count FROM common) c
+WHERE r <= 5""", extra=[_COMMON_CTE]))
 def q_overlap_counts(spark, sf_dir):
     from ..operators import audit
     return audit.overlap_counts(audit.common_timestamps(fx.file_rows(spark, sf_dir)))

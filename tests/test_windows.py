@@ -69,3 +69,14 @@ def test_runs_across_chunks_equal_one_chunk(spark):
     one = {(r.series_id, r.idx, r.start_idx) for r in runs.run_members(df, chunk=10_000).collect()}
     for chunk in (1, 2, 7):
         assert {(r.series_id, r.idx, r.start_idx) for r in runs.run_members(df, chunk=chunk).collect()} == one
+
+
+def test_rows_without_a_time_keep_their_place(spark):
+    from pyspark.sql import functions as F
+
+    from early_warning.operators import windows
+    rows = [(1, None if k == 3 else f"2024-01-01 0{k // 3}:0{k % 3}:00", k) for k in range(10)] + [(2, None, 0)]
+    df = spark.createDataFrame(rows, "series_id long, ts string, src_row long").withColumn("ts", F.col("ts").cast("timestamp"))
+    plain = windows.series_index(df).collect()
+    bucketed = windows.series_index(df, bucket=F.date_trunc("hour", "ts")).select(plain[0].__fields__).collect()
+    assert sorted(plain, key=repr) == sorted(bucketed, key=repr) and len(plain) == 11
