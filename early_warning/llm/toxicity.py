@@ -51,7 +51,7 @@ def word_vectors(df: DataFrame, text: str, out: str) -> DataFrame:
 class Chain:
     """Word weights and one model per category, in the order of the chain."""
 
-    weights: IDFModel
+    weights: IDFModel | None
     categories: Sequence[str]
     models: Sequence[Linear]
 
@@ -96,9 +96,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
               categories: Sequence[str] = CATEGORIES, sample_rows: int = SAMPLE_ROWS) -> Chain:
     """The fitted chain."""
     sample = labelled_sample(docs, labels, id_col, text_col, categories, sample_rows)
-    weights = IDF(inputCol="words", outputCol="x", minDocFreq=LEAST_ROWS).fit(sample)
+    weights = None if sample.isEmpty() else IDF(inputCol="words", outputCol="x", minDocFreq=LEAST_ROWS).fit(sample)
     # one partition: the sample is bounded, and the fit is many short jobs
-    known = weights.transform(sample).drop("words").coalesce(1).cache()
+    known = (weights.transform(sample) if weights else sample).drop("words").coalesce(1).cache()
     models, earlier = [], []
     for i, category in enumerate(categories):
         models.append(Linear(known, category, earlier))
@@ -114,7 +114,9 @@ def predict_chain(docs: DataFrame, chain: Chain, text_col: str = "text", keep: S
                   threshold: float = THRESHOLD) -> DataFrame:
     """``keep``, p_<category> of every category, and the last category as a verdict."""
     plain, names = safe_names(docs)
-    rows = chain.weights.transform(word_vectors(plain, names[text_col], "words"))
+    rows = word_vectors(plain, names[text_col], "words")
+    if chain.weights:
+        rows = chain.weights.transform(rows)
     for category, model in zip(chain.categories, chain.models):
         rows = model.predict(rows, f"p_{category}")
     verdict = chain.categories[-1]
