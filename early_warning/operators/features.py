@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import HORIZON, WINDOW
+from ..config import HORIZON, SERIES_CHUNK_ROWS, WINDOW
 from .windows import _home_only, _partition, chunk_with_halo, series_frame, series_order, window_bounds
 
 STATS = ["mean", "std", "max", "min", "last", "first", "last_first",
@@ -25,19 +25,18 @@ def stat_columns(channels: Sequence[str]) -> list[str]:
 
 def stat_features(readings: DataFrame, channels: Sequence[str], window: int = WINDOW,
                   horizon: int | None = HORIZON, series: str = "series_id",
-                  chunk_rows: int | None = None) -> DataFrame:
+                  chunk_rows: int = SERIES_CHUNK_ROWS) -> DataFrame:
     """W5 on every full window: adds ``{stat}_{channel}`` columns and ``idx``.
 
     Sample deviations (``stddev_samp``) as in the reference's tensor maths;
     the mean of the 19 consecutive differences telescopes to
     ``(last - first) / (window - 1)``.
     """
-    chunked = bool(chunk_rows)
-    keys = _partition(series, chunked)
+    keys = _partition(series)
     full = series_frame(-(window - 1), 0, keys)
     diffs = series_frame(-(window - 2), 0, keys)
     order = series_order(keys)
-    out = chunk_with_halo(readings, window - 1, 0, chunk_rows) if chunked else readings
+    out = chunk_with_halo(readings, window - 1, 0, chunk_rows)
     for c in channels:
         out = out.withColumn(f"_d_{c}", F.col(c) - F.lag(c).over(order))
     cols = {}
@@ -59,7 +58,7 @@ def stat_features(readings: DataFrame, channels: Sequence[str], window: int = WI
     out = out.select("*", *[cols[k].alias(k) for k in stat_columns(channels)])
     out = out.drop(*[f"_d_{c}" for c in channels])
     return _home_only(out.where(window_bounds(window, horizon))
-                         .withColumn("idx", F.col("i") - (window - 1)), chunked)
+                         .withColumn("idx", F.col("i") - (window - 1)))
 
 
 def stats_vector(channels: Sequence[str]):

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import HISTORY_CAP, HORIZON, WINDOW
+from ..config import HISTORY_CAP, HORIZON, SERIES_CHUNK_ROWS, WINDOW
 
 
 def series_order(series: str | Sequence[str] = "series_id", order: str | Sequence[str] = "i"):
@@ -75,12 +75,12 @@ def chunk_with_halo(df: DataFrame, back: int, fwd: int, chunk_rows: int, order:
               .withColumn("_home", F.col("_shift") == 0).drop("_shift"))
 
 
-def _partition(series: str, chunked: bool) -> list[str]:
-    return [series, "_chunk"] if chunked else [series]
+def _partition(series: str) -> list[str]:
+    return [series, "_chunk"]
 
 
-def _home_only(df: DataFrame, chunked: bool) -> DataFrame:
-    return df.where(F.col("_home")).drop("_chunk", "_home") if chunked else df
+def _home_only(df: DataFrame) -> DataFrame:
+    return df.where(F.col("_home")).drop("_chunk", "_home")
 
 
 def label_flag(label: str = "anomaly") -> Column:
@@ -89,13 +89,12 @@ def label_flag(label: str = "anomaly") -> Column:
 
 
 def horizon_label(readings: DataFrame, horizon: int = HORIZON, label: str = "anomaly",
-                  series: str = "series_id", chunk_rows: int | None = None) -> DataFrame:
+                  series: str = "series_id", chunk_rows: int = SERIES_CHUNK_ROWS) -> DataFrame:
     """``y`` = 1 when any of the next ``horizon`` readings is an anomaly.
     ``chunk_rows`` splits long series into halo chunks (same result)."""
-    chunked = bool(chunk_rows)
-    df = chunk_with_halo(readings, 0, horizon, chunk_rows) if chunked else readings
-    fut = F.max(label_flag(label)).over(series_frame(1, horizon, _partition(series, chunked)))
-    return _home_only(df.withColumn("y", F.coalesce(fut, F.lit(0)).cast("int")), chunked)
+    df = chunk_with_halo(readings, 0, horizon, chunk_rows)
+    fut = F.max(label_flag(label)).over(series_frame(1, horizon, _partition(series)))
+    return _home_only(df.withColumn("y", F.coalesce(fut, F.lit(0)).cast("int")))
 
 
 def window_bounds(window: int = WINDOW, horizon: int | None = HORIZON) -> Column:
@@ -109,18 +108,17 @@ def window_bounds(window: int = WINDOW, horizon: int | None = HORIZON) -> Column
 
 def sliding_windows(readings: DataFrame, channels: Sequence[str], window: int = WINDOW,
                     horizon: int | None = HORIZON, series: str = "series_id",
-                    chunk_rows: int | None = None) -> DataFrame:
+                    chunk_rows: int = SERIES_CHUNK_ROWS) -> DataFrame:
     """One row per window end ``i`` with ``idx = i - (window-1)`` and
     ``win`` = the last ``window`` readings as an array of structs (oldest
     first). ``horizon=None`` keeps the tail (the live path's batch twin).
     ``chunk_rows`` splits long series into halo chunks (same result)."""
-    chunked = bool(chunk_rows)
-    df = chunk_with_halo(readings, window - 1, 0, chunk_rows) if chunked else readings
-    frame = series_frame(-(window - 1), 0, _partition(series, chunked))
+    df = chunk_with_halo(readings, window - 1, 0, chunk_rows)
+    frame = series_frame(-(window - 1), 0, _partition(series))
     item = F.struct(F.col("i").alias("i"), *[F.col(c).alias(c) for c in channels])
     out = df.withColumn("win", F.collect_list(item).over(frame))
     return _home_only(out.where(window_bounds(window, horizon))
-                         .withColumn("idx", F.col("i") - (window - 1)), chunked)
+                         .withColumn("idx", F.col("i") - (window - 1)))
 
 
 def flatten_window(win: str = "win", channels: Sequence[str] = ()) -> Column:
