@@ -1,6 +1,7 @@
 """The chain: held-out accuracy, out-of-fold training, odd inputs."""
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,15 @@ def test_sample_is_bounded_and_labels_are_merged(spark):
     sample = tx.labelled_sample(docs, both, "doc_id", "text", tx.CATEGORIES, 40)
     assert sample.count() == 40
     assert tx.labelled_sample(docs, both, "doc_id", "text", tx.CATEGORIES, 400).count() == 60
+
+
+def test_fit_ends_at_the_optimum(spark, fitted):
+    docs, labels, chain = fitted
+    sample = tx.labelled_sample(docs, labels.where("doc_id % 3 != 0"), "doc_id", "text", tx.CATEGORIES, tx.SAMPLE_ROWS)
+    rows = chain.models[0].predict(chain.weights.transform(sample), "p").select("x", "quality", "p").collect()
+    w, slope, off = chain.models[0].model.coefficients.toArray(), np.zeros(tx.FEATURES), 0.0
+    for r in rows:
+        slope[r.x.indices] += r.x.values * (r.p - r.quality) / len(rows)
+        off += (r.p - r.quality) / len(rows)
+    gap = np.where(w != 0, np.abs(slope + tx.PENALTY * np.sign(w)), np.maximum(np.abs(slope) - tx.PENALTY, 0))
+    assert abs(off) < 2e-5 and gap.max() < 2e-5 and (w != 0).sum() > 0
