@@ -4,7 +4,8 @@ A text is reduced to its lower-cased words joined by single spaces. A notice of
 k = n // ERROR_CHARS edits (none in very short notices). It is split into k + 1 pieces; by the pigeonhole
 principle an occurrence holds at least one piece unchanged, so the pieces, found by one Aho-Corasick pass, are
 seeds that locate every candidate. The regex library's bounded-error matching then verifies each candidate at
-word bounds and reports its span and edits.
+word bounds and reports its span and edits. A notice's versions (its words of digits) allow no edits: they are what tells
+it from the notice of another version.
 
 Edge cases: null and empty texts have no words, no spans and score 0; overlapping occurrences are all reported
 if they are exact, and the best one of each candidate stretch if not; an empty table gives an empty result.
@@ -46,6 +47,8 @@ NOTICES = (
 ERROR_CHARS = 10
 #: Notices shorter than this allow none: one edit would turn them into other notices.
 LEAST_FUZZY_CHARS = 16
+#: The version in a notice.
+VERSION = regex.compile(r"\b(\d+(?: \d+)*)\b")
 
 
 def max_edits(phrase: str) -> int:
@@ -63,7 +66,18 @@ class Notice:
         self.label, self.phrase, self.base, self.edits = label, phrase, base, max_edits(phrase)
         word = regex.escape(phrase, literal_spaces=True)
         self.exact = regex.compile(rf"(?<![^ ]){word}(?![^ ])")
-        self.fuzzy = regex.compile(rf"(?b)(?<![^ ])(?:{word}){{e<={self.edits}}}(?![^ ])") if self.edits else None
+        self.fuzzy = regex.compile(rf"(?b)(?<![^ ]){self._edited()}(?![^ ])") if self.edits else None
+
+    def _edited(self) -> str:
+        """A pattern of edits in the names only, without digits in place of them: versions stand as they are."""
+        out = []
+        for i, part in enumerate(VERSION.split(self.phrase)):
+            if i % 2:
+                out.append(f"(?<![0-9]){part}(?![0-9])")
+            elif part:
+                change = ":[^0-9]" if VERSION.search(self.phrase) else ""
+                out.append(f"(?:{regex.escape(part, literal_spaces=True)}){{e<={self.edits}{change}}}")
+        return "".join(out)
 
 
 class Scanner:
@@ -109,7 +123,7 @@ class Scanner:
                     hi = text.find(" ", min(len(text), b + size + notice.edits))
                     for m in notice.fuzzy.finditer(text, lo, len(text) if hi < 0 else hi):
                         key = m.span()
-                        if key not in taken:
+                        if key not in taken and sum(m.fuzzy_counts) <= notice.edits:
                             taken.add(key)
                             out.append((notice, *key, sum(m.fuzzy_counts)))
                 for key in exact:

@@ -91,3 +91,19 @@ def test_spans_report_what_stands_there(spark):
     spans = li.scan_licenses(docs).first().spans
     assert [(s.label, s.first_word, s.end_word, s.edits, s.found) for s in spans] == [
         ("apache-2", 1, 6, 2, "licensed under the apach licence"), ("apache-2", 4, 8, 2, "apach licence version 2")]
+
+
+def test_versions_allow_no_edits(spark):
+    cases = [("GNU General Public License, version 2", "gpl-2"), ("GNU General Public License, version 3", "gpl-3"),
+             ("the GNU Genral Public Licence version 3 or later", "gpl-3"), ("GNU General Public License version 1", ""),
+             ("gnu general public license version", ""), ("gnu general public license version 23", ""),
+             ("gnu general public license version 12", ""), ("gnu general public icense versio2", "gpl-2"),
+             ("Apache License, Version 1.1", ""), ("Apache License, Version 1.2", ""), ("Apache License, Version 2.0", "apache-2"),
+             ("Apach Licence, Version 2.0", "apache-2"), ("Mozilla Public License Version 1.1", ""),
+             ("Mozila Public License Version 2.0", "mpl-2"),
+             ("gnu general public license version 2 gnu general public license version 3", "gpl-2,gpl-3"),
+             ("Creative Commons Attribution 3.0 International", ""),
+             ("Creative Common Attribution 4.0 Internationel", "cc-by")]
+    docs = spark.createDataFrame([(i, f"see {t} for more") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in li.license_digest(li.scan_licenses(docs)).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(cases)] == cases
