@@ -11,8 +11,9 @@ goes on until the conditions of the optimum hold; prediction runs over all docum
 functions.
 
 Edge cases: null and empty texts have no words and get the models' intercepts; unlabelled rows and null labels
-are left out of the fit; several labels of one id count as the highest; a category with one class, or none, among
-the fitted rows gets that share as its probability; an empty table gives an empty result.
+are left out of the fit; several labels of one id count as the highest, and of several texts of one id
+the one with the least hash is fitted; a category with one class, or none, among the fitted rows gets that share as its
+probability; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -227,7 +228,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
               .orderBy(F.xxhash64("id__"), "id__").limit(rows))
     texts = docs.select(F.col(id_col).alias("id__"), F.col(text_col).alias("t__"))
     # bounded: at most ``rows`` ids and their labels
-    picked = texts.join(F.broadcast(usable), "id__").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id__"), F.lit(FOLDS)))
+    # one text per id, so that the rows are bounded too
+    one = (texts.join(F.broadcast(usable.select("id__")), "id__").groupBy("id__")
+           .agg(F.min_by("t__", F.xxhash64("t__")).alias("t__")))
+    picked = one.join(F.broadcast(usable), "id__").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id__"), F.lit(FOLDS)))
     return stored(word_vectors(picked, "t__", "words").select("words", "fold", *categories), "labelled")
 
 

@@ -77,3 +77,15 @@ def test_fit_ends_at_the_optimum(spark, fitted):
         off += (r.p - r.quality) / len(rows)
     gap = np.where(w != 0, np.abs(slope + tx.PENALTY * np.sign(w)), np.maximum(np.abs(slope) - tx.PENALTY, 0))
     assert abs(off) < 2e-5 and gap.max() < 2e-5 and (w != 0).sum() > 0
+
+
+def test_sample_has_one_row_per_id(spark):
+    docs, labels = corpus(spark, 60)
+    hot = docs.where("doc_id = 3").crossJoin(spark.range(500).select("id")).select(
+        "doc_id", F.when(F.col("id") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.lit(" w"), "id")).alias("text"))
+    null = spark.createDataFrame([(4, None)], docs.schema)
+    sample = tx.labelled_sample(docs.unionAll(hot).unionAll(null), labels, "doc_id", "text", tx.CATEGORIES, 400)
+    assert sample.count() == 60
+    one = tx.labelled_sample(docs, labels, "doc_id", "text", tx.CATEGORIES, 400)
+    assert sorted(map(str, one.collect())) == sorted(map(str, tx.labelled_sample(
+        docs.unionAll(docs), labels, "doc_id", "text", tx.CATEGORIES, 400).collect()))
