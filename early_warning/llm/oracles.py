@@ -81,3 +81,40 @@ n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
        CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(n.n, 0) - coalesce(kept.n, 0) AS BIGINT) AS n_removed
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+SPELLING = r"""
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce([n] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+               ORDER BY n) AS t FROM range(256) r(n)),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run),
+hashed AS (SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(1, len(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT)),
+                  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h FROM counted, crc),
+edited AS (SELECT n, CASE WHEN h % 97 = 0 THEN run[1:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+d AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS x FROM v, LATERAL (SELECT unnest(range(1, len(word) + 1)) AS i)),
+near AS (SELECT a.word, b.word AS o FROM d a JOIN d b ON a.x = b.x AND a.i = b.i AND a.word <> b.word
+         UNION SELECT d.word, v.word FROM d JOIN v ON d.x = v.word
+         UNION SELECT v.word, d.word FROM d JOIN v ON d.x = v.word),
+best AS (SELECT near.word, count(*) AS n_near, min(struct_pack(k := -v.n, o := o)) AS b FROM near JOIN v ON v.word = o GROUP BY near.word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.k >= 2 * n THEN b.o END AS form,
+             CASE WHEN -b.k >= 2 * n THEN -b.k END AS form_n FROM v LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS root FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON way.root = f.word WHERE f.form IS NOT NULL),
+root AS (SELECT way.word, way.root FROM way JOIN f ON way.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM f JOIN root USING (word)"""
+
+NEGATIVES = """
+WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.id <> b.id AND a.id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""

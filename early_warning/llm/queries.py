@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, encode, html_text, licenses, line_dedup, oracles, quality, sharding, simhash, token_count, toxicity
+from . import (decontaminate, encode, html_text, jaccard, licenses, line_dedup, negatives, oracles, quality, sharding, simhash,
+               spelling, token_count, toxicity)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +81,20 @@ def op2(spark, sf_dir):
 @register("op9_shards")
 def op9(spark, sf_dir):
     return sharding.kd_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op11_jaccard_join")
+def op11(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op12_spelling_variants", oracles.SPELLING)
+def op12(spark, sf_dir):
+    return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+@register("op13_hard_negatives", oracles.NEGATIVES)
+def op13(spark, sf_dir):
+    rows = negatives.integer_rows(table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+    return negatives.mine_negatives(rows, F.col("id") % 50 == 0)

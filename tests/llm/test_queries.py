@@ -17,6 +17,9 @@ COLUMNS = {
     "op7_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op8_simhash": "doc_id fingerprint component_id",
     "op9_shards": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11_jaccard_join": "doc_id n_shingles component_id",
+    "op12_spelling_variants": "word form root n n_near form_n",
+    "op13_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
@@ -26,9 +29,9 @@ def test_query_matches_sql(spark, sf_dir, key):
     assert " OK " in line, line
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n[:2] == "op" and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n[:2] == "op" and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -37,4 +40,5 @@ def test_contract_columns(spark, sf_dir, key):
     df = QUERIES[key](spark, sf_dir)
     assert set(COLUMNS[key].split()) <= set(df.columns)
     kinds = dict(df.dtypes)
-    assert all(kinds[c] == "bigint" for c in COLUMNS[key].split() if c.startswith("n_") or c in ("size", "slot", "text_crc32"))
+    assert all(kinds[c] == "bigint" for c in COLUMNS[key].split() if c.startswith("n_") or c in ("size", "slot", "text_crc32", "n", "form_n")
+               or c.endswith(("_id", "_score")) and c != "component_id")
