@@ -8,7 +8,7 @@ sums an interval of the inner product.
 
 A query asks for the k best rows of one label kind (the anchor's or the others) within a window of scores. It first
 searches the tree its anchor lies in, which gives a first k-th score. Roots' boxes, in blocks, tell which other trees
-can hold better rows; only those are met. Within a tree a best-first queue opens nodes by their upper bound and prunes
+can hold better rows; only those are met, the best first, in a few rounds of growing size. Within a tree a best-first queue opens nodes by their upper bound and prunes
 those outside the score windows of all of the anchor's queries, or strictly below their k-th score (at the k-th score,
 those of larger ids only). Positives are one query per anchor, negatives one per positive.
 
@@ -40,7 +40,9 @@ N_POSITIVES, N_NEGATIVES = 5, 3
 #: A negative's score is within these hundredths of the positive's.
 LOW, HIGH, HUNDRED = 50, 95, 100
 #: Rows of a tree, rows of a leaf, children of a node, boxes of a block of roots.
-TREE_ROWS, LEAF_ROWS, FAN_OUT, BOX_BLOCK = 4096, 64, 8, 1024
+TREE_ROWS, LEAF_ROWS, FAN_OUT, BOX_BLOCK = 4096, 128, 8, 1024
+#: Trees of the first round after the own one, and the factor from round to round.
+ROUND_TREES = 8
 
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 _TREE = "tree long, width int, ids binary, labels binary, anchors binary, vectors binary, leaves binary, low binary, high binary"
@@ -180,7 +182,7 @@ class Tree:
         self.x = _matrix(row["vectors"], row["width"], len(self.ids))
         leaves = _numbers(row["leaves"])
         # nodes level by level, leaves first: [from, to) are rows of a leaf, else nodes
-        self.start, self.end = list(leaves[:-1]), list(leaves[1:])
+        self.start, self.end = leaves[:-1].tolist(), leaves[1:].tolist()
         low, high = (f.reduceat(self.x, leaves[:-1], axis=0) if self.x.shape[1] else self.x[leaves[:-1]]
                      for f in (np.minimum, np.maximum))
         least = np.minimum.reduceat(self.ids, leaves[:-1])
@@ -188,60 +190,60 @@ class Tree:
         self.n_leaves = len(low)
         while len(low) > 1:
             cuts = np.arange(0, len(low), FAN_OUT)
-            self.start += list(base + cuts)
-            self.end += list(base + np.minimum(cuts + FAN_OUT, len(low)))
+            self.start += (base + cuts).tolist()
+            self.end += (base + np.minimum(cuts + FAN_OUT, len(low))).tolist()
             base += len(low)
             low, high = (f.reduceat(s, cuts, axis=0) if s.shape[1] else s[cuts] for f, s in ((np.minimum, low), (np.maximum, high)))
             least = np.minimum.reduceat(least, cuts)
             lows.append(low), highs.append(high), leasts.append(least)
-        self.low, self.high, self.least = np.concatenate(lows), np.concatenate(highs), np.concatenate(leasts)
+        self.low, self.high, self.least = np.concatenate(lows), np.concatenate(highs), np.concatenate(leasts).tolist()
 
 
 class _Best:
-    """The k best (score, id) of a query in a window; ``bound`` is a k-th one found elsewhere."""
+    """The k best (score, -id) of a query in a window. ``bound``: the k-th one so far, found here or elsewhere."""
 
     def __init__(self, lo: int, hi: int, k: int, bound: tuple | None):
         self.lo, self.hi, self.k, self.rows, self.bound = lo, hi, k, [], bound
-
-    @property
-    def worst(self) -> tuple | None:
-        """(score, -id) that a row must exceed."""
-        own = self.rows[-1] if len(self.rows) == self.k else None
-        return own if self.bound is None or own is not None and own > self.bound else self.bound
-
-    @property
-    def floor(self):
-        worst = self.worst
-        return self.lo if worst is None else max(self.lo, worst[0])
+        self.floor = lo if bound is None else max(lo, bound[0])
 
     def add(self, score, row_id) -> None:
-        worst, key = self.worst, (score, -row_id)
-        if self.lo <= score <= self.hi and (worst is None or key > worst):
+        key = (score, -row_id)
+        if self.lo <= score <= self.hi and (self.bound is None or key > self.bound):
             self.rows = sorted([*self.rows, key], reverse=True)[:self.k]
+            if len(self.rows) == self.k and (self.bound is None or self.rows[-1] > self.bound):
+                self.bound = self.rows[-1]
+                self.floor = max(self.lo, self.bound[0])
+
+    def wants(self, least, most, least_id) -> bool:
+        """Whether a box can hold a better row: within the window, and at the k-th score one of a smaller id."""
+        return self.floor <= most and least <= self.hi and not (
+            self.bound is not None and most == self.bound[0] and least_id > -self.bound[1])
 
 
-def search(tree: Tree, anchor, anchor_id: int, label: int, same: bool, wanted: list[_Best], x, least, most) -> None:
+def search(tree: Tree, anchor, anchor_id: int, label: int, same: bool, wanted: list[_Best], x, least: list, most: list) -> None:
     """Best-first search of one tree for all queries of an anchor. least, most: the nodes' intervals."""
     root = len(least) - 1
     queue = [(-most[root], root)]
+    floor, ceiling = min(w.floor for w in wanted), max(w.hi for w in wanted)
+    start, end, leaves, least_ids = tree.start, tree.end, tree.n_leaves, tree.least
     while queue:
         top, node = heapq.heappop(queue)
         top = -top
-        floor, ceiling = min(w.floor for w in wanted), max(w.hi for w in wanted)
         if top < floor:
             break
-        if not any(w.floor <= top and least[node] <= w.hi and not (
-                (worst := w.worst) is not None and worst[0] == top and -worst[1] < tree.least[node]) for w in wanted):
+        if not any(w.wants(least[node], top, least_ids[node]) for w in wanted):
             continue
-        a, b = tree.start[node], tree.end[node]
-        if node >= tree.n_leaves:
+        a, b = start[node], end[node]
+        if node >= leaves:
             for child in range(a, b):
                 if most[child] >= floor and least[child] <= ceiling:
                     heapq.heappush(queue, (-most[child], child))
             continue
         scores = x[a:b] @ anchor
-        fit = (scores >= floor) & (scores <= ceiling) & ((tree.labels[a:b] == label) == same) & (tree.ids[a:b] != anchor_id)
-        at = np.flatnonzero(fit)
+        at = np.flatnonzero(scores >= floor)
+        if not len(at):
+            continue
+        at = at[(scores[at] <= ceiling) & ((tree.labels[a:b][at] == label) == same) & (tree.ids[a:b][at] != anchor_id)]
         if not len(at):
             continue
         for w in wanted:
@@ -251,24 +253,32 @@ def search(tree: Tree, anchor, anchor_id: int, label: int, same: bool, wanted: l
                 own = sorted(own.tolist(), key=lambda i: (-scores[i], tree.ids[a + i]))[:w.k]
             for i in own:
                 w.add(int(scores[i]), int(tree.ids[a + i]))
+        floor = min(w.floor for w in wanted)
 
 
-def search_block(tree_row: dict, block: dict, same: bool, k: int) -> list[_Best]:
-    """All queries of a block of anchors against one tree."""
-    tree = Tree(tree_row)
-    ids, labels = block["anchor_ids"], block["anchor_labels"]
-    anchors, x, low, high = _exact(_matrix(block["anchor_vectors"], block["anchor_width"], len(ids)), tree.x, tree.low, tree.high)
-    least, most = _intervals(anchors, low, high)
-    bounds = block.get("bounds") or [None] * len(block["queries"])
-    best = [_Best(q["lo"], q["hi"], k, b and (b["score"], -b["id"])) for q, b in zip(block["queries"], bounds)]
+def search_block(row: dict, same: bool, k: int) -> list[_Best]:
+    """All queries of a block of anchors against one tree, given what was found so far."""
+    tree = Tree(row)
+    ids, labels = row["anchor_ids"], row["anchor_labels"]
+    anchors, x, low, high = _exact(_matrix(row["anchor_vectors"], row["anchor_width"], len(ids)), tree.x, tree.low, tree.high)
+    least, most = (side.tolist() for side in _intervals(anchors, low, high))
+    best = [_Best(q["lo"], q["hi"], k, b) for q, b in zip(row["queries"], _bounds(row, k))]
     own: dict[int, list[_Best]] = {}
-    for q, b in zip(block["queries"], best):
+    for q, b in zip(row["queries"], best):
         own.setdefault(q["slot"], []).append(b)
     for slot, wanted in own.items():
         search(tree, anchors[slot], ids[slot], labels[slot], same, wanted, x, least[slot], most[slot])
     return best
 
 
+def _bounds(row: dict, k: int) -> list[tuple | None]:
+    """Of each query the k-th (score, -id) found so far."""
+    found: list[list] = [[] for _ in row["queries"]]
+    for f in row["best"] or []:
+        found[f["query"]].append((f["score"], -f["id"]))
+    return [min(f) if len(f) == k else None for f in found]
+
+
 def _clip(v: int) -> int:
     return max(_LEAST, min(_MOST, v))
 
@@ -279,7 +289,6 @@ def _found(best: list[_Best]) -> list[dict]:
 
 _BLOCK = "block long, anchor_width int, anchor_ids array<long>, anchor_labels array<long>, anchor_vectors binary"
 _PA_FOUND = pa.list_(pa.struct([("query", pa.int32()), ("score", pa.int64()), ("id", pa.int64())]))
-_PA_BOUNDS = pa.list_(pa.struct([("score", pa.int64()), ("id", pa.int64())]))
 
 
 def anchor_blocks(trees: DataFrame) -> DataFrame:
@@ -299,31 +308,20 @@ def anchor_blocks(trees: DataFrame) -> DataFrame:
     return stored(trees.select("tree", "width", "ids", "labels", "anchors", "vectors").mapInArrow(run, _BLOCK), "anchors")
 
 
-def _first_answers(blocks: DataFrame, trees: DataFrame, same: bool, k: int) -> DataFrame:
-    """Blocks with what their queries find in the anchors' own tree: ``found`` and the k-th ones as ``bounds``."""
-    held = blocks.join(trees, F.col("block") == F.col("tree")).drop("tree", "anchors")
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                best = search_block(row, row, same, k)
-                kth = [{"score": _clip(b.rows[-1][0]), "id": -b.rows[-1][1]} if len(b.rows) == k else None for b in best]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"]], pa.int64()), pa.array([_found(best)], _PA_FOUND), pa.array([kth], _PA_BOUNDS)],
-                    ["block", "found", "bounds"])
-
-    answers = held.mapInArrow(run, f"block long, found {_FOUND}, bounds array<struct<score:long,id:long>>")
-    return stored(blocks.join(answers, "block"), "first-answers")
+def _asked(blocks: DataFrame, best: DataFrame | None) -> DataFrame:
+    """The blocks with what their queries have found so far, at most k rows for each."""
+    if best is None:
+        return blocks.withColumn("best", F.lit(None).cast(_FOUND))
+    own = best.groupBy("block").agg(F.collect_list(F.struct("query", "score", "id")).alias("best"))
+    return blocks.join(own, "block", "left")
 
 
-def _visits(blocks: DataFrame, trees: DataFrame, n_trees: int) -> DataFrame:
-    """(block, tree): the other trees whose root box can hold a row that a query of the block still wants."""
+def _visits(asked: DataFrame, trees: DataFrame, n_trees: int, k: int) -> DataFrame:
+    """(block, tree, turn): the other trees whose root box can hold a row that a query still wants, the best first."""
     chunks = max(1, -(-n_trees // BOX_BLOCK))
     boxes = trees.groupBy(F.pmod(F.xxhash64("tree"), F.lit(chunks)).alias("chunk")).agg(
         F.collect_list(F.struct("tree", "width", "low", "high")).alias("boxes"))
-    asked = blocks.select("block", "anchor_width", "anchor_ids", "anchor_vectors", "queries", "bounds",
-                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+    spread = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
 
     def run(batches):
         for batch in batches:
@@ -331,7 +329,7 @@ def _visits(blocks: DataFrame, trees: DataFrame, n_trees: int) -> DataFrame:
                 row = batch.slice(i, 1).to_pylist()[0]
                 anchors = _matrix(row["anchor_vectors"], row["anchor_width"], len(row["anchor_ids"]))
                 slots = np.array([q["slot"] for q in row["queries"]], int)
-                floors = [max(q["lo"], b["score"]) if b else q["lo"] for q, b in zip(row["queries"], row["bounds"])]
+                floors = [max(q["lo"], b[0]) if b else q["lo"] for q, b in zip(row["queries"], _bounds(row, k))]
                 kinds: dict[int, list] = {}
                 for box in row["boxes"]:
                     kinds.setdefault(box["width"], []).append(box)
@@ -341,30 +339,47 @@ def _visits(blocks: DataFrame, trees: DataFrame, n_trees: int) -> DataFrame:
                     least, most = _intervals(*_exact(anchors, low, high))
                     wants = ((most[slots] >= np.array(floors, object)[:, None])
                              & (least[slots] <= np.array([q["hi"] for q in row["queries"]], object)[:, None]))
-                    hit += [b["tree"] for b, w in zip(own, wants.any(0)) if w and b["tree"] != row["block"]]
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(hit), pa.int64()), pa.array(hit, pa.int64())],
-                                                 ["block", "tree"])
+                    hit += [(b["tree"], float(m)) for b, w, m in zip(own, wants.any(0), most.max(0)) if w and b["tree"] != row["block"]]
+                yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(hit), pa.int64()), pa.array([t for t, _ in hit], pa.int64()),
+                                                  pa.array([m for _, m in hit], pa.float64())], ["block", "tree", "most"])
 
-    return stored(asked.join(boxes, "chunk").mapInArrow(run, "block long, tree long"), "visits")
+    found = spread.drop("anchor_labels").join(boxes, "chunk").mapInArrow(run, "block long, tree long, most double")
+    turn = F.row_number().over(W.partitionBy("block").orderBy(F.desc("most"), "tree"))
+    return stored(found.select("block", "tree", turn.alias("turn")), "visits")
 
 
-def answer(blocks: DataFrame, trees: DataFrame, n_trees: int, same: bool, k: int) -> DataFrame:
-    """(block, query, rank, score, id): the k best of every query."""
-    seeded = _first_answers(blocks, trees, same, k)
-    held = (_visits(seeded, trees, n_trees).join(seeded.drop("found"), "block")
-            .join(trees.drop("anchors", "low", "high"), "tree"))
+def _searched(asked: DataFrame, pairs: DataFrame, trees: DataFrame, best: DataFrame | None, same: bool, k: int) -> DataFrame:
+    """(block, query, score, id, rank): the k best of every query after the given pairs of blocks and trees."""
+    held = asked.join(pairs, "block").join(trees.drop("anchors", "low", "high"), "tree")
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                found = _found(search_block(row, row, same, k))
+                found = [{"query": n, "score": _clip(s), "id": -r} for n, b in enumerate(search_block(row, same, k)) for s, r in b.rows]
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([found], _PA_FOUND)], ["block", "found"])
 
-    rest = held.mapInArrow(run, f"block long, found {_FOUND}")
-    every = seeded.select("block", "found").unionAll(rest).select("block", F.explode("found").alias("f")).select("block", "f.*")
+    every = held.mapInArrow(run, f"block long, found {_FOUND}").select("block", F.explode("found").alias("f")).select("block", "f.*")
+    if best is not None:
+        every = every.unionAll(best.drop("rank"))
     order = W.partitionBy("block", "query").orderBy(F.desc("score"), "id")
-    return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return stored(every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+
+
+def answer(blocks: DataFrame, trees: DataFrame, n_trees: int, same: bool, k: int) -> DataFrame:
+    """(block, query, score, id, rank): the k best of every query.
+
+    First in the anchors' own tree, then in the other trees by the upper bounds of their boxes, in rounds of growing
+    size: a round returns about as many rows as the one before, since its k-th scores come from so many more rows.
+    """
+    best = _searched(_asked(blocks, None), blocks.select("block", F.col("block").alias("tree")), trees, None, same, k)
+    visits = _visits(_asked(blocks, best), trees, n_trees, k)
+    done, width = 0, ROUND_TREES
+    while done < n_trees - 1:
+        turn = visits.where(F.col("turn").between(done + 1, done + width)).select("block", "tree")
+        best = _searched(_asked(blocks, best), turn, trees, best, same, k)
+        done, width = done + width, width * ROUND_TREES
+    return best
 
 
 def mine_negatives(rows: DataFrame, anchor: Column, n_positives: int = N_POSITIVES, n_negatives: int = N_NEGATIVES,
