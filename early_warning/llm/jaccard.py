@@ -12,7 +12,7 @@ Skips between the sets of a list:
   Most members of a group of near copies are answered by them: what the leader links is one component, and a list of
   one component needs nothing more. The rest of a set's answers is derived from its leader's: by the triangle
   inequality of the Jaccard distance two sets can link only if their distances to the leader differ by no more than
-  the threshold's distance. Parity bitmaps of fixed size give a lower bound of the difference of two sets.
+  the threshold's distance. Parity bitmaps, of a bit per token, give a lower bound of the difference of two sets.
 
 What is left is verified against the whole sets. Equal texts are one set from the start. Links are joined to
 components by alternating stars. No list is held by one task and no component is expanded into pairs.
@@ -25,6 +25,7 @@ columns of any name are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +41,10 @@ SHINGLE_WORDS = 5
 TIMES, OF = 80, 100
 #: Counters of the sketch that orders the tokens, and rows it is passed around in.
 SKETCH_BITS, SKETCH_ROWS = 20, 64
-#: 64-bit words of a set's parity bitmap.
+#: 64-bit words of the smallest parity bitmap; a set's has a power of two times as many, and a bit per token at least.
 SIGNATURE_WORDS = 8
+#: Pairs of list entries looked at together.
+STEP_PAIRS = 1 << 20
 #: Sets of a block of a list.
 BLOCK_SETS = 512
 #: Size blocks: the sizes in one are at most this factor apart; the positions' share of the size in a position block.
@@ -100,10 +103,35 @@ def in_order(x: np.ndarray, counts: np.ndarray, times: int, of: int) -> np.ndarr
 def signature(x: np.ndarray) -> np.ndarray:
     """Parities of the tokens per bit: two sets differ in at least as many tokens as their signatures in bits."""
     bits = SIGNATURE_WORDS * 64
-    odd = np.bincount(((x >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    while bits < len(x):
+        bits *= 2
+    odd = np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
+def differing_bits(left: tuple, right: tuple, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Bits in which the signatures of entries u and v differ; the larger of two is folded to the size of the other.
+
+    ``left`` and ``right`` are (words of all signatures, offsets).
+    """
+    out = np.zeros(len(u), np.int64)
+    sizes = [np.diff(off)[at] for (_, off), at in ((left, u), (right, v))]
+    for a, b in {*zip(sizes[0].tolist(), sizes[1].tolist())}:
+        own, w = np.flatnonzero((sizes[0] == a) & (sizes[1] == b)), min(a, b)
+        step = max(1, STEP_PAIRS // max(a, b))
+        for at in range(0, len(own), step):
+            part = own[at:at + step]
+            x, y = (np.bitwise_xor.reduce(words[off[k[part]][:, None] + np.arange(n)].reshape(-1, n // w, w), axis=1)
+                    for (words, off), k, n in ((left, u, a), (right, v, b)))
+            out[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
+def _flat(bits) -> tuple[np.ndarray, np.ndarray]:
+    """A column of lists as one array and offsets."""
+    return bits.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(np.diff(bits.offsets.to_numpy()))])
+
+
 def sketch(docs: DataFrame, size: int) -> np.ndarray:
     """Counts of all documents' tokens by the first bits of their hashes: 2 ** SKETCH_BITS counters, whatever the input."""
     cells, width = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // SKETCH_ROWS
@@ -142,22 +170,29 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def indexed_sets(docs: DataFrame, size: int, times: int, of: int) -> DataFrame:
-    """(id, k1, k2, n, tokens, bits, row) per document: key of the text, set size, prefix, signature, row number."""
+    """(id, k1, k2, n, tokens, bits, row) per document: key of the text, set size, prefix, signature, row number.
+
+    Of the copies of a text in one task only the first has a prefix and a signature.
+    """
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(sketch(docs, size))
 
     def make():
-        words_of, order = _Words(), counts.value
+        words_of, order, seen = _Words(), counts.value, {}
 
-        def row(text):
+        def row(k1, k2, text):
+            n = seen.get((k1, k2))
+            if n is not None:
+                return n, [], []
             x = shingle_set(text, words_of, size)
+            seen[k1, k2] = len(x)
             if not len(x):
                 return 0, [], []
             return len(x), in_order(x, order, times, of).view(np.int64).tolist(), signature(x).tolist()
 
         return each(row)
 
-    found = scan_texts(docs, ["id", "k1", "k2"], ["t"], make,
+    found = scan_texts(docs, ["id", "k1", "k2"], ["k1", "k2", "t"], make,
                        [("n", "long"), ("tokens", "array<long>"), ("bits", "array<long>")])
     return stored(found.withColumn("row", F.monotonically_increasing_id()), "sets")
 
@@ -168,18 +203,22 @@ def _room(i: Column, n: Column, j: Column, m: Column, need_n: Column, need_m: Co
     return (times + of) * most >= times * (need_n + need_m)
 
 
-def index_lists(sets: DataFrame) -> DataFrame:
+def index_lists(marked: DataFrame, copies: DataFrame) -> DataFrame:
     """(token, row, n, pos, block) of the tokens that two sets or more have in their prefixes."""
-    entries = sets.select("row", "n", F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))).cast("int").alias("block"),
-                          F.posexplode("tokens").alias("pos", "token"))
+    entries = marked.where("n > 0").select("row", "n", F.posexplode("tokens").alias("pos", "token")).select(
+        "token", "row", (F.shiftleft("n", 32) + F.col("pos")).alias("at"))
     shared = entries.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select("token")
-    return stored(entries.join(shared, "token", "left_semi"), "lists")
+    # At first only what is needed moves; then the few entries that are left are unpacked, and copies' entries go.
+    left = entries.join(shared, "token", "left_semi").join(copies.select("row"), "row", "left_semi")
+    n = F.shiftright("at", 32)
+    return stored(left.select("token", "row", n.alias("n"), (F.col("at") - F.shiftleft(n, 32)).cast("int").alias("pos"),
+                              F.floor(F.log(n) / F.log(F.lit(SIZE_STEP))).cast("int").alias("block")), "lists")
 
 
-def blobs(docs: DataFrame, sets: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+def blobs(docs: DataFrame, marked: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     """(row, tokens) of the given rows: their whole sets, from the texts read again."""
     spark = docs.sparkSession
-    needed = stored(sets.join(rows.distinct(), "row", "left_semi").select("row", "k1", "k2"), "needed")
+    needed = stored(marked.join(rows.distinct(), "row", "left_semi").select("row", "k1", "k2"), "needed")
     place = F.pmod("k1", F.lit(1 << NEEDED_BITS)) + 1
     filled = needed.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
     bitmap = np.zeros((1 << NEEDED_BITS) // 8, np.uint8)
@@ -207,9 +246,9 @@ def blobs(docs: DataFrame, sets: DataFrame, rows: DataFrame, size: int) -> DataF
     return stored(found, "blobs")
 
 
-def overlaps(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+def overlaps(docs: DataFrame, marked: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """(a, b, both) per pair (a, b): the number of shingles that both have, counted on the whole sets."""
-    own = blobs(docs, sets, pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")), size)
+    own = blobs(docs, marked, pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")), size)
     held = (pairs.join(own.select(F.col("row").alias("a"), F.col("tokens").alias("left")), "a")
             .join(own.select(F.col("row").alias("b"), F.col("tokens").alias("right")), "b").select("a", "b", "left", "right"))
 
@@ -227,82 +266,114 @@ def _linked(both: Column, n: Column, m: Column, times: int, of: int) -> Column:
     return of * both >= times * (n + m - both)
 
 
-def leader_answers(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int, times: int, of: int) -> DataFrame:
-    """(leader, row, both, n, m): every set of a list against the leader of its size block."""
+def with_bits(pairs: DataFrame, marked: DataFrame) -> DataFrame:
+    """Pairs (a, b, n, m) with the bits in which their signatures differ as ``differ``."""
+    bits = marked.where(F.size("bits") > 0).select("row", "bits")
+    held = (pairs.join(bits.toDF("a", "left"), "a").join(bits.toDF("b", "right"), "b").select("a", "b", "n", "m", "left", "right"))
+
+    def run(batches):
+        for batch in batches:
+            at = np.arange(batch.num_rows)
+            differ = differing_bits(_flat(batch.column(4)), _flat(batch.column(5)), at, at)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(differ, pa.int64())], ["a", "b", "n", "m", "differ"])
+
+    return held.mapInArrow(run, "a long, b long, n long, m long, differ long")
+
+
+def leader_answers(docs: DataFrame, marked: DataFrame, lists: DataFrame, size: int, times: int, of: int) -> tuple[DataFrame, DataFrame]:
+    """The leader of each list and size block; of each set that may overlap its leader enough its answer.
+
+    Answers are (leader, row, n, m, both, near, far): the shingles that both have, null if the signatures rule the link
+    out, and bounds of the distance.
+    """
     leaders = lists.groupBy("token", "block").agg(F.min("row").alias("leader"), F.count("*").alias("sets")).where("sets > 1")
     heads = lists.select("token", "block", F.col("row").alias("leader"), F.col("n").alias("m"), F.col("pos").alias("j"))
     heads = stored(heads.join(leaders.drop("sets"), ["token", "block", "leader"]), "leaders")
     pairs = lists.join(heads, ["token", "block"]).where(F.col("row") != F.col("leader")).where(
         _room(F.col("pos"), F.col("n"), F.col("j"), F.col("m"), F.col("n"), F.col("m"), times, of))
-    pairs = stored(pairs.select(F.col("leader").alias("a"), F.col("row").alias("b"), "n", "m").distinct(), "led")
-    found = overlaps(docs, sets, pairs.select("a", "b"), size)
-    answers = pairs.join(found, ["a", "b"]).select(F.col("a").alias("leader"), F.col("b").alias("row"), "both", "n", "m")
+    pairs = pairs.select(F.col("leader").alias("a"), F.col("row").alias("b"), "n", "m").distinct()
+    pairs = stored(with_bits(pairs, marked), "led")
+    open_ = pairs.where((times + of) * F.col("differ") <= (of - times) * (F.col("n") + F.col("m")))
+    found = overlaps(docs, marked, open_.select("a", "b"), size)
+    sizes, exact = F.col("n") + F.col("m"), 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
+    answers = pairs.join(found, ["a", "b"], "left").select(
+        F.col("a").alias("leader"), F.col("b").alias("row"), "n", "m", "both",
+        F.coalesce(exact, 1 - (sizes - F.col("differ")) / (sizes + F.col("differ"))).alias("near"),
+        F.coalesce(exact, F.lit(1.0)).alias("far"))
     return heads, stored(answers, "answers")
 
 
-def blocks(lists: DataFrame, heads: DataFrame, answers: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+def blocks(lists: DataFrame, heads: DataFrame, answers: DataFrame, marked: DataFrame, roots: DataFrame) -> DataFrame:
     """Blocks of the lists that hold more than one component, with what is known of each set."""
     named = lists.join(roots.select(F.col("node").alias("row"), "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     left = stored(named.join(mixed, "token", "left_semi"), "mixed")
-    far = answers.select("leader", "row", (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("far"))
+    own = F.col("row") == F.col("leader")
     known = (left.join(heads.select("token", "block", "leader"), ["token", "block"], "left")
-             .join(far, ["leader", "row"], "left")
-             .withColumn("far", F.when(F.col("row") == F.col("leader"), 0.0).otherwise(F.col("far"))))
-    known = stored(known.join(sets.select("row", "bits"), "row")
-                   .withColumn("at", F.floor(F.col("pos") * POSITION_STEPS / F.col("n")).cast("int")), "known")
-    parts = known.groupBy("token", "block", "at").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
-    # A list's key with more sets than a block can hold is dealt to several; a task holds blocks, never a whole list.
-    dealt = known.join(parts.where("parts > 1"), ["token", "block", "at"], "left").withColumn(
+             .join(answers.select("leader", "row", "near", "far"), ["leader", "row"], "left")
+             .select("token", "block", "row", "n", "pos", "root", F.when(own, 0.0).otherwise(F.coalesce("near", F.lit(0.0))).alias("near"),
+                     F.when(own, 0.0).otherwise(F.coalesce("far", F.lit(1.0))).alias("far"),
+                     F.floor(F.col("pos") * POSITION_STEPS / F.col("n")).cast("int").alias("at")))
+    known = stored(known, "known")
+    # A list with more sets than a block can hold is cut by sizes and positions, and its cells dealt to several blocks;
+    # a task holds blocks, never a whole list.
+    long_ = known.groupBy("token").agg(F.count("*").alias("sets")).where(F.col("sets") > BLOCK_SETS).select("token", F.lit(True).alias("long"))
+    placed = known.join(long_, "token", "left").withColumn("cell", F.when(F.col("long"), F.struct("block", "at")))
+    parts = placed.where("long").groupBy("token", "cell").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts")).where("parts > 1")
+    dealt = placed.join(parts, ["token", "cell"], "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)))
-    own = F.struct("row", "n", "pos", "root", "far", "bits")
-    return stored(dealt.groupBy("token", "block", "at", "part").agg(
+    bits = marked.where(F.size("bits") > 0).select("row", "bits")
+    sets = F.struct("row", "n", "pos", "root", "block", "near", "far", "bits")
+    return stored(dealt.join(bits, "row").groupBy("token", "cell", "part").agg(
         F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"), F.max("pos").alias("p1"),
-        F.min("root").alias("r0"), F.max("root").alias("r1"), F.collect_list(own).alias("sets")), "blocks")
-
-
-def _arrays(cell) -> dict[str, np.ndarray]:
-    held = cell.values
-    take = lambda name: held.field(name).to_numpy(zero_copy_only=False)
-    bits = held.field("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SIGNATURE_WORDS)
-    return {c: take(c) for c in ("row", "n", "pos", "root", "far")} | {"bits": bits}
-
-
-def meet(x: dict, y: dict, same_block: bool, times: int, of: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of two blocks that no skip rules out."""
-    n, m, i, j = x["n"][:, None], y["n"][None], x["pos"][:, None], y["pos"][None]
-    most = np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1)
-    open_ = (x["root"][:, None] != y["root"][None]) & ((times + of) * most >= times * (n + m))
-    if same_block:
-        with np.errstate(invalid="ignore"):
-            open_ &= ~(np.abs(x["far"][:, None] - y["far"][None]) > 1 - times / of + 1e-9)
-    a, b = np.nonzero(open_)
-    for at in range(0, len(a), 1 << 16):
-        u, v = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
-        differ = np.bitwise_count(x["bits"][u] ^ y["bits"][v]).sum(1, dtype=np.int64)
-        # of * both >= times * (n + m - both), with both = (n + m - difference) / 2
-        a[at:at + (1 << 16)] = np.where((times + of) * differ <= (of - times) * (x["n"][u] + y["n"][v]), u, -1)
-    keep = a >= 0
-    return x["row"][a[keep]], y["row"][b[keep]]
+        F.min("root").alias("r0"), F.max("root").alias("r1"), F.collect_list(sets).alias("sets")), "blocks")
+
+
+def _entries(cells) -> tuple[dict[str, np.ndarray], tuple, np.ndarray]:
+    """The entries of a column of blocks: their fields, their signatures and the offsets of the blocks."""
+    held = cells.flatten()
+    fields = {c: held.field(c).to_numpy(zero_copy_only=False) for c in ("row", "n", "pos", "root", "block", "near", "far")}
+    return fields, _flat(held.field("bits")), np.concatenate([[0], np.cumsum(np.diff(cells.offsets.to_numpy()))])
+
+
+def meet(left: tuple, right: tuple, times: int, of: int):
+    """The pairs of entries, of the blocks that stand side by side, that no skip rules out."""
+    (x, x_bits, x_off), (y, y_bits, y_off) = left, right
+    wide, many = np.diff(y_off), np.diff(x_off) * np.diff(y_off)
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(many):
+        # blocks side by side until there are enough pairs, one at least
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP_PAIRS, "right")))
+        k = np.repeat(np.arange(at, to), many[at:to])
+        inside = np.arange(len(k)) - np.repeat(ends[at:to] - many[at:to], many[at:to]) + (ends[at - 1] if at else 0)
+        u, v = x_off[k] + inside // wide[k], y_off[k] + inside % wide[k]
+        at = to
+        keep = x["root"][u] != y["root"][v]
+        u, v = u[keep], v[keep]
+        n, m, i, j = x["n"][u], y["n"][v], x["pos"][u], y["pos"][v]
+        most = np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1)
+        apart = np.maximum(x["near"][u] - y["far"][v], y["near"][v] - x["far"][u])
+        keep = ((times + of) * most >= times * (n + m)) & ~((x["block"][u] == y["block"][v]) & (apart > 1 - times / of + 1e-9))
+        u, v = u[keep], v[keep]
+        keep = (times + of) * differing_bits(x_bits, y_bits, u, v) <= (of - times) * (x["n"][u] + y["n"][v])
+        yield x["row"][u[keep]], y["row"][v[keep]]
 
 
 def open_pairs(made: DataFrame, times: int, of: int) -> DataFrame:
     """(a, b), a < b: pairs of sets of different components that are still to be verified."""
+    place = F.struct("cell", "part")
     right = made.select("token", *(F.col(c).alias(f"{c}_") for c in made.columns if c != "token"))
-    order = (F.struct("block", "at", "part") <= F.struct("block_", "at_", "part_"))
-    near = F.col("block_") - F.col("block") <= int(np.ceil(np.log(of / times) / np.log(SIZE_STEP) - 1e-9))
+    order = F.col("cell").isNull() | (place <= F.struct("cell_", "part_"))
+    near = F.col("cell").isNull() | (F.col("cell_.block") - F.col("cell.block") <= math.ceil(math.log(of / times) / math.log(SIZE_STEP) - 1e-9))
     room = ((times + of) * (F.least("p1", "p1_") + 1 + F.least(F.col("n1") - F.col("p0") - 1, F.col("n1_") - F.col("p0_") - 1))
             >= times * (F.col("n0") + F.col("n0_")))
     several = ~((F.col("r0") == F.col("r1")) & (F.col("r0_") == F.col("r1_")) & (F.col("r0") == F.col("r0_")))
-    pairs = made.join(right, "token").where(order & near & room & several).select(
-        (F.col("block") == F.col("block_")).alias("same"), "sets", "sets_")
+    pairs = made.join(right, "token").where(order & near & room & several).select("sets", "sets_")
 
     def run(batches):
         for batch in batches:
-            same, left, right = batch.columns
-            found = [meet(_arrays(left[i]), _arrays(right[i]), same[i].as_py(), times, of) for i in range(batch.num_rows)]
-            if found:
-                a, b = (np.concatenate(side) for side in zip(*found))
+            for a, b in meet(_entries(batch.column(0)), _entries(batch.column(1)), times, of):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long").distinct()
@@ -320,15 +391,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     marked = indexed_sets(plain, size, times, of)
     copies = stored(marked.where("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("row"), F.min("id").alias("first_id")),
                     "copies")
-    sets = stored(marked.drop("id").join(copies.select("row"), "row", "left_semi"), "distinct-sets")
-    lists = index_lists(sets)
-    heads, answers = leader_answers(plain, sets, lists, size, times, of)
+    lists = index_lists(marked, copies)
+    heads, answers = leader_answers(plain, marked, lists, size, times, of)
     led = answers.where(_linked(F.col("both"), F.col("n"), F.col("m"), times, of)).select(
         F.greatest("leader", "row").alias("u"), F.least("leader", "row").alias("v"))
     roots = stored(components(led), "first-roots")
-    pairs = stored(open_pairs(blocks(lists, heads, answers, sets, roots), times, of), "pairs")
-    sizes = sets.select("row", "n")
-    more = (overlaps(plain, sets, pairs, size)
+    pairs = stored(open_pairs(blocks(lists, heads, answers, marked, roots), times, of), "pairs")
+    sizes = marked.select("row", "n")
+    more = (overlaps(plain, marked, pairs, size)
             .join(sizes.select(F.col("row").alias("a"), "n"), "a")
             .join(sizes.select(F.col("row").alias("b"), F.col("n").alias("m")), "b")
             .where(_linked(F.col("both"), F.col("n"), F.col("m"), times, of))
@@ -338,6 +408,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     by_row = copies.join(components(edges).toDF("row", "root"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     firsts = by_row.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_key = stored(by_row.join(firsts, "root").select("k1", "k2", "component_id"), "component-ids")
-    return marked.join(by_key, ["k1", "k2"], "left").select(
+    return marked.select("id", "k1", "k2", "n").join(by_key, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

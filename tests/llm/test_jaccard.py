@@ -85,6 +85,7 @@ def test_hot_passages_and_chains(spark, monkeypatch):
         for _ in range(3):
             chain[rng.randrange(len(chain))] = f"n{rng.randrange(9999)}"
     monkeypatch.setattr(jc, "BLOCK_SETS", 4)
+    monkeypatch.setattr(jc, "STEP_PAIRS", 10)
     want = check(spark.createDataFrame(rows, "doc_id long, text string"))
     assert any(c == 100 for d, _, c in want if d > 110)
 
@@ -111,9 +112,21 @@ def test_prefixes_share_a_token_and_skips_keep_links(seed):
         shared = set(x.tolist()) & set(y.tolist())
         assert shared
         for token in shared:
-            side = [{"row": np.array([k]), "n": np.array([len(s)]), "pos": np.array([p.tolist().index(token)]), "root": np.array([k]),
-                     "far": np.array([np.nan]), "bits": jc.signature(s).view(np.uint64)[None]} for k, (s, p) in enumerate(((a, x), (b, y)))]
-            assert len(jc.meet(*side, True, 80, 100)[0]) == 1
+            side = [({"row": np.array([k]), "n": np.array([len(s)]), "pos": np.array([p.tolist().index(token)]), "root": np.array([k]),
+                      "block": np.array([0]), "near": np.array([.3 * k]), "far": np.array([.1 + .3 * k])},
+                     (jc.signature(s).view(np.uint64), np.array([0, len(jc.signature(s))])), np.array([0, 1]))
+                    for k, (s, p) in enumerate(((a, x), (b, y)))]
+            assert sum(len(u) for u, _ in jc.meet(*side, 80, 100)) == 1
+
+
+@pytest.mark.parametrize("sizes", [(100, 90), (700, 500), (5000, 4100), (9000, 8000)])
+def test_signatures_differ_in_no_more_bits_than_sets_in_tokens(sizes):
+    rng = np.random.default_rng(sum(sizes))
+    a = np.unique(rng.integers(0, 1 << 63, sizes[0]).astype(np.uint64))
+    b = np.unique(np.concatenate([a[:sizes[1]], rng.integers(0, 1 << 63, 40).astype(np.uint64)]))
+    held = [(jc.signature(s).view(np.uint64), np.array([0, len(jc.signature(s))])) for s in (a, b)]
+    differ = jc.differing_bits(*held, np.array([0]), np.array([0]))[0]
+    assert 0 < differ <= len(np.setxor1d(a, b)) and (differ - len(np.setxor1d(a, b))) % 2 == 0
 
 
 def test_order_is_one_of_all_tokens():
