@@ -109,6 +109,11 @@ def signature(x: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
+def folded(bits: np.ndarray) -> np.ndarray:
+    """A signature of the smallest size."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, SIGNATURE_WORDS), axis=0)
+
+
 def differing_bits(left: tuple, right: tuple, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Bits in which the signatures of entries u and v differ; the larger of two is folded to the size of the other.
 
@@ -170,7 +175,9 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def indexed_sets(docs: DataFrame, size: int, times: int, of: int) -> DataFrame:
-    """(id, k1, k2, n, tokens, bits, row) per document: key of the text, set size, prefix, signature, row number.
+    """(id, k1, k2, n, tokens, bits, fold, row) per document.
+
+    Key of the text, set size, prefix, signature, the same at the smallest size, row number.
 
     Of the copies of a text in one task only the first has a prefix and a signature.
     """
@@ -183,17 +190,18 @@ def indexed_sets(docs: DataFrame, size: int, times: int, of: int) -> DataFrame:
         def row(k1, k2, text):
             n = seen.get((k1, k2))
             if n is not None:
-                return n, [], []
+                return n, [], [], []
             x = shingle_set(text, words_of, size)
             seen[k1, k2] = len(x)
             if not len(x):
-                return 0, [], []
-            return len(x), in_order(x, order, times, of).view(np.int64).tolist(), signature(x).tolist()
+                return 0, [], [], []
+            bits = signature(x)
+            return len(x), in_order(x, order, times, of).view(np.int64).tolist(), bits.tolist(), folded(bits).tolist()
 
         return each(row)
 
     found = scan_texts(docs, ["id", "k1", "k2"], ["k1", "k2", "t"], make,
-                       [("n", "long"), ("tokens", "array<long>"), ("bits", "array<long>")])
+                       [("n", "long"), ("tokens", "array<long>"), ("bits", "array<long>"), ("fold", "array<long>")])
     return stored(found.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -280,6 +288,11 @@ def with_bits(pairs: DataFrame, marked: DataFrame) -> DataFrame:
     return held.mapInArrow(run, "a long, b long, n long, m long, differ long")
 
 
+def _may_link(times: int, of: int) -> Column:
+    """of * both >= times * (n + m - both), with both = (n + m - difference) / 2 and the least difference there can be."""
+    return (times + of) * F.col("differ") <= (of - times) * (F.col("n") + F.col("m"))
+
+
 def leader_answers(docs: DataFrame, marked: DataFrame, lists: DataFrame, size: int, times: int, of: int) -> tuple[DataFrame, DataFrame]:
     """The leader of each list and size block; of each set that may overlap its leader enough its answer.
 
@@ -293,8 +306,7 @@ def leader_answers(docs: DataFrame, marked: DataFrame, lists: DataFrame, size: i
         _room(F.col("pos"), F.col("n"), F.col("j"), F.col("m"), F.col("n"), F.col("m"), times, of))
     pairs = pairs.select(F.col("leader").alias("a"), F.col("row").alias("b"), "n", "m").distinct()
     pairs = stored(with_bits(pairs, marked), "led")
-    open_ = pairs.where((times + of) * F.col("differ") <= (of - times) * (F.col("n") + F.col("m")))
-    found = overlaps(docs, marked, open_.select("a", "b"), size)
+    found = overlaps(docs, marked, pairs.where(_may_link(times, of)).select("a", "b"), size)
     sizes, exact = F.col("n") + F.col("m"), 1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
     answers = pairs.join(found, ["a", "b"], "left").select(
         F.col("a").alias("leader"), F.col("b").alias("row"), "n", "m", "both",
@@ -322,7 +334,8 @@ def blocks(lists: DataFrame, heads: DataFrame, answers: DataFrame, marked: DataF
     parts = placed.where("long").groupBy("token", "cell").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts")).where("parts > 1")
     dealt = placed.join(parts, ["token", "cell"], "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)))
-    bits = marked.where(F.size("bits") > 0).select("row", "bits")
+    # The smallest size only: an entry of a list must not grow with its set, which has as many entries as tokens.
+    bits = marked.where(F.size("fold") > 0).select("row", F.col("fold").alias("bits"))
     sets = F.struct("row", "n", "pos", "root", "block", "near", "far", "bits")
     return stored(dealt.join(bits, "row").groupBy("token", "cell", "part").agg(
         F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"), F.max("pos").alias("p1"),
@@ -357,11 +370,13 @@ def meet(left: tuple, right: tuple, times: int, of: int):
         keep = ((times + of) * most >= times * (n + m)) & ~((x["block"][u] == y["block"][v]) & (apart > 1 - times / of + 1e-9))
         u, v = u[keep], v[keep]
         keep = (times + of) * differing_bits(x_bits, y_bits, u, v) <= (of - times) * (x["n"][u] + y["n"][v])
-        yield x["row"][u[keep]], y["row"][v[keep]]
+        a, b, n, m = x["row"][u[keep]], y["row"][v[keep]], x["n"][u[keep]], y["n"][v[keep]]
+        swap = a > b
+        yield np.where(swap, b, a), np.where(swap, a, b), np.where(swap, m, n), np.where(swap, n, m)
 
 
 def open_pairs(made: DataFrame, times: int, of: int) -> DataFrame:
-    """(a, b), a < b: pairs of sets of different components that are still to be verified."""
+    """(a, b, n, m), a < b: pairs of sets of different components that are still to be verified, and their sizes."""
     place = F.struct("cell", "part")
     right = made.select("token", *(F.col(c).alias(f"{c}_") for c in made.columns if c != "token"))
     order = F.col("cell").isNull() | (place <= F.struct("cell_", "part_"))
@@ -373,10 +388,10 @@ def open_pairs(made: DataFrame, times: int, of: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, b in meet(_entries(batch.column(0)), _entries(batch.column(1)), times, of):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            for a, b, n, m in meet(_entries(batch.column(0)), _entries(batch.column(1)), times, of):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, n, m)], ["a", "b", "n", "m"])
 
-    return pairs.mapInArrow(run, "a long, b long").distinct()
+    return pairs.mapInArrow(run, "a long, b long, n long, m long").distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS,
@@ -396,11 +411,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     led = answers.where(_linked(F.col("both"), F.col("n"), F.col("m"), times, of)).select(
         F.greatest("leader", "row").alias("u"), F.least("leader", "row").alias("v"))
     roots = stored(components(led), "first-roots")
-    pairs = stored(open_pairs(blocks(lists, heads, answers, marked, roots), times, of), "pairs")
-    sizes = marked.select("row", "n")
-    more = (overlaps(plain, marked, pairs, size)
-            .join(sizes.select(F.col("row").alias("a"), "n"), "a")
-            .join(sizes.select(F.col("row").alias("b"), F.col("n").alias("m")), "b")
+    pairs = with_bits(open_pairs(blocks(lists, heads, answers, marked, roots), times, of), marked)
+    pairs = stored(pairs.where(_may_link(times, of)), "pairs")
+    more = (overlaps(plain, marked, pairs.select("a", "b"), size).join(pairs, ["a", "b"])
             .where(_linked(F.col("both"), F.col("n"), F.col("m"), times, of))
             .select(F.col("b").alias("u"), F.col("a").alias("v")))
     edges = stored(more.unionAll(roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "links")

@@ -114,9 +114,9 @@ def test_prefixes_share_a_token_and_skips_keep_links(seed):
         for token in shared:
             side = [({"row": np.array([k]), "n": np.array([len(s)]), "pos": np.array([p.tolist().index(token)]), "root": np.array([k]),
                       "block": np.array([0]), "near": np.array([.3 * k]), "far": np.array([.1 + .3 * k])},
-                     (jc.signature(s).view(np.uint64), np.array([0, len(jc.signature(s))])), np.array([0, 1]))
+                     (jc.folded(jc.signature(s)).view(np.uint64), np.array([0, jc.SIGNATURE_WORDS])), np.array([0, 1]))
                     for k, (s, p) in enumerate(((a, x), (b, y)))]
-            assert sum(len(u) for u, _ in jc.meet(*side, 80, 100)) == 1
+            assert sum(len(u) for u, *_ in jc.meet(*side, 80, 100)) == 1
 
 
 @pytest.mark.parametrize("sizes", [(100, 90), (700, 500), (5000, 4100), (9000, 8000)])
