@@ -7,8 +7,10 @@ seeds that locate every candidate. The regex library's bounded-error matching th
 word bounds and reports its span and edits. A notice's versions (its words of digits) allow no edits: they are what tells
 it from the notice of another version.
 
-Edge cases: null and empty texts have no words, no spans and score 0; overlapping occurrences are all reported
-if they are exact, and the best one of each candidate stretch if not; an empty table gives an empty result.
+Edge cases: null and empty texts have no words, no spans and score 0; overlapping occurrences of a notice are all
+reported if they are exact, and the best of those that overlap, the earliest if tied, if not; repeated rows have equal
+results; very long texts are searched whole; an empty table gives an empty result; extra columns of any name are not
+read.
 """
 
 from __future__ import annotations
@@ -68,6 +70,21 @@ class Notice:
         self.exact = regex.compile(rf"(?<![^ ]){word}(?![^ ])")
         self.fuzzy = regex.compile(rf"(?b)(?<![^ ]){self._edited()}(?![^ ])") if self.edits else None
 
+    def near(self, text: str, a: int, b: int) -> list[tuple[tuple[int, int], int]]:
+        """((start, end), edits) of the occurrences that begin at the word of ``a`` to that of ``b``, the best first.
+
+        Every word start is tried by itself: a search allows no insertion where it begins.
+        """
+        # out to the next word bounds, so that the bounds of the window are no false word bounds
+        end = text.find(" ", min(len(text), b + len(self.phrase) + self.edits))
+        end, at, found = len(text) if end < 0 else end, text.rfind(" ", 0, a) + 1, []
+        while at <= b:
+            m = self.fuzzy.match(text, at, end)
+            if m and sum(m.fuzzy_counts) <= self.edits:
+                found.append((m.span(), sum(m.fuzzy_counts)))
+            at = text.find(" ", at) + 1 or b + 1
+        return sorted(found, key=lambda f: (f[1], f[0]))
+
     def _edited(self) -> str:
         """A pattern of edits in the names only, without digits in place of them: versions stand as they are."""
         out = []
@@ -117,15 +134,11 @@ class Scanner:
             for a, b in starts:
                 size = len(notice.phrase)
                 exact = [m.span() for m in notice.exact.finditer(text, a, min(len(text), b + size + 1), overlapped=True)]
-                if not exact and notice.fuzzy:
-                    # out to the next word bounds, so that the bounds of the window are no false word bounds
-                    lo = text.rfind(" ", 0, a) + 1
-                    hi = text.find(" ", min(len(text), b + size + notice.edits))
-                    for m in notice.fuzzy.finditer(text, lo, len(text) if hi < 0 else hi):
-                        key = m.span()
-                        if key not in taken and sum(m.fuzzy_counts) <= notice.edits:
+                if notice.fuzzy:
+                    for key, edits in notice.near(text, a, b):
+                        if not any(key[0] < y and x < key[1] for x, y in [*taken, *exact]):
                             taken.add(key)
-                            out.append((notice, *key, sum(m.fuzzy_counts)))
+                            out.append((notice, *key, edits))
                 for key in exact:
                     if key not in taken:
                         taken.add(key)
