@@ -85,18 +85,19 @@ def matches(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(d, th, runs): the disjoint runs of lines, first and last, to delete, per document that has any."""
-    # Written, so that both sides of the joins are plain exchanges and a hot key's rows can be split among tasks.
+    # Written, so that both sides of the joins are plain exchanges and a hot key's rows can be split among tasks. All
+    # sides grow with the input, so no join is left to a broadcast that holds at small sizes only.
     lines = stored(_lines(docs), "lines")
     found = stored(positions(lines, min_words), "positions")
     place = F.struct("d", "th", "p")
     shared = stored(found.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
                     .where(F.col("lo") != F.col("hi")).select("fp"), "shared")
-    hit = stored(found.join(shared, "fp", "left_semi").select("d", "th").distinct().toDF("hd", "hth"), "hit")
-    near = lines.join(hit, F.col("d").eqNullSafe(F.col("hd")) & (F.col("th") == F.col("hth")), "left_semi")
-    met = stored(matches(near, min_words).join(shared, "fp", "left_semi").select("d", "th", "s", "e", "a", "b"), "matches")
+    hit = stored(found.join(shared.hint("merge"), "fp", "left_semi").select("d", "th").distinct().toDF("hd", "hth"), "hit")
+    near = lines.join(hit.hint("merge"), F.col("d").eqNullSafe(F.col("hd")) & (F.col("th") == F.col("hth")), "left_semi")
+    met = stored(matches(near, min_words).join(shared.hint("merge"), "fp", "left_semi").select("d", "th", "s", "e", "a", "b"), "matches")
     first = stored(met.groupBy("a", "b").agg(F.min(F.struct("d", "th", "s")).alias("first"), F.count("*").alias("n"))
                    .where("n > 1").drop("n"), "first")
-    later = met.join(first, ["a", "b"]).where(F.struct("d", "th", "s") > F.col("first")).select("d", "th", "s", "e")
+    later = met.join(first.hint("merge"), ["a", "b"]).where(F.struct("d", "th", "s") > F.col("first")).select("d", "th", "s", "e")
     doc = W.partitionBy("d", "th").orderBy("s", "e")
     reach = F.max("e").over(doc.rowsBetween(W.unboundedPreceding, -1))
     runs = (later.withColumn("new", F.coalesce((F.col("s") > reach + 1).cast("int"), F.lit(1)))
@@ -126,7 +127,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           F.col(names[text_col]).alias("t"))
     runs = stored(repeated_runs(marked.select("d", "th", "t"), min_words).toDF("rd", "rth", "runs"), "runs")
     told = _may_have(marked, runs)
-    moved = told.where("hit").join(runs, F.col("d").eqNullSafe(F.col("rd")) & (F.col("th") == F.col("rth")), "left").drop("rd", "rth")
+    moved = told.where("hit").join(runs.hint("merge"), F.col("d").eqNullSafe(F.col("rd")) & (F.col("th") == F.col("rth")), "left").drop("rd", "rth")
     joined = moved.unionByName(told.where("not hit").withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
     # the stretches between the runs: from the line after one to the line before the next
     froms = F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r.e + 1))
