@@ -1,18 +1,17 @@
 """Structured Streaming jobs for the live monitor.
 
-    samples (file or JSON stream)
-      -> as-of join with the resolved configuration (stream-static, broadcast)
-      -> groupBy(series_id).applyInPandasWithState(processor)
-      -> foreachBatch: ticks and quality frames to their own tables
+    samples (parquet files or JSON lines)  \\
+                                            union -> groupBy(series_id).transformWithStateInPandas(LiveMonitor)
+    configuration changes (JSON lines)     /           -> foreachBatch: ticks, quality frames and changes to own tables
 
-The state store and the checkpoint live under the session's
-``spark.checkpoint.dir`` (shared storage on a cluster), so a lost executor
+Changes of the configuration are rows of the keyed stream, so they take effect while the query runs. The state store
+and the checkpoint live under the session's ``spark.checkpoint.dir`` (shared storage on a cluster), so a lost executor
 or a restarted query resumes from the last committed micro-batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..config import ALERT_THRESHOLD, WINDOW
 from ..session import scratch_path
-from .processor import OUTPUT_SCHEMA, STATE_SCHEMA, Scorer, make_processor
+from .processor import LiveMonitor, Scorer, input_schema, output_schema
 
 
 def sample_schema(channels: Sequence[str]) -> T.StructType:
@@ -52,49 +51,74 @@ def read_sample_files(spark: SparkSession, path: str, channels: Sequence[str],
     return r.parquet(path)
 
 
-def with_config(samples: DataFrame, resolved: DataFrame, arrival: str = "arrival_s") -> DataFrame:
-    """J10 on a stream: stream-static left join with the resolved config
-    intervals (one row per operator action, broadcast)."""
-    a = F.col(arrival)
-    cfg = resolved.select("at_s", "next_s", "model_id", "threshold", "segment")
-    cond = (a >= F.col("at_s")) & (F.col("next_s").isNull() | (a < F.col("next_s")))
-    return samples.join(F.broadcast(cfg), cond, "left").drop("at_s", "next_s")
+JSON_LINE_SCHEMA = "series_id long, seq long, arrival_s double, " + LIVE_JSON_SCHEMA
+CONFIG_SCHEMA = "series_id long, at_s double, model_id string, threshold double"
 
 
-def live_monitor(samples: DataFrame, resolved: DataFrame | None, channels: Sequence[str], scorer: Scorer,
-                 ranges: Mapping[str, tuple[float, float]], window: int = WINDOW,
-                 default_model: str = "m1", default_threshold: float = ALERT_THRESHOLD,
-                 stale_ms: int | None = None) -> DataFrame:
-    """The keyed stateful monitor. Output rows are ticks and quality
-    frames (``kind``), in the order they were produced per series.
+def read_sample_json(spark: SparkSession, path: str, channels: Sequence[str],
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of JSON lines, ``{"series_id", "seq", "arrival_s", "timestamp", "sensors": {channel: value}}``.
 
-    ``stale_ms`` arms the processing-time timer of X9 (a STALE_DATA frame
-    after that long without samples). A processing-time timeout makes the
-    engine keep running no-data batches, so leave it unset for
-    ``availableNow`` (catch-up) runs and set it for continuous triggers.
+    A channel that is not named is null, one that is not known is left out; lines that are no JSON have no series and go.
     """
-    s = with_config(samples, resolved) if resolved is not None else \
-        samples.withColumn("model_id", F.lit(None).cast("string")).withColumn("threshold", F.lit(None).cast("double")) \
-               .withColumn("segment", F.lit(0).cast("bigint"))
-    s = s.select("series_id", "seq", "arrival_s", *channels, "model_id", "threshold", "segment")
-    fn = make_processor(channels, scorer, ranges, window, default_model, default_threshold, stale_ms)
-    timeout = "ProcessingTimeTimeout" if stale_ms else "NoTimeout"
-    return s.groupBy("series_id").applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    line = r.text(path).select(F.from_json("value", JSON_LINE_SCHEMA).alias("j"))
+    return line.where(F.col("j.series_id").isNotNull()).select(
+        "j.series_id", "j.seq", F.try_to_timestamp(F.col("j.timestamp")).alias("ts"), "j.arrival_s",
+        *(F.try_element_at("j.sensors", F.lit(c)).alias(c) for c in channels))
+
+
+def read_config_json(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of changes, ``{"at_s", "model_id", "threshold", "series_id"}``; null leaves as is, or means all series."""
+    line = spark.readStream.text(path).select(F.from_json("value", CONFIG_SCHEMA).alias("j")).select("j.*")
+    return line.where(F.col("at_s").isNotNull() & (F.col("threshold").isNull() | F.col("threshold").between(1e-300, 1 - 1e-16)))
+
+
+def live_monitor(samples: DataFrame, config: DataFrame | None, channels: Sequence[str], scorer: Scorer,
+                 ranges: Mapping[str, tuple[float, float]], series: DataFrame | None = None, window: int = WINDOW,
+                 default_model: str = "m1", default_threshold: float = ALERT_THRESHOLD, stale_ms: int | None = None,
+                 lateness_s: float = 3600.0, available: Collection[str] | None = None, fallback: str | None = None) -> DataFrame:
+    """The keyed stateful monitor. Output rows are ticks, quality frames and applied changes (``kind``).
+
+    ``config`` is a stream of changes; those without a series go to every one of ``series`` (a table of series_id).
+    ``stale_ms`` arms the processing-time timer of X9 (a STALE_DATA frame after that long without samples); timers keep
+    the engine running batches without data, so leave it unset for ``availableNow`` runs.
+    """
+    names = [f.split()[0] for f in input_schema(channels).split(", ")]
+    rows = samples.withColumn("kind", F.lit("sample")).withColumn("model_id", F.lit(None).cast("string")).withColumn(
+        "threshold", F.lit(None).cast("double")).select(*names)
+    if config is not None:
+        told = config.where(F.col("series_id").isNotNull())
+        if series is not None:
+            # A change meets every series by meaning; changes are operator actions.
+            told = told.unionByName(config.where(F.col("series_id").isNull()).drop("series_id").crossJoin(
+                series.select("series_id").distinct()))
+        none = {"seq": "long", "ts": "timestamp"} | {c: "double" for c in channels}
+        told = told.withColumn("kind", F.lit("config")).withColumnRenamed("at_s", "arrival_s").select(
+            "*", *(F.lit(None).cast(kind).alias(c) for c, kind in none.items()))
+        rows = rows.unionByName(told.select(*names))
+    return rows.groupBy("series_id").transformWithStateInPandas(
+        statefulProcessor=LiveMonitor(channels, scorer, ranges, window, default_model, default_threshold, stale_ms,
+                                      lateness_s, available, fallback),
+        outputStructType=output_schema(channels), outputMode="Append", timeMode="ProcessingTime" if stale_ms else "None")
 
 
 def start_live_monitor(spark: SparkSession, frames: DataFrame, out_dir: str | None = None,
                        name: str = "live", trigger_available_now: bool = True):
-    """Write ticks and quality frames to two parquet tables from one
+    """Write ticks, quality frames and changes to parquet tables from one
     ``foreachBatch`` (idempotent per batch id via overwrite of a batch folder)."""
     base = out_dir or scratch_path(spark, f"streams/{name}")
 
     def sink(df: DataFrame, batch_id: int) -> None:
         df.persist()
-        df.where(F.col("kind") == "tick").drop("code", "channel", "severity") \
+        df.where(F.col("kind") == "tick").drop("kind", "code", "channel", "severity", "message") \
           .write.mode("overwrite").parquet(f"{base}/ticks/batch={batch_id}")
-        df.where(F.col("kind") == "quality").select("series_id", "seq", "code", "channel", "severity") \
+        df.where(F.col("kind") == "quality").select("series_id", "seq", "ts", "code", "channel", "severity", "message") \
           .write.mode("overwrite").parquet(f"{base}/quality/batch={batch_id}")
+        df.where(F.col("kind") == "config").select("series_id", "model_id", "threshold") \
+          .write.mode("overwrite").parquet(f"{base}/config/batch={batch_id}")
         df.unpersist()
 
     w = frames.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/_checkpoint")
