@@ -94,16 +94,43 @@ def _distinct_p(scores: DataFrame, keys: Sequence[str], label: str = "y") -> Dat
         F.count_if(F.col(label) != 1).cast("bigint").alias("neg"))
 
 
-def curve_points(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataFrame:
-    """Cumulative counts for ``p >= threshold`` at every distinct threshold."""
+#: Score ranges of a group that the curves are computed in.
+CURVE_RANGES = 256
+
+
+def _in_ranges(d: DataFrame, keys: Sequence[str], n_ranges: int) -> DataFrame:
+    """``d`` with ``_range``: each group's scores cut at its quantiles, the highest scores first.
+
+    The cuts are one row of a fixed number of values per group, so they come by a join that Spark may broadcast if they
+    are few, and split on a hot group if not.
+    """
+    if n_ranges < 2:
+        return d.withColumn("_range", F.lit(0))
+    cuts = d.groupBy(*keys).agg(F.percentile_approx(
+        "p", [k / n_ranges for k in range(1, n_ranges)], 4 * n_ranges).alias("_cuts"))
+    return d.join(cuts, list(keys)).withColumn("_range", F.size(F.filter("_cuts", lambda c: c > F.col("p")))).drop("_cuts")
+
+
+def curve_points(scores: DataFrame, keys: Sequence[str], label: str = "y", n_ranges: int = CURVE_RANGES) -> DataFrame:
+    """Cumulative counts for ``p >= threshold`` at every distinct threshold, and the counts at it.
+
+    Two levels of prefix sums: over the ranges of a group (a row for each), then over the scores inside a range. No
+    task holds all distinct scores of a group.
+    """
     keys = list(keys)
-    d = _distinct_p(scores, keys, label)
-    down = Window.partitionBy(*keys).orderBy(F.col("p").desc())
-    run = down.rowsBetween(Window.unboundedPreceding, 0)
-    allw = Window.partitionBy(*keys)
-    return d.select(*keys, F.col("p").alias("threshold"),
-                    F.sum("pos").over(run).alias("tp"), F.sum("neg").over(run).alias("fp"),
-                    F.sum("pos").over(allw).alias("P"), F.sum("neg").over(allw).alias("N"))
+    d = _in_ranges(_distinct_p(scores, keys, label), keys, n_ranges)
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    ranges = d.groupBy(*keys, "_range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg")).select(
+        *keys, "_range", F.coalesce(F.sum("_pos").over(before), F.lit(0)).alias("_tp"),
+        F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_fp"),
+        F.sum("_pos").over(whole).alias("P"), F.sum("_neg").over(whole).alias("N"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    own = d.select(*keys, "_range", F.col("p").alias("threshold"), "pos", "neg", F.sum("pos").over(inside).alias("_in_tp"),
+                   F.sum("neg").over(inside).alias("_in_fp"))
+    return own.join(ranges, [*keys, "_range"]).select(
+        *keys, "threshold", (F.col("_tp") + F.col("_in_tp")).alias("tp"),
+        (F.col("_fp") + F.col("_in_fp")).alias("fp"), "P", "N", "pos", "neg")
 
 
 def roc_curve(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataFrame:
@@ -118,20 +145,15 @@ def roc_curve(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataF
     return origin.unionByName(pts)
 
 
-def roc_auc(scores: DataFrame, keys: Sequence[str], label: str = "y") -> DataFrame:
+def roc_auc(scores: DataFrame, keys: Sequence[str], label: str = "y", n_ranges: int = CURVE_RANGES) -> DataFrame:
     """Exact area under the ROC curve (trapezoids from the origin);
-    NULL AUC for a group without both classes. One pass over the curve: the
-    origin is the ``lag`` default and the class totals ride on every point."""
+    NULL AUC for a group without both classes. The point before a point has
+    its counts less those at the point, so no order is needed any more."""
     keys = list(keys)
-    c = curve_points(scores, keys, label)
-    fpr, tpr = _div0(F.col("fp"), F.col("N")), _div0(F.col("tp"), F.col("P"))
-    w = Window.partitionBy(*keys).orderBy(F.col("threshold").desc())
-    seg = c.select(*keys, "threshold", "P", "N", fpr.alias("fpr"), tpr.alias("tpr")).select(
-        *keys, "P", "N",
-        ((F.col("fpr") - F.lag("fpr", 1, 0.0).over(w)) * (F.col("tpr") + F.lag("tpr", 1, 0.0).over(w)) / 2)
-        .alias("area"))
-    a = seg.groupBy(*keys).agg(F.sum("area").alias("auc"), (F.count(F.lit(1)) + 1).cast("bigint").alias("n_points"),
-                               F.max("P").alias("P"), F.max("N").alias("N"))
+    c = curve_points(scores, keys, label, n_ranges)
+    area = _div0(F.col("neg"), F.col("N")) * (_div0(F.col("tp"), F.col("P")) + _div0(F.col("tp") - F.col("pos"), F.col("P"))) / 2
+    a = c.groupBy(*keys).agg(F.sum(area).alias("auc"), (F.count(F.lit(1)) + 1).cast("bigint").alias("n_points"),
+                             F.max("P").alias("P"), F.max("N").alias("N"))
     return a.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("auc")).alias("auc"), "n_points")
 
 
@@ -160,12 +182,17 @@ def threshold_grid(spark, start: float = GRID_START, step: float = GRID_STEP,
 def threshold_search(scores: DataFrame, keys: Sequence[str], grid: DataFrame,
                      label: str = "y") -> DataFrame:
     """Class-1, macro and weighted F1 at every grid threshold with
-    ``p > t``. Scores are reduced to distinct (p, counts) before meeting the
-    (broadcast, fixed-size) grid."""
+    ``p > t``. A row is counted once, under the number of thresholds below its
+    score; the thresholds (one row of the fixed-size grid) then sum up at most
+    one count more than there are thresholds per group."""
     keys = list(keys)
-    d = _distinct_p(scores, keys, label)
-    j = d.crossJoin(F.broadcast(grid))
-    pred = F.col("p") > F.col("t")
+    steps = grid.groupBy().agg(F.collect_list("t").alias("_grid"))
+    below = F.size(F.filter("_grid", lambda t: F.col("p") > t))
+    d = scores.crossJoin(F.broadcast(steps)).groupBy(*keys, below.alias("_below")).agg(
+        F.count_if(F.col(label) == 1).cast("bigint").alias("pos"), F.count_if(F.col(label) != 1).cast("bigint").alias("neg"))
+    rank = F.rank().over(Window.orderBy("t")) - 1
+    j = d.crossJoin(F.broadcast(grid.withColumn("_rank", rank)))
+    pred = F.col("_below") > F.col("_rank")
     c = j.groupBy(*keys, "k", "t").agg(
         F.sum(F.when(pred, F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(pred, F.col("neg")).otherwise(0)).alias("fp"),
