@@ -1371,7 +1371,8 @@ def q_knn_score(spark, sf_dir):
 def _staged_csv(spark, sf_dir) -> str:
     """The fixture readings written as CSV files, one per series, under the
     session's checkpoint folder: even series with ``;``, odd with ``,``, in
-    three folders. Written once per scale; later calls reuse the files."""
+    three folders, with a note in every row that needs quotes. Written once per scale; later calls reuse the
+    files."""
     import hashlib
 
     from ..session import scratch_path
@@ -1382,7 +1383,8 @@ def _staged_csv(spark, sf_dir) -> str:
         r = fx.readings(spark, sf_dir).withColumn("datetime", F.col("ts")) \
               .withColumn("anomaly", F.col("anomaly").cast("double"))
         folder = F.concat(F.lit("valve"), (F.col("series_id") % 3).cast("string"))
-        cols = ["datetime", *CH, "anomaly"]
+        r = r.withColumn("note", F.concat(F.lit('say "on; off",\n'), F.col("i").cast("string")))
+        cols = ["datetime", *CH[:4], "note", *CH[4:], "anomaly"]
         files.write_readings_csv(r.where(F.col("series_id") % 2 == 0), root, cols, ";", folder=folder)
         files.write_readings_csv(r.where(F.col("series_id") % 2 == 1), root, cols, ",", folder=folder)
         spark.createDataFrame([(1,)], "done int").coalesce(1).write.mode("overwrite").parquet(f"{root}/_DONE")
@@ -1392,17 +1394,19 @@ def _staged_csv(spark, sf_dir) -> str:
 @register("csv_readings", with_views(["readings"], f"""
 SELECT series_id, 'valve' || CAST(series_id % 3 AS VARCHAR) AS folder,
        CASE WHEN series_id % 2 = 0 THEN ';' ELSE ',' END AS sep,
-       ts AS datetime, {", ".join(CH)}, CAST(anomaly AS DOUBLE) AS anomaly
+       ts AS datetime, {", ".join(CH)}, CAST(anomaly AS DOUBLE) AS anomaly,
+       'say "on; off",' || chr(10) || CAST(i AS VARCHAR) AS note
 FROM readings"""))
 def q_csv_readings(spark, sf_dir):
-    """Scan the staged CSV tree, detect each file's separator from its
-    header and read every group with its own separator."""
+    """Scan the staged CSV tree once; every record by its own file's separator and header, notes with
+    quoted separators, quotes and line breaks."""
     from ..sources import files
     root = _staged_csv(spark, sf_dir)
-    df = files.read_readings(spark, root, files.readings_schema(CH, extra=()))
+    schema = files.readings_schema(CH, extra=()).add("note", "string")
+    df = files.read_readings(spark, root, schema)
     return df.select(F.regexp_extract("path", r"series_id=(\d+)", 1).cast("bigint").alias("series_id"),
                      F.regexp_extract("path", r"_folder=([^/]+)", 1).alias("folder"), "sep",
-                     "datetime", *CH, "anomaly")
+                     "datetime", *CH, "anomaly", "note")
 
 
 @register("upload_gate")
