@@ -4,11 +4,11 @@ A tokenizer and a tree builder with implied start and end tags read the page; a
 recursion and lays out what a browser would show: collapsed white space, blocks on their own lines, blank lines
 around paragraphs, indented and numbered lists, preformatted text as it is, and tables with aligned columns.
 Not shown are metadata and script elements, elements hidden by attribute, inline style or a simple rule of the
-page's own style sheets (tag, .class, #id and their pairs), closed details but for their summary, and closed dialogs.
+page's own style sheets (tag, .class, #id and their pairs; the cascade decides between them), closed details but for their summary, and closed dialogs.
 
 Edge cases: null and empty pages give an empty text; unclosed tags, comments and quotes end with the page; nesting
-may be of any depth; a column is padded to ``PAD_CHARS`` at most, and a table that has a cell of more than
-``CELL_LINES`` lines is page layout and is rendered cell after cell, so that the text stays in proportion to the page.
+may be of any depth; a column is padded to ``PAD_CHARS`` at most; a table whose role is presentation (or none) is page
+layout and is rendered cell after cell, any other table in aligned rows, however long its cells are.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import each, scan_texts
 
 PAD_CHARS = 60
-CELL_LINES = 20
 #: Lists and quotes nested deeper than this are not indented further.
 INDENT_LEVELS = 24
 #: Bounds that the HTML standard sets to the spans of cells.
@@ -34,6 +33,8 @@ RAW = frozenset("script style title textarea xmp iframe noembed noframes noscrip
 #: Elements that a browser with scripts shows nothing of.
 UNSEEN = frozenset("""head title script style template noscript noembed noframes iframe datalist area base link
     meta param source track audio video canvas object rp""".split())
+#: Kinds of input elements whose value is shown as text.
+SHOWN_INPUTS = frozenset("text search url tel email number submit button reset date time month week".split())
 #: Blank lines before and after a block.
 BLOCKS = dict.fromkeys("""address article aside center details dialog dd dir div dt fieldset figcaption footer form
     header hgroup legend li main menuitem nav option optgroup section summary body html caption""".split(), 0)
@@ -69,6 +70,10 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
 _SELECTOR = re.compile(r"([a-z][\w-]*)?([.#][\w-]+)?\Z", re.I)
 _GONE = re.compile(r"display\s*:\s*none", re.I)
 _SEEN = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+#: Blocks whose rules hold on a screen: no media named, or one of these.
+_SCREEN = re.compile(r"@media\s*(?:\Z|(?:.*,)?\s*(?:only\s+)?(?:all|screen)\s*(?:,|\Z))", re.I | re.S)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -191,27 +196,52 @@ class Builder:
         self._close({tag}, bounds - {tag})
 
 
+def screen_rules(sheet: str) -> list[tuple[str, str]]:
+    """(selectors, declarations) of a style sheet that hold on a screen, in order; comments are left out, and blocks of
+    other media or conditions with them."""
+    sheet = _COMMENT.sub(" ", sheet)
+    rules, blocks, at = [], [], 0  # blocks: of every open at-block, whether its rules hold
+    for m in re.finditer(r"[{};]", sheet):
+        head = sheet[at:m.start()]
+        if m[0] == "{":
+            if head.strip().startswith("@"):
+                blocks.append(bool(_SCREEN.match(head.strip())))
+            else:
+                blocks.append(head.strip())
+            at = m.end()
+        elif m[0] == "}" and blocks:
+            last = blocks.pop()
+            if isinstance(last, str) and all(b is True for b in blocks):
+                rules.append((last, head))
+            at = m.end()
+        elif m[0] == ";" and not (blocks and isinstance(blocks[-1], str)):
+            at = m.end()  # an at-rule without a block
+    return rules
+
+
 class Hidden:
     """Visibility of elements under a page's own style sheets."""
 
     def __init__(self, styles: list[str]):
-        self.gone: set[tuple[str, str]] = set()
-        self.unseen: set[tuple[str, str]] = set()
-        for rule in "".join(styles).split("}"):
-            selectors, brace, body = rule.partition("{")
-            seen = _SEEN.search(body)
-            into = [self.gone] * bool(_GONE.search(body)) + [self.unseen] * bool(seen and seen[1].lower() != "visible")
-            for s in selectors.split(",") if brace and into else ():
-                m = _SELECTOR.match(s.strip())
-                if m and (m[1] or m[2]):
-                    for group in into:
-                        group.add(((m[1] or "").lower(), m[2] or ""))
-
-    def _ruled(self, group: set, node: Node) -> bool:
-        if not group:
-            return False
+        #: (property, tag, mark) -> (rank, value): importance, specificity and order decide between values.
+        self.rules: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+        for order, (selectors, body) in enumerate(rule for sheet in styles for rule in screen_rules(sheet)):
+            for prop, value, important in _DECLARED.findall(body):
+                for s in selectors.split(","):
+                    m = _SELECTOR.match(s.strip())
+                    if m and (m[1] or m[2]):
+                        tag, mark = (m[1] or "").lower(), m[2] or ""
+                        rank = (bool(important), mark[:1] == "#", mark[:1] == ".", bool(tag), order)
+                        key = (prop.lower(), tag, mark)
+                        self.rules[key] = max(self.rules.get(key, (rank, "")), (rank, value.lower()))
+
+    def _ruled(self, prop: str, node: Node) -> str | None:
+        """The value that the style sheets give to an element."""
+        if not self.rules:
+            return None
         marks = ["", *("." + c for c in node.attrs.get("class", "").split()), "#" + node.attrs.get("id", "")]
-        return any((t, m) in group for t in ("", node.tag) for m in marks)
+        found = [r for t in ("", node.tag) for m in marks if (r := self.rules.get((prop, t, m)))]
+        return max(found)[1] if found else None
 
     def state(self, node: Node, parent: Node, seen: bool) -> bool | None:
         """None: no box at all; else whether the element's own text is seen."""
@@ -220,17 +250,16 @@ class Hidden:
             return None
         if parent.tag == "details" and "open" not in parent.attrs and tag != "summary":
             return None
+        style = attrs.get("style", "") if attrs else ""
         if attrs:
-            style = attrs.get("style", "")
             if "hidden" in attrs or _GONE.search(style) or (tag == "input" and attrs.get("type", "").lower() == "hidden"):
                 return None
         if tag == "dialog" and "open" not in attrs:
             return None
-        if self._ruled(self.gone, node):
+        if "display" not in style.lower() and self._ruled("display", node) == "none":
             return None
-        if attrs and (m := _SEEN.search(attrs.get("style", ""))):
-            return m[1].lower() == "visible"
-        return seen and not self._ruled(self.unseen, node)
+        shown = m[1].lower() if (m := _SEEN.search(style)) else self._ruled("visibility", node)
+        return seen if shown in (None, "inherit") else shown not in ("hidden", "collapse")
 
 
 class Flow:
@@ -295,8 +324,6 @@ def _span(attrs: dict, name: str, most: int) -> int:
 
 def layout(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Lines of a table of (lines, column span, row span) cells, columns aligned."""
-    if any(len(lines) > CELL_LINES for row in rows for lines, _, _ in row):
-        return [x for row in rows for lines, _, _ in row for x in lines]
     placed, taken, widths = [], {}, {}
     for row in rows:
         at, line = 0, []
@@ -366,7 +393,7 @@ def render(page: str | None) -> str:
                 flow.newline()
                 continue
             if tag == "input":
-                if state and node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
+                if state and node.attrs.get("type", "text").lower() in SHOWN_INPUTS:
                     flow.text(node.attrs.get("value", ""))
                 continue
             if tag in ("td", "th") and tables:
@@ -411,7 +438,10 @@ def render(page: str | None) -> str:
             (rows[-1] if rows else rows.append([]) or rows[-1]).append(
                 (lines, _span(node.attrs, "colspan", MOST_COLUMNS), _span(node.attrs, "rowspan", MOST_ROWS)))
         elif tag == "table":
-            flow.verbatim(layout(tables.pop()["rows"]))
+            rows = tables.pop()["rows"]
+            if node.attrs.get("role", "").strip().lower() in ("presentation", "none"):
+                rows = [[cell] for row in rows for cell in row]
+            flow.verbatim(layout(rows))
             flow.block(1)
         elif tag in BLOCKS:
             flow.block(BLOCKS[tag] if not (tag in LISTS and len(counters) > 1) else 0)

@@ -7,11 +7,14 @@ bytes over a node's range, each round within the bucket that the last one found,
 among rows of one coordinate, over a hash of the row number. Only histograms, a few thousand numbers, reach the
 driver, whatever the rows; the tree stays a Column of nested comparisons and no row moves until the slots are given.
 
-The law is `bytes`: sizes are near equal, each cut being off by about one row. Equal texts may lie in
-several shards, since a group of copies may be larger than a shard.
-
-Edge cases: null texts count one byte; a null coordinate is the lowest; repeated rows are rows of their own (the row
-number tells them apart); an empty table gives an empty result; a row larger than a share makes its shard larger.
+The law is `bytes`: sizes are near equal, each cut being off by about one row or one group of copies. Rows of equal
+texts are one point, at the least coordinates of the group, and so lie in one shard; a group of more than ``WHOLE`` of a
+share is dealt row by row, since sizes could not be near equal otherwise. Coordinates of texts are their ranks among
+the distinct values of the column, numbered in a written table.
+
+Edge cases: null texts count one byte and equal empty ones; a null coordinate is the lowest; repeated rows are copies of
+a text; an empty table gives an empty result; a row larger than a share makes its shard larger; text values may
+share any prefix; columns may have any names.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql.window import Window as W
 from .common import safe_names, stored
 
 BUCKETS = 1024
+#: Part of a shard's share up to which the rows of one text stay together.
+WHOLE = 0.05
 #: Range of the hash that orders rows of one coordinate.
 TIE_RANGE = float(1 << 52)
 #: Rounds of a search; each divides the range by the number of buckets, so no search of doubles needs more.
@@ -46,19 +51,34 @@ class Node:
     right: Node | None = None
 
 
-def coordinate(df: DataFrame, column: str) -> Column:
-    """A column as a double in its own order: numbers and times as they are, texts by their first six bytes."""
+def coordinate(df: DataFrame, column: str) -> Column | None:
+    """A number or time as a double in its own order; None for a column of texts, which has ``ranks``."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.NumericType, T.BooleanType)):
         value = F.col(column).cast("double")
     elif isinstance(kind, (T.DateType, T.TimestampType)):
         value = F.col(column).cast("timestamp").cast("double")
     else:
-        head = F.rpad(F.hex(F.substring(F.col(column).cast("string").cast("binary"), 1, 6)), 12, "0")
-        value = F.conv(head, 16, 10).cast("double")
+        return None
     return F.when(value.isNull() | F.isnan(value), F.lit(None)).otherwise(value)
 
 
+def ranks(values: Column, df: DataFrame) -> DataFrame:
+    """(value, rank from 0) of the distinct values, in byte order.
+
+    Sorted over range partitions and written; the rows' numbers in their partitions and the partitions' counts, a
+    number per partition, make the ranks.
+    """
+    ordered = stored(df.select(values.alias("value")).where("value is not null").distinct().orderBy("value")
+                     .withColumn("at", F.monotonically_increasing_id()), "shard-ranks")
+    blocks = ordered.groupBy(F.shiftright("at", 33).alias("block")).agg(F.count("*").alias("n"))
+    before = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    offsets = blocks.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (ordered.withColumn("block", F.shiftright("at", 33)).join(offsets, "block")
+            .select("value", (F.col("offset") + inside).cast("double").alias("rank")))
+
+
 def _leaves(node: Node) -> list[Node]:
     return [node] if node.left is None else _leaves(node.left) + _leaves(node.right)
 
@@ -169,6 +189,18 @@ def slots(df: DataFrame) -> DataFrame:
             .withColumn("slot", F.col("offset") + F.col("place") - 1).drop("block", "place", "offset"))
 
 
+def _grouped(meta: DataFrame, shards: int, axes: Sequence[str]) -> DataFrame:
+    """Adds ``tie``, and gives the rows of one text one place: their least coordinates and a common tie."""
+    text = ["hash", "crc", "size"]
+    most = WHOLE * (meta.agg(F.sum("size")).first()[0] or 0) / shards
+    groups = (meta.groupBy(*text).agg(F.count("*").alias("n"), *(F.min(a).alias(f"least_{a}") for a in axes))
+              .where((F.col("n") > 1) & (F.col("n") * F.col("size") <= most)))
+    tie = F.when(F.col("n").isNull(), F.xxhash64("row")).otherwise(F.xxhash64(*text))
+    return meta.join(groups, text, "left").select(
+        *(c for c in meta.columns if c not in axes), *(F.coalesce(f"least_{a}", a).alias(a) for a in axes),
+        F.pmod(tie, F.lit(int(TIE_RANGE))).cast("double").alias("tie"))
+
+
 def kd_shards(docs: DataFrame, shards: int | None = 8, dims: Sequence[str] = ("lang", "source", "n_chars", "doc_id"),
               text_col: str = "text", keep: Sequence[str] = ("doc_id",), target_bytes: int | None = None) -> DataFrame:
     """``keep``, size, text_crc32, law, shard, slot and grown_shard (null under this law) per row.
@@ -179,16 +211,21 @@ def kd_shards(docs: DataFrame, shards: int | None = 8, dims: Sequence[str] = ("l
     text = F.coalesce(F.col(names[text_col]), F.lit(""))
     axes = [f"dim_{i}" for i in range(len(dims))]
     row = F.monotonically_increasing_id()
+    numbers = {a: coordinate(plain, names[c]) for a, c in zip(axes, dims)}
     # Written once, so that the row numbers stay as they are; the texts are not needed again.
     meta = stored(plain.select(
         *(F.col(names[c]).alias(f"keep_{i}") for i, c in enumerate(keep)),
-        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes_"), F.crc32(text.cast("binary")).alias("crc"),
-        *(F.coalesce(coordinate(plain, names[c]), F.lit(-1.0)).alias(a) for a, c in zip(axes, dims)),
+        (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"),
+        F.xxhash64(text).alias("hash"),
+        *(F.col(names[c]).cast("string").alias(a) if numbers[a] is None else numbers[a].alias(a) for a, c in zip(axes, dims)),
         row.alias("row")), "shard-meta")
-    meta = meta.withColumn("size", F.col("bytes_") + 1).withColumn(
-        "tie", F.pmod(F.xxhash64("row"), F.lit(int(TIE_RANGE))).cast("double"))
     if shards is None:
         shards = max(1, math.ceil((meta.agg(F.sum("size")).first()[0] or 0) / target_bytes))
+    for a in axes:
+        if numbers[a] is None:
+            ranked = ranks(F.col(a), meta).withColumnRenamed("value", a)
+            meta = meta.join(ranked, a, "left").drop(a).withColumnRenamed("rank", a)
+    meta = stored(_grouped(meta.fillna(-1.0, axes), shards, axes), "shard-points")
     tree = kd_tree(meta, shards, axes)
     placed = slots(meta.withColumn("shard", _where(tree, lambda n: n.first)))
     return placed.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)), "size",

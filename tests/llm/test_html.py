@@ -29,6 +29,18 @@ CASES = {
     "<p>unclosed <a href='": "unclosed",
     "<input type=submit value=Go><input type=hidden value=no>": "Go",
     "<table><tr><td>a<table><tr><td>x<td>y</table><td>b</table>": "a     b\n\nx  y",
+    "<style>@media print { .a{display:none} .b{display:none} } .c{display:none}</style><b class=a>x</b><b class=b>y<b class=c>no": "xy",
+    "<style>@media screen{.a{display:none}} @import 'x'; .d{display:none}</style><b class=a>no</b><b class=d>no</b>y": "y",
+    "<style>.m{display:none} .m{display:block}</style><b class=m>x": "x",
+    "<style>#i{display:none} p{display:block}</style><p id=i>no</p>x": "x",
+    "<style>.m{display:none !important} .m{display:block}</style><b class=m>no</b>x": "x",
+    "<style>/* } .x{ */ .h /* y */ {color:red; display:none}</style><b class=h>no</b><b class=x>x": "x",
+    "<style>.h{visibility:hidden} i.h{visibility:visible}</style><b class=h>no<i class=h>x</i></b>": "x",
+    "<style>.h{display:none}</style><b class=h style='display:inline'>x": "x",
+    "<input type=text value=shown> <input value=also> <input type=password value=no>": "shown also",
+    "<table><tr><td>k<td>" + "<br>".join("abcdefghijklmnopqrstuvwxyz") + "<tr><td>l<td>z</table>":
+        "k  " + "\n   ".join("abcdefghijklmnopqrstuvwxyz") + "\nl  z",
+    "<table role=presentation><tr><td>a<td>b<tr><td>c</table>": "a\nb\nc",
     "": "",
 }
 

@@ -20,7 +20,14 @@ def check(df, shards=8, **more):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     largest = max((size(r.text) for r in rows), default=0)
     share = sum(size(r.text) for r in rows) / shards
-    # each of three cuts is off by less than a row
+    texts, where = defaultdict(int), defaultdict(set)
+    for r in got:
+        texts[r["size"], r.text_crc32] += r["size"]
+        where[r["size"], r.text_crc32].add(r.shard)
+    whole = [t for t, n in texts.items() if n <= sh.WHOLE * share]
+    assert all(len(where[t]) == 1 for t in whole)
+    # each of three cuts is off by less than a row or a group that stays whole
+    largest = max([largest, *(texts[t] for t in whole)])
     assert all(abs(byte[s] - share) <= 2 * largest for s in range(shards))
     return byte
 
@@ -58,6 +65,20 @@ def test_leaves_are_boxes(spark):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
+def test_texts_of_one_prefix_are_told_apart(spark):
+    """Sources that differ only at their end are a dimension of their own: the first cut separates them."""
+    rows = [(1, f"t{i}", "en", f"https://example.org/{i % 2}", 5) for i in range(400)]
+    got = sh.kd_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), 2, dims=("source",), keep=("source",)).collect()
+    assert {r.source for r in got if r.shard == 0} == {"https://example.org/0"}
+    df = spark.createDataFrame(rows + [(2, "n", None, None, 5)], SCHEMA).repartition(4)
+    assert sorted(map(tuple, sh.ranks(df.source, df).collect())) == [("https://example.org/0", 0.0), ("https://example.org/1", 1.0)]
+
+
+def test_copies_stay_together(spark):
+    rows = [(i, f"text {i // 4} " * 9, "en", f"s{i % 5}", i) for i in range(2400)]
+    check(spark.createDataFrame(rows, SCHEMA).repartition(6))
+
+
 def test_no_python_in_plan(edges):
     plan = sh.kd_shards(edges)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
