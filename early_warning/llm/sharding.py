@@ -9,7 +9,7 @@ driver, whatever the rows; the tree stays a Column of nested comparisons and no
 
 The law is `bytes`: sizes are near equal, each cut being off by about one row or one group of copies. Rows of equal
 texts are one point, at the least coordinates of the group, and so lie in one shard; a group of more than ``WHOLE`` of a
-share is dealt row by row, since sizes could not be near equal otherwise. Coordinates of texts are their ranks among
+share, in bytes or rows, is dealt row by row, since sizes could not be near equal otherwise. Coordinates of texts are their ranks among
 the distinct values of the column, numbered in a written table.
 
 Edge cases: null texts count one byte and equal empty ones; a null coordinate is the lowest; repeated rows are copies of
@@ -192,11 +192,16 @@ def slots(df: DataFrame) -> DataFrame:
 def _grouped(meta: DataFrame, shards: int, axes: Sequence[str]) -> DataFrame:
     """Adds ``tie``, and gives the rows of one text one place: their least coordinates and a common tie."""
     text = ["hash", "crc", "size"]
-    most = WHOLE * (meta.agg(F.sum("size")).first()[0] or 0) / shards
+    share = meta.agg((F.sum("size") * WHOLE / shards).alias("bytes"), (F.count("*") * WHOLE / shards).alias("rows")).first()
+    large = (F.col("n") * F.col("size") > (share["bytes"] or 0)) | (F.col("n") > share["rows"])
     groups = (meta.groupBy(*text).agg(F.count("*").alias("n"), *(F.min(a).alias(f"least_{a}") for a in axes))
-              .where((F.col("n") > 1) & (F.col("n") * F.col("size") <= most)))
+              .where("n > 1"))
+    # at most 2 * shards / WHOLE large groups; their rows are spread by row number and meet no group in the join
+    hot = groups.where(large).select(*text, F.lit(True).alias("hot"))
+    rows = meta.join(F.broadcast(hot), text, "left").withColumn("apart", F.when(F.col("hot"), F.col("row")).otherwise(F.lit(-1).cast("long")))
+    rows = rows.join(groups.where(~large).withColumn("apart", F.lit(-1).cast("long")), [*text, "apart"], "left")
     tie = F.when(F.col("n").isNull(), F.xxhash64("row")).otherwise(F.xxhash64(*text))
-    return meta.join(groups, text, "left").select(
+    return rows.select(
         *(c for c in meta.columns if c not in axes), *(F.coalesce(f"least_{a}", a).alias(a) for a in axes),
         F.pmod(tie, F.lit(int(TIE_RANGE))).cast("double").alias("tie"))
 

@@ -20,11 +20,12 @@ def check(df, shards=8, **more):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     largest = max((size(r.text) for r in rows), default=0)
     share = sum(size(r.text) for r in rows) / shards
-    texts, where = defaultdict(int), defaultdict(set)
+    texts, where, n = defaultdict(int), defaultdict(set), defaultdict(int)
     for r in got:
+        n[r["size"], r.text_crc32] += 1
         texts[r["size"], r.text_crc32] += r["size"]
         where[r["size"], r.text_crc32].add(r.shard)
-    whole = [t for t, n in texts.items() if n <= sh.WHOLE * share]
+    whole = [t for t, b in texts.items() if b <= sh.WHOLE * share and n[t] <= sh.WHOLE * len(rows) / shards]
     assert all(len(where[t]) == 1 for t in whole)
     # each of three cuts is off by less than a row or a group that stays whole
     largest = max([largest, *(texts[t] for t in whole)])
