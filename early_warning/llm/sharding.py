@@ -194,12 +194,12 @@ def _grouped(meta: DataFrame, shards: int, axes: Sequence[str]) -> DataFrame:
     text = ["hash", "crc", "size"]
     share = meta.agg((F.sum("size") * WHOLE / shards).alias("bytes"), (F.count("*") * WHOLE / shards).alias("rows")).first()
     large = (F.col("n") * F.col("size") > (share["bytes"] or 0)) | (F.col("n") > share["rows"])
-    groups = (meta.groupBy(*text).agg(F.count("*").alias("n"), *(F.min(a).alias(f"least_{a}") for a in axes))
-              .where("n > 1"))
     # at most 2 * shards / WHOLE large groups; their rows are spread by row number and meet no group in the join
-    hot = groups.where(large).select(*text, F.lit(True).alias("hot"))
+    hot = meta.groupBy(*text).agg(F.count("*").alias("n")).where((F.col("n") > 1) & large).select(*text, F.lit(True).alias("hot"))
     rows = meta.join(F.broadcast(hot), text, "left").withColumn("apart", F.when(F.col("hot"), F.col("row")).otherwise(F.lit(-1).cast("long")))
-    rows = rows.join(groups.where(~large).withColumn("apart", F.lit(-1).cast("long")), [*text, "apart"], "left")
+    groups = (rows.groupBy(*text, "apart").agg(F.count("*").alias("n"), *(F.min(a).alias(f"least_{a}") for a in axes))
+              .where("n > 1"))
+    rows = rows.join(groups, [*text, "apart"], "left")
     tie = F.when(F.col("n").isNull(), F.xxhash64("row")).otherwise(F.xxhash64(*text))
     return rows.select(
         *(c for c in meta.columns if c not in axes), *(F.coalesce(f"least_{a}", a).alias(a) for a in axes),
