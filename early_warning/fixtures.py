@@ -102,15 +102,15 @@ def scores(spark: SparkSession, sf_dir: str, w: DataFrame | None = None) -> Data
 
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping 'files' of 400 events, each holding a copy of the first 100
-    events of the next file, the copies cycling through the four verdicts."""
-    b = base(spark, sf_dir)
+    events of the next file, the copies cycling through the four verdicts; in
+    copies that differ, one of the eight channels does, in turn."""
+    r = readings(spark, sf_dir)
     fk = F.floor(F.col("event_id") / 400).cast("bigint")
-    own = b.select(fk.alias("file_k"), "ts", F.col("value").alias("ch1"),
-                   F.col("k").alias("ch2"), "anomaly", F.lit(0).alias("changepoint"))
-    copy = (b.where((F.col("event_id") >= 400) & (F.col("event_id") % 400 < 100))
+    own = r.select(fk.alias("file_k"), "ts", *CHANNELS, "anomaly", F.lit(0).alias("changepoint"))
+    copy = (r.where((F.col("event_id") >= 400) & (F.col("event_id") % 400 < 100))
             .select((fk - 1).alias("file_k"), "ts",
-                    F.when(fk % 4 == 2, F.col("value") + 1).otherwise(F.col("value")).alias("ch1"),
-                    F.col("k").alias("ch2"),
+                    *[F.when((fk % 4 == 2) & (F.floor(fk / 4) % 8 == k), F.col(c) + 1).otherwise(F.col(c)).alias(c)
+                      for k, c in enumerate(CHANNELS)],
                     F.when(fk % 4 == 1, 1 - F.col("anomaly"))
                     .when(fk % 4 == 2, 1 - F.col("anomaly"))
                     .otherwise(F.col("anomaly")).alias("anomaly"),

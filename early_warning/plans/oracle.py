@@ -40,14 +40,20 @@ FROM windows w
 CROSS JOIN (SELECT 'm1' AS model_id, CAST(0.06 AS DOUBLE) AS slope, CAST(0 AS DOUBLE) AS bias
             UNION ALL SELECT 'm2', CAST(0.12 AS DOUBLE), CAST(0 AS DOUBLE)
             UNION ALL SELECT 'm3', CAST(0.03 AS DOUBLE), CAST(-1.5 AS DOUBLE)) m"""),
-    "file_rows": (["base"], """
-SELECT CAST(FLOOR(event_id / 400) AS BIGINT) AS file_k, ts, value AS ch1, k AS ch2, anomaly, 0 AS changepoint FROM base
+    "file_rows": (["readings"], """
+SELECT CAST(FLOOR(event_id / 400) AS BIGINT) AS file_k, ts, ch1, ch2, ch3, ch4, ch5, ch6, ch7, ch8, anomaly, 0 AS changepoint
+FROM readings
 UNION ALL
-SELECT CAST(FLOOR(event_id / 400) AS BIGINT) - 1, ts,
-       CASE WHEN CAST(FLOOR(event_id / 400) AS BIGINT) % 4 = 2 THEN value + 1 ELSE value END, k,
-       CASE WHEN CAST(FLOOR(event_id / 400) AS BIGINT) % 4 IN (1, 2) THEN 1 - anomaly ELSE anomaly END,
-       CASE WHEN CAST(FLOOR(event_id / 400) AS BIGINT) % 4 = 3 THEN 1 ELSE 0 END
-FROM base WHERE event_id >= 400 AND event_id % 400 < 100"""),
+SELECT fk - 1, ts,
+       CASE WHEN odd = 0 THEN ch1 + 1 ELSE ch1 END, CASE WHEN odd = 1 THEN ch2 + 1 ELSE ch2 END,
+       CASE WHEN odd = 2 THEN ch3 + 1 ELSE ch3 END, CASE WHEN odd = 3 THEN ch4 + 1 ELSE ch4 END,
+       CASE WHEN odd = 4 THEN ch5 + 1 ELSE ch5 END, CASE WHEN odd = 5 THEN ch6 + 1 ELSE ch6 END,
+       CASE WHEN odd = 6 THEN ch7 + 1 ELSE ch7 END, CASE WHEN odd = 7 THEN ch8 + 1 ELSE ch8 END,
+       CASE WHEN fk % 4 IN (1, 2) THEN 1 - anomaly ELSE anomaly END,
+       CASE WHEN fk % 4 = 3 THEN 1 ELSE 0 END
+FROM (SELECT *, CASE WHEN fk % 4 = 2 THEN (fk // 4) % 8 END AS odd
+      FROM (SELECT *, CAST(FLOOR(event_id / 400) AS BIGINT) AS fk FROM readings
+            WHERE event_id >= 400 AND event_id % 400 < 100) r) c"""),
     "registry": ([], """
 SELECT 'm1' AS model_id, 'Model one' AS name, 'Linear' AS family, CAST(0.91 AS DOUBLE) AS test_f1, TRUE AS requires_scaling
 UNION ALL SELECT 'm2', 'Model two', 'Tree', CAST(0.85 AS DOUBLE), FALSE

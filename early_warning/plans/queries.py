@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import runs, windows
-from ..config import SERIES_CHUNK_ROWS
+from ..config import SERIES_CHUNK_ROWS, WINDOW
 from .oracle import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,27 +50,17 @@ def q_horizon_label(spark, sf_dir):
     return r.select("series_id", "i", F.col("y").cast("bigint").alias("y"))
 
 
-@register("sliding_windows", with_views(["readings"], """
-SELECT series_id, idx, i, win_len, first_i, last_i, ch1_first, ch8_last FROM (
-  SELECT series_id, i, n, i - 19 AS idx,
-         CAST(COUNT(*) OVER w AS BIGINT) AS win_len,
-         CAST(FIRST_VALUE(i) OVER w AS BIGINT) AS first_i,
-         CAST(LAST_VALUE(i) OVER w AS BIGINT) AS last_i,
-         FIRST_VALUE(ch1) OVER w AS ch1_first,
-         LAST_VALUE(ch8) OVER w AS ch8_last
-  FROM readings
-  WINDOW w AS (PARTITION BY series_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) x
-WHERE i >= 19 AND i < n - 10"""))
+@register("sliding_windows", with_views(["windows"], f"""
+SELECT w.series_id, CAST(w.idx AS BIGINT) AS idx, w.i, CAST(r.i - w.idx AS BIGINT) AS t, r.i AS slot_i,
+       {", ".join(f"r.{c}" for c in fx.CHANNELS)}
+FROM windows w JOIN readings r ON r.series_id = w.series_id AND r.i BETWEEN w.idx AND w.i"""))
 def q_sliding_windows(spark, sf_dir):
+    """Every window with all its cells, one row per slot ``t``."""
     w = windows.sliding_windows(fx.readings(spark, sf_dir), fx.CHANNELS, chunk_rows=SERIES_CHUNK_ROWS)
-    win = F.col("win")
+    w = w.select("series_id", "idx", "i", F.posexplode("win").alias("t", "r"))
     return w.select(
-        "series_id", F.col("idx").cast("bigint").alias("idx"), "i",
-        F.size(win).cast("bigint").alias("win_len"),
-        win[0]["i"].cast("bigint").alias("first_i"),
-        F.element_at(win, -1)["i"].cast("bigint").alias("last_i"),
-        win[0]["ch1"].alias("ch1_first"),
-        F.element_at(win, -1)["ch8"].alias("ch8_last"))
+        "series_id", F.col("idx").cast("bigint").alias("idx"), "i", F.col("t").cast("bigint").alias("t"),
+        F.col("r.i").cast("bigint").alias("slot_i"), *[F.col(f"r.{c}").alias(c) for c in fx.CHANNELS])
 
 
 # ------------------------------------------------------------------- runs --
@@ -131,19 +121,22 @@ def _r6(c):
     return F.round(c, 6)
 
 
-@register("flat_features", with_views(["readings"], """
-SELECT series_id, idx, CAST(160 AS BIGINT) AS n_feat, f0, f7, f83, f152, f159 FROM (
-  SELECT series_id, i, n, i - 19 AS idx,
-         LAG(ch1, 19) OVER w AS f0, LAG(ch8, 19) OVER w AS f7, LAG(ch4, 9) OVER w AS f83,
-         ch1 AS f152, ch8 AS f159
+N_FEATURES = WINDOW * len(CH)
+
+
+@register("flat_features", with_views(["readings"], f"""
+SELECT series_id, idx, CAST({N_FEATURES} AS BIGINT) AS n_feat, {", ".join(f"f{k}" for k in range(N_FEATURES))} FROM (
+  SELECT series_id, i, n, i - {WINDOW - 1} AS idx,
+         {", ".join(f"LAG({CH[k % len(CH)]}, {WINDOW - 1 - k // len(CH)}) OVER w AS f{k}" for k in range(N_FEATURES))}
   FROM readings WINDOW w AS (PARTITION BY series_id ORDER BY i)) x
-WHERE i >= 19 AND i < n - 10"""))
+WHERE i >= {WINDOW - 1} AND i < n - 10"""))
 def q_flat_features(spark, sf_dir):
+    """All 160 positions of the flat window, one column each."""
     w = windows.sliding_windows(fx.readings(spark, sf_dir), CH, chunk_rows=SERIES_CHUNK_ROWS)
     flat = w.select("series_id", "idx", windows.flatten_window("win", CH).alias("f"))
     return flat.select("series_id", F.col("idx").cast("bigint").alias("idx"),
                        F.size("f").cast("bigint").alias("n_feat"),
-                       *[F.col("f")[k].alias(f"f{k}") for k in (0, 7, 83, 152, 159)])
+                       *[F.col("f")[k].alias(f"f{k}") for k in range(N_FEATURES)])
 
 
 def _unpivot_sql(src: str, cols: list[str], keep: str) -> str:
@@ -197,19 +190,23 @@ def _scaled_readings_sql() -> str:
     return f"SELECT r.series_id, r.i, r.n, r.split, {cols} FROM readings r"
 
 
+# The position scaler, one row per slot with every channel's mean and scale.
+_SLOT_SCALER = ("slot_scaler", "SELECT t, " + ", ".join(
+    f"MAX(mean) FILTER (WHERE channel = '{c}') AS mu_{c}, MAX(scale) FILTER (WHERE channel = '{c}') AS sd_{c}"
+    for c in CH) + " FROM scaler_tf GROUP BY t")
+
+
 @register("scaled_windows", with_views(["windows"], f"""
-SELECT series_id, idx,
-       ROUND((f0 - (SELECT mean FROM scaler_tf WHERE pos = 0)) / (SELECT scale FROM scaler_tf WHERE pos = 0), 6) AS tf_first,
-       ROUND((f159 - (SELECT mean FROM scaler_tf WHERE pos = 159)) / (SELECT scale FROM scaler_tf WHERE pos = 159), 6) AS tf_last,
-       ROUND(fs_first, 6) AS fs_first, ROUND(fs_last, 6) AS fs_last
-FROM (SELECT r.series_id, r.i, r.n, r.i - 19 AS idx,
-             LAG(r.ch1, 19) OVER w AS f0, r.ch8 AS f159,
-             LAG(s.ch1, 19) OVER w AS fs_first, s.ch8 AS fs_last
-      FROM readings r JOIN scaled s ON s.series_id = r.series_id AND s.i = r.i
-      WINDOW w AS (PARTITION BY r.series_id ORDER BY r.i)) x
-WHERE i >= 19 AND i < n - 10""", extra=[_TRAIN_SLOTS, _SCALER_TF, _SCALER_F,
-                                        ("scaled", _scaled_readings_sql())]))
+SELECT w.series_id, CAST(w.idx AS BIGINT) AS idx, p.t,
+       {", ".join(f"ROUND((r.{c} - p.mu_{c}) / p.sd_{c}, 6) AS tf_{c}" for c in CH)},
+       {", ".join(f"ROUND(s.{c}, 6) AS fs_{c}" for c in CH)}
+FROM windows w
+JOIN readings r ON r.series_id = w.series_id AND r.i BETWEEN w.idx AND w.i
+JOIN scaled s ON s.series_id = r.series_id AND s.i = r.i
+JOIN slot_scaler p ON p.t = r.i - w.idx""", extra=[_TRAIN_SLOTS, _SCALER_TF, _SCALER_F,
+                                                   ("scaled", _scaled_readings_sql()), _SLOT_SCALER]))
 def q_scaled_windows(spark, sf_dir):
+    """M3: every cell of every window under both scalers (by position, by channel), one row per slot ``t``."""
     from ..operators import scaling
     r = fx.readings(spark, sf_dir)
     train = r.where(F.col("split") == "train")
@@ -218,16 +215,14 @@ def q_scaled_windows(spark, sf_dir):
     w = windows.sliding_windows(r, CH)
     flat = w.select("series_id", "idx", "win", windows.flatten_window("win", CH).alias("features"))
     flat = scaling.apply_position_scaler(flat, tf)
-    # per-feature scaling of the same window: scale the struct fields
-    row = scaling.channel_scaler_row(fs, CH)
-    flat = flat.crossJoin(F.broadcast(row))
-    first, last = F.col("win")[0], F.element_at("win", -1)
-    return flat.select(
-        "series_id", F.col("idx").cast("bigint").alias("idx"),
-        _r6(F.col("features_scaled")[0]).alias("tf_first"),
-        _r6(F.col("features_scaled")[159]).alias("tf_last"),
-        _r6((first["ch1"] - F.col("mu_ch1")) / F.col("sd_ch1")).alias("fs_first"),
-        _r6((last["ch8"] - F.col("mu_ch8")) / F.col("sd_ch8")).alias("fs_last"))
+    slot = F.transform("win", lambda r, t: F.struct(
+        *[r[c].alias(c) for c in CH],
+        *[F.get("features_scaled", t * len(CH) + k).alias(f"tf_{c}") for k, c in enumerate(CH)]))
+    flat = flat.select("series_id", "idx", F.posexplode(slot).alias("t", "r"))
+    flat = flat.select("series_id", F.col("idx").cast("bigint").alias("idx"), F.col("t").cast("bigint").alias("t"), "r.*")
+    flat = scaling.apply_channel_scaler(flat, fs, CH)
+    return flat.select("series_id", "idx", "t", *[_r6(F.col(f"tf_{c}")).alias(f"tf_{c}") for c in CH],
+                       *[_r6(F.col(c)).alias(f"fs_{c}") for c in CH])
 
 
 def _stat_sql() -> str:
@@ -774,7 +769,14 @@ def q_prob_series(spark, sf_dir):
 
 # ------------------------------------------------------------------ audit --
 
-AUDIT_SENSORS = ["ch1", "ch2"]
+AUDIT_SENSORS = fx.CHANNELS
+
+
+def _same_sql(cols: list[str]) -> str:
+    return " AND ".join(["sa.o IS NOT NULL", "sb.o IS NOT NULL"] + [f"sa.{c} IS NOT DISTINCT FROM sb.{c}" for c in cols])
+
+
+_AUDIT_COLS = [*AUDIT_SENSORS, "anomaly", "changepoint"]
 
 
 @register("audit_file_info", with_views(["file_rows"], """
@@ -818,24 +820,19 @@ def q_overlap_counts(spark, sf_dir):
     return audit.overlap_counts(audit.common_timestamps(fx.file_rows(spark, sf_dir)))
 
 
-_VERDICT_CTES = [_COMMON_CTE, ("occ", """
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY file_k, ts ORDER BY ch1, ch2, anomaly, changepoint) AS o FROM file_rows"""),
-    ("sa", """SELECT c.file_a, c.file_b, c.ts, r.o, r.ch1, r.ch2, r.anomaly, r.changepoint
-              FROM common c JOIN occ r ON r.file_k = c.file_a AND r.ts = c.ts"""),
-    ("sb", """SELECT c.file_a, c.file_b, c.ts, r.o, r.ch1, r.ch2, r.anomaly, r.changepoint
-              FROM common c JOIN occ r ON r.file_k = c.file_b AND r.ts = c.ts"""),
-    ("verdicts", """
+_VERDICT_CTES = [_COMMON_CTE, ("occ", f"""
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY file_k, ts ORDER BY {", ".join(_AUDIT_COLS)}) AS o FROM file_rows"""),
+    *[(f"s{x}", f"""SELECT c.file_a, c.file_b, c.ts, r.o, {", ".join(f"r.{c}" for c in _AUDIT_COLS)}
+              FROM common c JOIN occ r ON r.file_k = c.file_{x} AND r.ts = c.ts""") for x in "ab"],
+    ("verdicts", f"""
   SELECT file_a, file_b, sensor_equal, label_equal, changepoint_equal, full_equal,
          CASE WHEN sensor_equal AND NOT label_equal THEN 'label_conflict' WHEN full_equal THEN 'full_duplicate'
               WHEN sensor_equal AND label_equal THEN 'slicing_overlap' ELSE 'differ' END AS verdict
   FROM (SELECT COALESCE(sa.file_a, sb.file_a) AS file_a, COALESCE(sa.file_b, sb.file_b) AS file_b,
-               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.ch1 IS NOT DISTINCT FROM sb.ch1
-                        AND sa.ch2 IS NOT DISTINCT FROM sb.ch2) AS sensor_equal,
-               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.anomaly IS NOT DISTINCT FROM sb.anomaly) AS label_equal,
-               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.changepoint IS NOT DISTINCT FROM sb.changepoint) AS changepoint_equal,
-               BOOL_AND(sa.o IS NOT NULL AND sb.o IS NOT NULL AND sa.ch1 IS NOT DISTINCT FROM sb.ch1
-                        AND sa.ch2 IS NOT DISTINCT FROM sb.ch2 AND sa.anomaly IS NOT DISTINCT FROM sb.anomaly
-                        AND sa.changepoint IS NOT DISTINCT FROM sb.changepoint) AS full_equal
+               BOOL_AND({_same_sql(AUDIT_SENSORS)}) AS sensor_equal,
+               BOOL_AND({_same_sql(["anomaly"])}) AS label_equal,
+               BOOL_AND({_same_sql(["changepoint"])}) AS changepoint_equal,
+               BOOL_AND({_same_sql(_AUDIT_COLS)}) AS full_equal
         FROM sa FULL OUTER JOIN sb ON sa.file_a = sb.file_a AND sa.file_b = sb.file_b AND sa.ts = sb.ts AND sa.o = sb.o
         GROUP BY 1, 2) x""")]
 
