@@ -30,13 +30,14 @@ def stat_features(readings: DataFrame, channels: Sequence[str], window: int = WI
 
     Sample deviations (``stddev_samp``) as in the reference's tensor maths;
     the mean of the 19 consecutive differences telescopes to
-    ``(last - first) / (window - 1)``.
+    ``(last - first) / (window - 1)``. Readings that are already in halo
+    chunks of ``window - 1`` rows back are taken as they are.
     """
     keys = _partition(series)
     full = series_frame(-(window - 1), 0, keys)
     diffs = series_frame(-(window - 2), 0, keys)
     order = series_order(keys)
-    out = chunk_with_halo(readings, window - 1, 0, chunk_rows)
+    out = readings if "_chunk" in readings.columns else chunk_with_halo(readings, window - 1, 0, chunk_rows)
     for c in channels:
         out = out.withColumn(f"_d_{c}", F.col(c) - F.lag(c).over(order))
     cols = {}

@@ -14,53 +14,61 @@ no identical algorithm the nearest one is used and said so:
 * et   RandomForest without bootstrap, 200 trees (MLlib has no random thresholds)
 * gb   GBT, 200 rounds, depth 3, rate 0.1
 * xgb  GBT, 300 rounds, depth 6, rate 0.1, row and column sampling 0.8
-* svm  RBF kernel approximated by random Fourier features + LinearSVC; the
-       score is the sigmoid of the margin, as for a model without probabilities
+* svm  RBF support vectors: the kernel with the data's own gamma (1 / (values per window * their variance)) mapped
+       to landmark features (Nystroem: kernel values to ``LANDMARKS`` training windows, whitened), then LinearSVC with
+       C = 1; with all training windows as landmarks the inner products equal the kernel. The score is the sigmoid of
+       the margin, as for a model without probabilities
 * mlp  MultilayerPerceptron on [scaled window || statistics] (re-aimed deep model)
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import HORIZON, WINDOW
+from ..config import HORIZON, SERIES_CHUNK_ROWS, WINDOW
+from ..session import ensure_checkpoint_dir
 from . import features, scaling, windows
 
 # FIXED VALUES: model families and their inputs.
 RAW_MODELS = ["rf", "et", "gb", "xgb"]
 SCALED_MODELS = ["lr", "svm", "knn"]
 SEQUENCE_MODELS = ["mlp"]
-RFF_DIM = 512
-RFF_SEED = 7
+#: Training windows that carry the kernel model; bounds its map to LANDMARKS x (values + LANDMARKS) doubles.
+LANDMARKS = 512
+LANDMARK_DRAWS = 8
 
 
 def model_frame(readings: DataFrame, channels: Sequence[str], window: int = WINDOW,
-                horizon: int = HORIZON, label: str = "anomaly") -> DataFrame:
+                horizon: int = HORIZON, label: str = "anomaly", chunk_rows: int = SERIES_CHUNK_ROWS) -> DataFrame:
     """Windows with label ``y`` and three feature columns:
     ``features_raw`` (flat), ``features_tf`` (position-scaled flat) and
     ``features_seq`` (channel-scaled flat || statistics of the scaled window).
 
     The raw and channel-scaled windows and the statistics are window
-    aggregates over one spec, so the readings are shuffled once.
+    aggregates over one spec of halo chunks, so the readings are shuffled once
+    and no task holds a long series.
     """
     channels = list(channels)
     train = readings.where(F.col("split") == "train")
     tf = scaling.fit_position_scaler(train, channels, window, horizon)
     fs = scaling.fit_channel_scaler(train, channels, window, horizon)
-    lab = windows.horizon_label(readings, horizon, label)
+    lab = windows.horizon_label(readings, horizon, label, chunk_rows=chunk_rows)
     lab = lab.select("*", *[F.col(c).alias(f"raw_{c}") for c in channels])
     scaled = scaling.apply_channel_scaler(lab, fs, channels)
-    frame = windows.series_frame(-(window - 1), 0)
+    scaled = windows.chunk_with_halo(scaled, window - 1, 0, chunk_rows)
+    frame = windows.series_frame(-(window - 1), 0, ["series_id", "_chunk"])
     scaled = (scaled.withColumn("win_raw", F.collect_list(F.array(*[F.col(f"raw_{c}") for c in channels]))
                                 .over(frame))
                     .withColumn("win_sc", F.collect_list(F.array(*channels)).over(frame)))
@@ -74,21 +82,81 @@ def model_frame(readings: DataFrame, channels: Sequence[str], window: int = WIND
                      array_to_vector("f_seq").alias("features_seq"))
 
 
-def _rff(dim_in: int, dim_out: int = RFF_DIM, gamma: float | None = None, seed: int = RFF_SEED):
-    """Random Fourier features for an RBF kernel exp(-gamma ||x-y||^2); the
-    projection is a fixed (dim_out x dim_in) parameter, shipped with the UDF."""
-    gamma = gamma if gamma is not None else 1.0 / dim_in
-    rng = np.random.default_rng(seed)
-    w = rng.normal(0.0, np.sqrt(2 * gamma), size=(dim_in, dim_out))
-    b = rng.uniform(0, 2 * np.pi, size=dim_out)
-    scale = np.sqrt(2.0 / dim_out)
+def written(frame: DataFrame) -> DataFrame:
+    """The frame written once to the shared folder: counts, fits and scores read it instead of its lineage."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def project(x: pd.Series) -> pd.Series:
-        m = np.stack(x.to_numpy()) if len(x) else np.zeros((0, dim_in))
-        z = scale * np.cos(m @ w + b)
-        return pd.Series(list(z))
-    return project
+
+@dataclass(frozen=True)
+class KernelMap:
+    """Landmark features of an RBF kernel exp(-gamma ||x-y||^2): z(x) = k(x, landmarks) @ whiten."""
+
+    landmarks: np.ndarray
+    whiten: np.ndarray
+    gamma: float
+
+    def features(self, x: Column) -> Column:
+        marks, whiten, gamma = self.landmarks, self.whiten, self.gamma
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def project(x: pd.Series) -> pd.Series:
+            out = []
+            for lo in range(0, len(x), 256):
+                m = np.stack(x.iloc[lo:lo + 256].to_numpy())
+                out += list(_rbf(m, marks, gamma) @ whiten)
+            return pd.Series(out, dtype="object")
+        return project(x)
+
+    def to_rows(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(
+            [(k, m.tolist(), w.tolist(), self.gamma) for k, (m, w) in enumerate(zip(self.landmarks, self.whiten))],
+            "pos long, landmark array<double>, whiten array<double>, gamma double")
+
+    @classmethod
+    def from_rows(cls, rows: DataFrame) -> KernelMap:
+        got = rows.orderBy("pos").collect()
+        return cls(np.array([r.landmark for r in got]), np.array([r.whiten for r in got]), got[0].gamma)
+
+
+def _rbf(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    d2 = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        diff = a[:, j, None] - b[None, :, j]
+        d2 += diff * diff
+    return np.exp(-gamma * d2)
+
+
+def kernel_map(train: DataFrame, features: str = "features_tf", landmarks: int = LANDMARKS) -> KernelMap:
+    """Fits the map: gamma from the variance of all training values, landmarks drawn by hash from the distinct
+    training vectors (all of them, where there are no more than ``landmarks``)."""
+    x = train.select(vector_to_array(features).alias("x"))
+    v = x.select(F.size("x").alias("n"), F.aggregate("x", F.lit(0.0), lambda s, e: s + e).alias("s"),
+                 F.aggregate("x", F.lit(0.0), lambda s, e: s + e * e).alias("q"))
+    n, values, s, q = v.agg(F.count(F.lit(1)), F.sum("n"), F.sum("s"), F.sum("q")).first()
+    var = q / values - (s / values) ** 2
+    gamma = 1.0 / (values / n * var) if var > 0 else 1.0
+    h = F.xxhash64("x")
+    every = max(1, n // (LANDMARK_DRAWS * landmarks))
+    drawn = (x.select(h.alias("h"), "x").where(F.pmod("h", F.lit(every)) == 0)
+              .groupBy("h").agg(F.first("x").alias("x")).orderBy("h").limit(landmarks).collect()) or x.limit(1).collect()
+    marks = np.array([r.x for r in drawn])
+    value, vector = np.linalg.eigh(_rbf(marks, marks, gamma))
+    keep = value > 1e-10 * value[-1]
+    return KernelMap(marks, vector[:, keep] / np.sqrt(value[keep]), gamma)
+
+
+@dataclass(frozen=True)
+class FittedModel:
+    """A fitted model with all that scoring needs."""
+
+    model_id: str
+    pipeline: PipelineModel
+    kernel: KernelMap | None = None
+
+
+def load_pipeline(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def estimator(model_id: str, n_train: int, n_features: int):
@@ -108,36 +176,37 @@ def estimator(model_id: str, n_train: int, n_features: int):
         return GBTClassifier(featuresCol="features_raw", maxIter=300, maxDepth=6, stepSize=0.1,
                              subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=1)
     if model_id == "svm":
-        return LinearSVC(featuresCol="features_rff", maxIter=100, regParam=1.0 / max(n_train, 1))
+        return LinearSVC(featuresCol="features_kernel", maxIter=200, regParam=1.0 / max(n_train, 1),
+                         standardization=False)
     if model_id == "mlp":
         return MultilayerPerceptronClassifier(featuresCol="features_seq", layers=[n_features, 64, 32, 2],
                                               maxIter=200, seed=1)
     raise ValueError(f"unknown model id {model_id}")
 
 
-def _prepare(frame: DataFrame, model_id: str, n_in: int) -> DataFrame:
-    if model_id == "svm":
-        proj = _rff(n_in)
-        return frame.withColumn("features_rff", array_to_vector(proj(vector_to_array("features_tf"))))
-    return frame
+def _prepare(frame: DataFrame, kernel: KernelMap | None) -> DataFrame:
+    if kernel is None:
+        return frame
+    return frame.withColumn("features_kernel", array_to_vector(kernel.features(vector_to_array("features_tf"))))
 
 
-def fit(frame: DataFrame, model_id: str) -> PipelineModel:
+def fit(frame: DataFrame, model_id: str) -> FittedModel:
     """Fit one model on the training split. Rows are counted once to size
-    the regularisation; the feature width comes from the schema of one row."""
+    the regularisation; the feature width comes from the schema of one row.
+    Several jobs read ``frame``: hand in a ``written`` one."""
     train = frame.where(F.col("split") == "train")
     n = train.count()
     width = {"mlp": "features_seq"}.get(model_id, "features_raw")
     n_features = len(train.select(vector_to_array(width).alias("a")).first().a)
-    train = _prepare(train, model_id, len(train.select(vector_to_array("features_tf").alias("a")).first().a))
-    return Pipeline(stages=[estimator(model_id, n, n_features)]).fit(train)
+    kernel = kernel_map(train) if model_id == "svm" else None
+    pipeline = Pipeline(stages=[estimator(model_id, n, n_features)]).fit(_prepare(train, kernel))
+    return FittedModel(model_id, pipeline, kernel)
 
 
-def score(model: PipelineModel, frame: DataFrame, model_id: str) -> DataFrame:
+def score(model: FittedModel, frame: DataFrame, model_id: str) -> DataFrame:
     """Probability of class 1 per window (sigmoid of the margin for the
     margin-only SVM)."""
-    n_in = len(frame.select(vector_to_array("features_tf").alias("a")).first().a)
-    out = model.transform(_prepare(frame, model_id, n_in))
+    out = model.pipeline.transform(_prepare(frame, model.kernel))
     if model_id == "svm":
         p = 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
     else:
@@ -146,6 +215,22 @@ def score(model: PipelineModel, frame: DataFrame, model_id: str) -> DataFrame:
                       F.lit(model_id).alias("model_id"), p.alias("p"))
 
 
+def external_score(frame: DataFrame, model_id: str, load: Callable[[], Callable[[np.ndarray], np.ndarray]],
+                   features: str, shape: Sequence[int], logits: bool = False, batch_rows: int = 1024) -> DataFrame:
+    """M13 for a model of the user's own: ``load`` runs once in each Python worker and returns a function from a
+    batch of inputs (rows, *shape) to one number a row, a probability or, with ``logits``, a margin. ``features`` is
+    a vector or array column of prod(shape) values; all other columns stay, ``model_id`` and ``p`` are added."""
+    x = F.col(features)
+    if not isinstance(frame.schema[features].dataType, T.ArrayType):
+        x = vector_to_array(x)
+    predict = predict_batch_udf(load, return_type=T.DoubleType(), batch_size=batch_rows,
+                                input_tensor_shapes=[list(shape)])
+    rows = frame.where(F.size(x) == math.prod(shape))
+    raw = predict(x)
+    p = 1 / (1 + F.exp(-raw)) if logits else raw
+    return rows.withColumns({"model_id": F.lit(model_id), "p": p})
+
+
 def fallback_model(requested: str, available: Sequence[str], fallback: str) -> str:
     """The live model, or the fallback when its artifact is missing."""
     return requested if requested in set(available) else fallback
@@ -189,7 +274,7 @@ def sweep(frame: DataFrame, configs: DataFrame, grid: DataFrame, metric: str = "
         est = MultilayerPerceptronClassifier(featuresCol="features_seq",
                                              layers=[n_features, int(cfg.d_model), int(cfg.ff), 2],
                                              maxIter=max_iter, seed=1)
-        model = Pipeline(stages=[est]).fit(train)
+        model = FittedModel("mlp", Pipeline(stages=[est]).fit(train))
         sc = score(model, frame.where(F.col("split").isin("val", "test")), "mlp")
         val = metrics.threshold_search(sc.where(F.col("split") == "val"), ["model_id"], grid)
         best = metrics.best_threshold(val, ["model_id"], metric)

@@ -1424,7 +1424,7 @@ def _trained_scores(model_id):
         """Fit on the training windows, score the test windows (M4-M8, M10,
         M11, M13). Rows-only check: no SQL twin for training."""
         from ..operators import models
-        frame = models.model_frame(fx.readings(spark, sf_dir), CH)
+        frame = models.written(models.model_frame(fx.readings(spark, sf_dir), CH))
         model = models.fit(frame, model_id)
         return models.score(model, frame.where(F.col("split") == "test"), model_id) \
                      .select("series_id", F.col("idx").cast("bigint").alias("idx"), "y", "model_id", "p")
@@ -1436,20 +1436,74 @@ for _m in TRAINED_MODELS:
     register(f"model_{_m}")(_trained_scores(_m))
 
 
-@register("model_knn")
+# All windows as one list of position-scaled values each.
+_SCALED_LISTS = ("lists", f"""
+  SELECT w.series_id, w.idx, w.split, w.y, w.series_id || ':' || w.idx AS id,
+         FLATTEN(LIST([{", ".join(f"(r.{c} - p.mu_{c}) / p.sd_{c}" for c in CH)}] ORDER BY p.t)) AS x
+  FROM windows w
+  JOIN readings r ON r.series_id = w.series_id AND r.i BETWEEN w.idx AND w.i
+  JOIN slot_scaler p ON p.t = r.i - w.idx
+  GROUP BY ALL""")
+
+
+@register("model_knn", with_views(["windows"], """
+SELECT series_id, CAST(idx AS BIGINT) AS idx, CAST(y AS INTEGER) AS y, 'knn' AS model_id, COUNT(*) FILTER (WHERE t_y = 1) / 5.0 AS p
+FROM (SELECT q.series_id, q.idx, q.y, t.y AS t_y,
+             ROW_NUMBER() OVER (PARTITION BY q.id ORDER BY LIST_DISTANCE(q.x, t.x), t.id) AS r
+      FROM lists q, lists t WHERE q.split = 'test' AND t.split = 'train') d
+WHERE r <= 5 GROUP BY series_id, idx, y""", extra=[_TRAIN_SLOTS, _SCALER_TF, _SLOT_SCALER, _SCALED_LISTS]))
 def q_model_knn(spark, sf_dir):
     """M9 as the reference uses it: k = 5 on the position-scaled windows,
     training split as neighbours, test split scored."""
-    from pyspark.ml.functions import vector_to_array
-
-    from ..operators import knn, models
-    frame = models.model_frame(fx.readings(spark, sf_dir), CH).select(
+    from ..operators import knn, models, scaling
+    r = fx.readings(spark, sf_dir)
+    tf = scaling.fit_position_scaler(r.where(F.col("split") == "train"), CH)
+    w = windows.sliding_windows(windows.horizon_label(r, chunk_rows=SERIES_CHUNK_ROWS), CH,
+                                chunk_rows=SERIES_CHUNK_ROWS)
+    w = w.where(F.col("split") != "val").select("series_id", "split", "idx", "y",
+                                                windows.flatten_window("win", CH).alias("features"))
+    frame = models.written(scaling.apply_position_scaler(w, tf).select(
         "series_id", "split", "idx", F.concat_ws(":", "series_id", "idx").alias("id"),
-        vector_to_array("features_tf").alias("x"), F.col("label").cast("int").alias("y"))
-    s = knn.knn_scores(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test"), dim=160)
-    test = frame.where(F.col("split") == "test").select("id", "series_id", "idx", "y")
-    return s.join(test, "id").select("series_id", F.col("idx").cast("bigint").alias("idx"), "y",
-                                     F.lit("knn").alias("model_id"), "p")
+        F.col("features_scaled").alias("x"), F.col("y").cast("int").alias("y")))
+    test = frame.where(F.col("split") == "test")
+    s = knn.knn_scores(frame.where(F.col("split") == "train"), test, dim=N_FEATURES)
+    return s.join(test.select("id", "series_id", "idx", "y"), "id").select(
+        "series_id", F.col("idx").cast("bigint").alias("idx"), "y", F.lit("knn").alias("model_id"), "p")
+
+
+@register("external_scores", with_views(["windows"], """
+SELECT w.series_id, CAST(w.idx AS BIGINT) AS idx, CAST(w.y AS INTEGER) AS y, 'mean_gap' AS model_id,
+       ROUND(1 / (1 + EXP(-(AVG(r.ch8 - r.ch1) - 100) / 20)), 6) AS p
+FROM windows w JOIN readings r ON r.series_id = w.series_id AND r.i BETWEEN w.idx AND w.i
+GROUP BY w.series_id, w.idx, w.y"""))
+def q_external_scores(spark, sf_dir):
+    """M13 with a scorer of the user's own: margins from the (20, 8) windows, loaded once in each worker."""
+    from ..operators import models
+
+    def load():
+        def margins(x):
+            return (x[:, :, 7] - x[:, :, 0]).mean(axis=1) / 20 - 5
+        return margins
+    r = windows.horizon_label(fx.readings(spark, sf_dir), chunk_rows=SERIES_CHUNK_ROWS)
+    w = windows.sliding_windows(r, CH, chunk_rows=SERIES_CHUNK_ROWS)
+    w = w.select("series_id", "idx", "y", windows.flatten_window("win", CH).alias("f"))
+    s = models.external_score(w, "mean_gap", load, "f", (WINDOW, len(CH)), logits=True)
+    return s.select("series_id", F.col("idx").cast("bigint").alias("idx"), F.col("y").cast("int").alias("y"),
+                    "model_id", _r6(F.col("p")).alias("p"))
+
+
+@register("stored_scalers", with_views(["windows"], """
+SELECT pos, t, channel, ROUND(mean, 6) AS mean, ROUND(scale, 6) AS scale FROM scaler_tf""",
+                                       extra=[_TRAIN_SLOTS, _SCALER_TF]))
+def q_stored_scalers(spark, sf_dir):
+    """The position scaler fitted, stored as a new version and loaded again by that version."""
+    from ..operators import scaling
+    from ..operators.store import Store
+    from ..session import scratch_path
+    store = Store(spark, scratch_path(spark, "model_store"))
+    version = store.save_table("scaler_tf", scaling.fit_position_scaler(_train(spark, sf_dir), CH))
+    s = store.load_table("scaler_tf", version)
+    return s.select("pos", "t", "channel", _r6(F.col("mean")).alias("mean"), _r6(F.col("scale")).alias("scale"))
 
 
 @register("upload_report", with_views(["uploads", "upload_headers"], f"""
@@ -1501,4 +1555,4 @@ def q_provenance(spark, sf_dir):
 
 # Queries without a SQL twin (the checker compares row counts only): model
 # training, and the upload gate whose part-file count depends on the writer.
-ROWS_ONLY = {"upload_gate", "model_knn", *[f"model_{m}" for m in TRAINED_MODELS]}
+ROWS_ONLY = {"upload_gate", *[f"model_{m}" for m in TRAINED_MODELS]}
