@@ -75,3 +75,38 @@ def test_stage_keeps_clean_rows_whole(spark, wide, tmp_path):
     left = dc.drop_contaminated(wide, bench)
     assert left.columns == wide.columns and left.schema["n_chars"] == wide.schema["n_chars"]
     assert sorted(left.collect(), key=repr) == sorted((r for r in wide.collect() if r.doc_id != 11), key=repr)
+
+
+def test_many_blocks_one_live_broadcast(spark, wide, monkeypatch):
+    """Items of many blocks: same rows as in one block, and a block's broadcast is gone before the next is made."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    docs = spark.createDataFrame([(i, text(rng.randrange(300)), i % 2) for i in range(40)]
+                                 + [(100 + i, "a b c a b c a b c a b", 0) for i in range(60)]
+                                 + [(200, None, 0), (201, "", 1)], "doc_id long, text string, block long")
+    items = [(i, text(rng.randrange(1, 30))) for i in range(25)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    live, most, made = set(), [0], []
+    sc = spark.sparkContext
+    real = type(sc).broadcast
+
+    def broadcast(self, value):
+        got = real(self, value)
+        live.add(id(got))
+        made.append(got)
+        most[0] = max(most[0], len(live))
+        end = got.destroy
+        got.destroy = lambda *a: (live.discard(id(got)), end(*a))
+        return got
+    monkeypatch.setattr(type(sc), "broadcast", broadcast)
+    few = dc.leak_digest(dc.decontaminate(docs, bench, keep=["doc_id", "block"], block_bytes=60), ["doc_id", "block"])
+    got = by_id(few, *COLUMNS)
+    assert len(made) > 5 and most[0] == 1
+    assert got == sorted(((r.doc_id, *brute(r.text, items)) for r in docs.collect()), key=repr)
+    assert few.columns[:2] == ["doc_id", "block"]
+
+
+def test_word_count_of_the_jvm(spark, edges):
+    from pyspark.sql import functions as F
+    for r in edges.withColumn("n", F.coalesce(F.regexp_count("text", F.lit(dc.WORD)), F.lit(0))).collect():
+        assert r.n == len(words(r.text))
