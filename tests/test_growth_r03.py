@@ -45,7 +45,7 @@ def test_frame_holds_the_input_of_its_model_and_is_read_from_its_table(spark):
 def test_a_query_moves_once_a_run_of_cells():
     cells = knn.Cells(np.zeros((6, 1)), np.array([5, 5, 30, 0, 2, 3]), np.zeros(6), np.zeros(6))
     runs = knn._runs_of_cells(cells, 10)
-    assert runs.tolist() == [0, 0, 1, 1, 2, 2]
+    assert runs.tolist() == [0, 0, 1, 2, 2, 2]
     q = pd.DataFrame({"q_id": [7, 8], "q_x": [[0.0], [1.0]], "rad": [1.0, 1.0], "met": [1, 1],
                       "cells": [[0, 1, 2, 5], []], "dists": [[.1, .2, .3, .4], []]})
     (out,) = knn._by_run(runs)([q])
