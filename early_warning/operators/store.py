@@ -3,7 +3,7 @@
 An object is written into a folder of its own first and becomes visible only by its commit record, one JSON line
 under ``commits/<name>/<version>`` that names the folder. A writer that dies leaves a folder that no record names;
 readers never list data folders. Versions count from 1; a second writer of the same version fails on the record.
-Tables are Parquet, models go through Spark ML's own writers. ``root`` is a folder that driver and executors share.
+Tables are Parquet, models go through Spark ML's own writers; trees are tables. ``root`` is a folder that driver and executors share.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources.files import path_exists
 from .models import FittedModel, KernelMap, load_pipeline
+from .trees import TreeModel
 
 RECORD = "version long, kind string, folder string, model_id string"
 KINDS = ("table", "model")
@@ -58,7 +59,11 @@ class Store:
 
     def save_model(self, name: str, model: FittedModel) -> int:
         folder = self._folder(name)
-        model.pipeline.write().save(f"{folder}/pipeline")
+        if model.pipeline is not None:
+            model.pipeline.write().save(f"{folder}/pipeline")
+        if model.trees is not None:
+            model.trees.head(self.spark).write.parquet(f"{folder}/cuts")
+            model.trees.trees.write.parquet(f"{folder}/trees")
         if model.kernel is not None:
             model.kernel.to_rows(self.spark).write.parquet(f"{folder}/kernel")
         return self._commit(name, "model", folder, model.model_id)
@@ -81,6 +86,9 @@ class Store:
         kernel = None
         if path_exists(self.spark, f"{r.folder}/kernel"):
             kernel = KernelMap.from_rows(self.spark.read.parquet(f"{r.folder}/kernel"))
+        if path_exists(self.spark, f"{r.folder}/trees"):
+            read = self.spark.read.parquet
+            return FittedModel(r.model_id, trees=TreeModel.of(read(f"{r.folder}/cuts"), read(f"{r.folder}/trees")))
         return FittedModel(r.model_id, load_pipeline(f"{r.folder}/pipeline"), kernel)
 
     def available(self, names: list[str]) -> list[str]:
